@@ -492,9 +492,11 @@ _RUNS = (
              "max(macro_f1) FILTER (WHERE axis = 'quality') AS f1_1, "
              "max(accuracy) FILTER (WHERE axis = 'toxic') AS acc2, "
              "max(macro_f1) FILTER (WHERE axis = 'toxic') AS f1_2 FROM summary GROUP BY run, epoch"),
-    ("epochs", f"SELECT run, epoch, {V.EPOCHS} AS max_epochs, round(2 - acc1 - acc2, 4) AS loss, "
-               "round(acc1, 4) AS acc1, round(f1_1, 4) AS f1_1, round(acc2, 4) AS acc2, "
-               "round(f1_2, 4) AS f1_2, round((f1_1 + f1_2) / 2, 4) AS avg_f1 FROM wide"),
+    ("epochs", f"SELECT run, epoch, {V.EPOCHS} AS max_epochs, " + ", ".join(
+        f"CAST(printf('%.4f', {value}) AS DOUBLE) AS {name}" for name, value in {
+            "loss": "2 - acc1 - acc2", "acc1": "acc1", "f1_1": "f1_1", "acc2": "acc2",
+            "f1_2": "f1_2", "avg_f1": "(f1_1 + f1_2) / 2",
+        }.items()) + " FROM wide"),
     ("marked", "SELECT *, avg_f1 > coalesce(max(avg_f1) OVER (PARTITION BY run ORDER BY epoch "
                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS is_best FROM epochs"),
     ("streaks", "SELECT *, CAST(epoch - coalesce(max(CASE WHEN is_best THEN epoch END) OVER "

@@ -52,3 +52,11 @@ def keyword_groups(
             found = found | F.contains(lowered, F.lit(keyword))
         hits.append(F.when(found, F.lit(name)))
     return F.concat_ws(",", *hits) if hits else F.lit("")
+
+
+def fixed(col: Column, digits: int) -> Column:
+    """Decimal text of a number, rounded from its exact value (`0.125` gives `0.12`).
+
+    `format_string` would round the shortest decimal form up instead.
+    """
+    return F.replace(F.format_number(col, digits), F.lit(","), F.lit(""))

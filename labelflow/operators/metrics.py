@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.functions.text import is_sentinel
+from labelflow.functions.text import fixed, is_sentinel
 
 SENTINEL_SLICE, REAL_SLICE, ALL = "EXC", "real", "all"
 
@@ -113,24 +113,24 @@ def report_lines(report: DataFrame, names: dict[str, dict[int, str]] | None = No
     for axis, table in (names or {}).items():
         for value, name in table.items():
             label = F.when((F.col("axis") == axis) & (F.col("class") == value), name).otherwise(label)
-    row = "%14s %9.2f %9.2f %9.2f %9d"
+    row = "%14s %9s %9s %9s %9d"
+    two = lambda *names: [fixed(F.col(c), 2) for c in names]
     body = report.select(
         "axis", (F.col("class") + 1).alias("line_no"),
-        F.format_string(row, label, "precision", "recall", "f1", "support").alias("line"),
+        F.format_string(row, label, *two("precision", "recall", "f1"), "support").alias("line"),
     )
     last = 2**31 - 4  # after every class
     summary = report_summary(report)
-    foot = summary.select("axis", F.inline(F.array(
-        F.struct(F.lit(last).alias("line_no"), F.format_string(
-            "%14s %9s %9s %9.2f %9d", F.lit("accuracy"), F.lit(""), F.lit(""),
-            "accuracy", "support").alias("line")),
-        F.struct(F.lit(last + 1).alias("line_no"), F.format_string(
-            row, F.lit("macro avg"), "macro_precision", "macro_recall", "macro_f1",
-            "support").alias("line")),
-        F.struct(F.lit(last + 2).alias("line_no"), F.format_string(
-            row, F.lit("weighted avg"), "weighted_precision", "weighted_recall", "weighted_f1",
-            "support").alias("line")),
-    )))
+    blank = F.lit("")
+    foot = summary.select("axis", F.inline(F.array(*[
+        F.struct(F.lit(last + i).alias("line_no"),
+                 F.format_string(row, F.lit(name), *values, "support").alias("line"))
+        for i, (name, values) in enumerate([
+            ("accuracy", [blank, blank, *two("accuracy")]),
+            ("macro avg", two("macro_precision", "macro_recall", "macro_f1")),
+            ("weighted avg", two("weighted_precision", "weighted_recall", "weighted_f1")),
+        ])
+    ])))
     head = summary.select("axis", F.lit(0).alias("line_no"), F.format_string(
         "%14s %9s %9s %9s %9s", F.lit(""), F.lit("precision"), F.lit("recall"),
         F.lit("f1-score"), F.lit("support")).alias("line"))

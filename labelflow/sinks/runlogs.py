@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed format of one logged epoch.
+from labelflow.functions.text import fixed
+from labelflow.sources.runlogs import TWO_AXIS_METRICS
+
+# Fixed format of one logged epoch; its numbers have four decimals.
 _RECORD = (
-    "Epoch %d/%d | Loss: %.4f | [축1] Acc: %.4f F1: %.4f "
-    "| [축2] Acc: %.4f F1: %.4f | Avg F1: %.4f"
+    "Epoch %d/%d | Loss: %s | [축1] Acc: %s F1: %s "
+    "| [축2] Acc: %s F1: %s | Avg F1: %s"
 )
 
 
 def format_epochs(epochs: DataFrame) -> DataFrame:
     """`(run, text)` with one line per epoch; a run has at most `max_epochs` lines."""
-    line = F.format_string(
-        _RECORD, "epoch", "max_epochs", "loss", "acc1", "f1_1", "acc2", "f1_2", "avg_f1"
-    )
+    numbers = [fixed(F.col(c), 4) for c in TWO_AXIS_METRICS]
+    line = F.format_string(_RECORD, "epoch", "max_epochs", *numbers)
     lines = F.array_sort(F.collect_set(F.struct("epoch", line.alias("line"))))
     return epochs.groupBy("run").agg(
         F.array_join(F.transform(lines, lambda r: r["line"]), "\n").alias("text")
