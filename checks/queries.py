@@ -74,9 +74,10 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _prelabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the scores of their vector (null without one) and keyword flags."""
     documents = V.apps(spark, sf_dir).select("app_id", "app_name", "description")
+    # The flags replace the text before the join, which then moves narrow rows only.
+    flagged = scoring.with_keyword_flags(documents, groups=V.GROUPS).drop("description")
     scores = _scored(spark, sf_dir).select(F.col("vec_id").cast("string").alias("app_id"), *AUDIT)
-    joined = documents.join(scores, "app_id", "left")
-    return scoring.with_keyword_flags(joined, groups=V.GROUPS).drop("description")
+    return flagged.join(scores, "app_id", "left")
 
 
 @query
@@ -216,8 +217,10 @@ def keyword_flags_conversations(spark, sf_dir):
 
 @query
 def truncation_audit(spark, sf_dir):
-    rows = V.labelled_documents(spark, sf_dir).select("text", "quality")
-    return rounded(truncation.truncation_audit(rows, "text", "quality", [128, 512]))
+    documents = V.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = V.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    counted = truncation.with_token_count(documents, "text").join(labels, "doc_id")
+    return rounded(truncation.truncation_audit(counted, "quality", [128, 512]))
 
 
 @query

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from labelflow.operators.encode import class_weights, with_class_weight
 
-FEATURES = 1 << 18
+# Hash space of the text features; a gradient has this many entries per class.
+FEATURES = 1 << 14
 
 
 def _text_features(text: str, num_features: int) -> Pipeline:
@@ -35,7 +36,7 @@ def _head(axis: str, label: str, max_iter: int, reg: float, weight: str | None =
 def train_two_heads(
     train: DataFrame, text: str = "combined_text",
     category_label: str = "category_label", function_label: str = "function_label",
-    num_features: int = FEATURES, max_iter: int = 30, reg: float = 1e-4,
+    num_features: int = FEATURES, max_iter: int = 20, reg: float = 1e-2,
 ) -> PipelineModel:
     """Features fitted once on `train`, then one multinomial head per axis.
 
@@ -67,7 +68,7 @@ def score_two_heads(model: PipelineModel, df: DataFrame, text: str = "combined_t
 
 
 def train_weighted_head(
-    train: DataFrame, vector: str, label: str, max_iter: int = 30, reg: float = 1e-4
+    train: DataFrame, vector: str, label: str, max_iter: int = 20, reg: float = 1e-2
 ) -> LogisticRegressionModel:
     """One head on an array column, rows weighted by balanced class weights of `train`."""
     rows = train.filter(F.col(label).isNotNull()).select(

@@ -24,10 +24,14 @@ def token_windows(df: DataFrame, text: str, max_len: int) -> DataFrame:
     }).drop("_tokens")
 
 
-def truncation_audit(df: DataFrame, text: str, group: str, lengths: Sequence[int]) -> DataFrame:
-    """Per group and length: rows, share of texts cut, tokens in all, tokens lost."""
-    counts = df.select(group, token_count(F.col(text)).cast("bigint").alias("tokens"))
-    per_length = counts.select(group, "tokens", F.inline(F.array(*[
+def with_token_count(df: DataFrame, text: str) -> DataFrame:
+    """Replace the text by the number of its `tokens`; do so before any join or shuffle."""
+    return df.withColumn("tokens", token_count(F.col(text)).cast("bigint")).drop(text)
+
+
+def truncation_audit(counted: DataFrame, group: str, lengths: Sequence[int]) -> DataFrame:
+    """Per group and model length: rows, share of texts cut, tokens in all, tokens lost."""
+    per_length = counted.select(group, "tokens", F.inline(F.array(*[
         F.struct(F.lit(n).alias("max_len"), lost_tokens(F.col("tokens"), n).alias("lost"))
         for n in lengths
     ])))
