@@ -12,6 +12,7 @@ from labelflow.functions.text import combined_text
 from labelflow.operators.review import confidence_summary, review_order
 from labelflow.operators.scoring import with_keyword_flags, with_predictions
 from labelflow.scale import materialize
+from labelflow.schema import AUDIT_COLUMNS
 
 
 class Prelabelled(NamedTuple):
@@ -33,6 +34,6 @@ def prelabel(records: DataFrame, score: Callable[[DataFrame], DataFrame], **labe
     although the queue samples its input and the summary reads it again.
     """
     scored = with_predictions(score(with_combined_text(records)), **labels)
-    audited = with_keyword_flags(scored).drop("combined_text", "category_pred", "function_pred")
-    written = materialize(audited, "scored")
+    own = [c for c in records.columns if c not in AUDIT_COLUMNS]
+    written = materialize(with_keyword_flags(scored).select(*own, *AUDIT_COLUMNS), "scored")
     return Prelabelled(review_order(written), confidence_summary(written))
