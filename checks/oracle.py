@@ -415,17 +415,25 @@ ORACLE["macro_scores"] = _with(LABELLED, JUDGED, JUDGED_PAIRS, *_report("pairs")
     "SELECT round(avg(macro_f1), 6) AS avg_macro_f1 FROM summary"
 )
 _ROW = "'%14s %9.2f %9.2f %9.2f %9d'"
-_NAME = "CASE WHEN axis = 'toxic' THEN CASE class WHEN 0 THEN 'clean' ELSE 'toxic' END ELSE CAST(class AS VARCHAR) END"
-ORACLE["report_text"] = _with(LABELLED, JUDGED, JUDGED_PAIRS, *_report("pairs")) + (
-    "SELECT axis, 0 AS line_no, printf('%14s %9s %9s %9s %9s', '', 'precision', 'recall', 'f1-score', "
-    "'support') AS line FROM summary UNION ALL "
-    f"SELECT axis, class + 1, printf({_ROW}, {_NAME}, precision, recall, f1, support) FROM report UNION ALL "
-    "SELECT axis, 2147483644, printf('%14s %9s %9s %9.2f %9d', 'accuracy', '', '', accuracy, support) "
-    "FROM summary UNION ALL "
-    f"SELECT axis, 2147483645, printf({_ROW}, 'macro avg', macro_precision, macro_recall, macro_f1, support) "
-    "FROM summary UNION ALL "
-    f"SELECT axis, 2147483646, printf({_ROW}, 'weighted avg', weighted_precision, weighted_recall, "
-    "weighted_f1, support) FROM summary"
+_NAME = (
+    "CASE WHEN axis = 'toxic' THEN CASE class WHEN 0 THEN 'clean' ELSE 'toxic' END "
+    "ELSE CAST(class AS VARCHAR) END"
+)
+ORACLE["report_text"] = _with(
+    LABELLED, JUDGED, JUDGED_PAIRS, *_report("pairs"),
+    ("lines",
+     "SELECT axis, 0 AS part, 0 AS class, printf('%14s %9s %9s %9s %9s', '', 'precision', 'recall', "
+     "'f1-score', 'support') AS line FROM summary UNION ALL "
+     f"SELECT axis, 1, class, printf({_ROW}, {_NAME}, precision, recall, f1, support) FROM report "
+     "UNION ALL SELECT axis, 2, 0, printf('%14s %9s %9s %9.2f %9d', 'accuracy', '', '', accuracy, "
+     "support) FROM summary UNION ALL "
+     f"SELECT axis, 3, 0, printf({_ROW}, 'macro avg', macro_precision, macro_recall, macro_f1, support) "
+     "FROM summary UNION ALL "
+     f"SELECT axis, 4, 0, printf({_ROW}, 'weighted avg', weighted_precision, weighted_recall, "
+     "weighted_f1, support) FROM summary"),
+) + (
+    "SELECT axis, CAST(row_number() OVER (PARTITION BY axis ORDER BY part, class) - 1 AS INTEGER) "
+    "AS line_no, line FROM lines"
 )
 _SLICED = (
     "SELECT CASE WHEN coalesce(category_id = 'EXC', false) THEN 'EXC' ELSE 'real' END AS slice, "

@@ -39,8 +39,12 @@ def confusion(
 
 def over_all_slices(counts: DataFrame, slice_col: str) -> DataFrame:
     """Add the slice `all` to a sliced confusion table, by adding up its counts."""
-    total = counts.groupBy("axis", "truth", "predicted").agg(F.sum("n").alias("n"))
-    return counts.unionByName(total.withColumn(slice_col, F.lit(ALL)))
+    both = F.explode(F.array(F.col(slice_col), F.lit(ALL))).alias(slice_col)
+    return (
+        counts.select("axis", both, "truth", "predicted", "n")
+        .groupBy("axis", slice_col, "truth", "predicted")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -77,9 +81,13 @@ def class_report(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def report_summary(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, macro and support-weighted averages of a class report."""
     keys = ["axis", *by]
+    return report.groupBy(*keys).agg(*_summary_columns())
+
+
+def _summary_columns() -> list[Column]:
     support = F.sum("support")
-    weighted = lambda c: (F.sum(F.col(c) * F.col("support")) / support)
-    return report.groupBy(*keys).agg(
+    weighted = lambda c: F.sum(F.col(c) * F.col("support")) / support
+    return [
         (F.sum("hits").cast("double") / support.cast("double")).alias("accuracy"),
         F.avg("precision").alias("macro_precision"),
         F.avg("recall").alias("macro_recall"),
@@ -88,7 +96,7 @@ def report_summary(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         weighted("recall").alias("weighted_recall"),
         weighted("f1").alias("weighted_f1"),
         support.alias("support"),
-    )
+    ]
 
 
 def model_score(summary: DataFrame) -> DataFrame:
@@ -108,30 +116,31 @@ def slice_macro_f1(counts: DataFrame, slice_col: str) -> DataFrame:
 
 
 def report_lines(report: DataFrame, names: dict[str, dict[int, str]] | None = None) -> DataFrame:
-    """Text lines `(axis, line_no, line)` of the report, two decimals, with its summary rows."""
+    """Text lines `(axis, line_no, line)` of the report, two decimals, with its summary rows.
+
+    `names` gives display names per axis and class. The report has one row per class, so the
+    lines of an axis are put together in one row before they are numbered.
+    """
     label = F.col("class").cast("string")
     for axis, table in (names or {}).items():
         for value, name in table.items():
             label = F.when((F.col("axis") == axis) & (F.col("class") == value), name).otherwise(label)
-    row = "%14s %9s %9s %9s %9d"
-    two = lambda *names: [fixed(F.col(c), 2) for c in names]
-    body = report.select(
-        "axis", (F.col("class") + 1).alias("line_no"),
-        F.format_string(row, label, *two("precision", "recall", "f1"), "support").alias("line"),
-    )
-    last = 2**31 - 4  # after every class
-    summary = report_summary(report)
-    blank = F.lit("")
-    foot = summary.select("axis", F.inline(F.array(*[
-        F.struct(F.lit(last + i).alias("line_no"),
-                 F.format_string(row, F.lit(name), *values, "support").alias("line"))
-        for i, (name, values) in enumerate([
-            ("accuracy", [blank, blank, *two("accuracy")]),
-            ("macro avg", two("macro_precision", "macro_recall", "macro_f1")),
-            ("weighted avg", two("weighted_precision", "weighted_recall", "weighted_f1")),
-        ])
-    ])))
-    head = summary.select("axis", F.lit(0).alias("line_no"), F.format_string(
-        "%14s %9s %9s %9s %9s", F.lit(""), F.lit("precision"), F.lit("recall"),
-        F.lit("f1-score"), F.lit("support")).alias("line"))
-    return head.unionByName(body).unionByName(foot)
+
+    def line(name: Column, *cells: Column) -> Column:
+        return F.format_string("%14s" + " %9s" * len(cells), name, *cells)
+
+    two = lambda *columns: [fixed(F.col(c), 2) for c in columns]
+    count, blank = F.col("support").cast("string"), F.lit("")
+    body = report.withColumn("line", line(label, *two("precision", "recall", "f1"), count))
+    rows = F.array_sort(F.collect_list(F.struct("class", "line"))).alias("rows")
+    whole = body.groupBy("axis").agg(rows, *_summary_columns()).select("axis", F.concat(
+        F.array(line(blank, *map(F.lit, ["precision", "recall", "f1-score", "support"]))),
+        F.transform("rows", lambda r: r["line"]),
+        F.array(
+            line(F.lit("accuracy"), blank, blank, *two("accuracy"), count),
+            line(F.lit("macro avg"), *two("macro_precision", "macro_recall", "macro_f1"), count),
+            line(F.lit("weighted avg"),
+                 *two("weighted_precision", "weighted_recall", "weighted_f1"), count),
+        ),
+    ).alias("lines"))
+    return whole.select("axis", F.posexplode("lines").alias("line_no", "line"))
