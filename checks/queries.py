@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from labelflow.functions.codes import lookup, lookup_or_blank
 from labelflow.functions.text import combined_text
-from labelflow.functions.vectors import linear_logits
+from labelflow.functions.vectors import argmax, linear_logits
 from labelflow.operators import (
     candidates,
     contract,
@@ -60,7 +60,7 @@ AUDIT = [
 
 
 def _with_logits(df: DataFrame) -> DataFrame:
-    return scoring.with_logits(df, scoring.linear_heads(*V.HEADS), "embedding", V.WIDTH)
+    return scoring.with_logits(df, scoring.linear_heads(*V.HEADS), "embedding", widths=[V.WIDTH])
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,12 +429,26 @@ def train_two_heads(spark, sf_dir):
     )
     parts = materialize(split.stratified_split(rows, "doc_id", "category_label"), "prepared")
     model = heads.train_two_heads(parts.filter("is_train"))
-    scored = heads.score_two_heads(model, parts.filter("NOT is_train"))
+    scored = heads.score_heads(model, parts.filter("NOT is_train"))
     predicted = scoring.with_predictions(scored, [0, 1], ["0", "1"])
     report = metrics.class_report(metrics.confusion(predicted, VECTOR_AXES))
     return rounded(metrics.report_summary(report))
 
 
+@query
+def train_weighted_text_head(spark, sf_dir):
+    """The rare class of the second axis as the only one, with balanced weights."""
+    rows = V.labelled_documents(spark, sf_dir).selectExpr(
+        "doc_id", "text AS combined_text", "toxic AS category_label"
+    )
+    parts = materialize(split.stratified_split(rows, "doc_id", "category_label"), "prepared")
+    model = heads.train_weighted_text_head(parts.filter("is_train"))
+    scored = heads.score_heads(model, parts.filter("NOT is_train"), axes=["category"])
+    predicted = scored.withColumn("category_pred", argmax(F.col("category_logits")))
+    report = metrics.class_report(metrics.confusion(predicted, VECTOR_AXES[:1]))
+    return rounded(metrics.report_summary(report))
+
+
 @query
 def train_weighted_head(spark, sf_dir):
     parts = materialize(_split_vectors(spark, sf_dir), "prepared")

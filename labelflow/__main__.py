@@ -1,4 +1,4 @@
-"""Command line: `python -m labelflow <collect|prelabel|merge|train|evaluate|runs> ...`
+"""Command line: `python -m labelflow <collect|prelabel|merge|train|train-weighted|evaluate|runs> ...`
 
 Submit it to a cluster with `spark-submit --py-files labelflow.zip labelflow/__main__.py ...`.
 Record tables are Parquet; a path that ends in `.csv` is read or written as CSV.
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.operators.encode import category_dictionary
-from labelflow.operators.heads import score_two_heads
-from labelflow.operators.metrics import report_lines
+from labelflow.operators.heads import score_heads
+from labelflow.operators.metrics import report_lines, report_summary
 from labelflow.operators.review import first_rows
 from labelflow.operators.runlog import best_checkpoints, rank_runs
 from labelflow.plans import collect, merge, prelabel, train
@@ -62,7 +62,7 @@ def run_prelabel(spark: SparkSession, args: argparse.Namespace) -> None:
     config = read_label_config(spark, args.model)
     model = load_model(args.model)
     queue, summary = prelabel.prelabel(
-        records, lambda df: score_two_heads(model, df),
+        records, lambda df: score_heads(model, df),
         categories=config.categories, functions=config.functions,
         category_names=config.category_names, function_names=config.function_names,
     )
@@ -89,6 +89,14 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     result.score.show()
 
 
+def run_train_weighted(spark: SparkSession, args: argparse.Namespace) -> None:
+    records = _read(spark, args.data)
+    prepared = train.prepare_single_axis(records, args.key, args.test_size, args.seed)
+    model = train.fit_weighted(prepared)
+    save_model(model, label_config(spark, train.categories_of(records), {}), args.model)
+    report_summary(train.evaluate_weighted_head(model, prepared)).show(truncate=False)
+
+
 def run_evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
     config = read_label_config(spark, args.model)
     records = _read(spark, args.data)
@@ -135,6 +143,7 @@ def parser() -> argparse.ArgumentParser:
     command("merge", run_merge, existing=need, new=need, output=need,
             strict_exclude_exc={"action": "store_true"})
     command("train", run_train, data=need, model=need, **split)
+    command("train-weighted", run_train_weighted, data=need, model=need, **split)
     command("evaluate", run_evaluate, data=need, model=need, output=need, **split)
     command("runs", run_runs, logs=need, patience={"type": int, "default": DEFAULT_PATIENCE},
             show={"type": int, "default": 100})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -57,29 +59,48 @@ def train_two_heads(
     return PipelineModel(stages=[*features.stages, *heads])
 
 
-def score_two_heads(model: PipelineModel, df: DataFrame, text: str = "combined_text") -> DataFrame:
-    """Add `category_logits` and `function_logits` of fitted heads; features stay inside the JVM."""
+def score_heads(
+    model: PipelineModel, df: DataFrame, text: str = "combined_text",
+    axes: Sequence[str] = ("category", "function"),
+) -> DataFrame:
+    """Add `<axis>_logits` of fitted text heads; the features stay inside the JVM."""
     ready = df.withColumn(text, F.coalesce(F.col(text), F.lit("")))
     return model.transform(ready).select(
-        *df.columns,
-        vector_to_array("category_raw").alias("category_logits"),
-        vector_to_array("function_raw").alias("function_logits"),
+        *df.columns, *[vector_to_array(f"{axis}_raw").alias(f"{axis}_logits") for axis in axes]
+    )
+
+
+def _fit_weighted(ready: DataFrame, label: str, max_iter: int, reg: float) -> LogisticRegressionModel:
+    """One head on `features`, rows weighted by the balanced class weights of these rows."""
+    weighted = with_class_weight(ready, class_weights(ready, label), label)
+    weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _head("category", label, max_iter, reg, "weight").fit(weighted)
+    finally:
+        weighted.unpersist()
+
+
+def train_weighted_text_head(
+    train: DataFrame, text: str = "combined_text", label: str = "category_label",
+    num_features: int = FEATURES, max_iter: int = 20, reg: float = 1e-2,
+) -> PipelineModel:
+    """Single-axis variant: text features and one class-weighted head."""
+    rows = train.filter(F.col(label).isNotNull()).select(
+        F.coalesce(F.col(text), F.lit("")).alias(text), label
     )
+    features = _text_features(text, num_features).fit(rows)
+    ready = features.transform(rows).select("features", label)
+    return PipelineModel(stages=[*features.stages, _fit_weighted(ready, label, max_iter, reg)])
 
 
 def train_weighted_head(
     train: DataFrame, vector: str, label: str, max_iter: int = 20, reg: float = 1e-2
 ) -> LogisticRegressionModel:
-    """One head on an array column, rows weighted by balanced class weights of `train`."""
+    """Class-weighted head on an array column, such as the output of an encoder."""
     rows = train.filter(F.col(label).isNotNull()).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("features"), label
     )
-    weighted = with_class_weight(rows, class_weights(rows, label), label)
-    weighted.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _head("category", label, max_iter, reg, "weight").fit(weighted)
-    finally:
-        weighted.unpersist()
+    return _fit_weighted(rows, label, max_iter, reg)
 
 
 def predict_weighted_head(model: LogisticRegressionModel, df: DataFrame, vector: str) -> DataFrame:

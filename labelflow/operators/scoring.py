@@ -46,27 +46,38 @@ def linear_heads(
 
 
 def batch_logits(
-    load_model: Callable, col: Column, width: int | None = None, batch_size: int = 1024
+    load_model: Callable, *inputs: Column, widths: Sequence[int | None] = (None,),
+    batch_size: int = 1024,
 ) -> Column:
     """Logits struct `(category, function)` of any user model, in Arrow batches.
 
-    `load_model()` runs once per Python worker and returns a function from a numpy batch (strings,
-    or rows of `width` numbers) to a dict of two arrays. A null input gives a null struct. The
-    column is marked nondeterministic so that a later filter cannot make the model run twice.
+    `load_model()` runs once per Python worker and returns a function from numpy batches, one per
+    input (strings, or rows of `width` numbers), to a dict of two arrays. A null input gives a
+    null struct. The column is marked nondeterministic so that a later filter cannot make the
+    model run twice.
     """
     udf = predict_batch_udf(
         load_model, return_type=_LOGITS, batch_size=batch_size,
-        input_tensor_shapes=[[width]] if width else None,
+        input_tensor_shapes=[[w] if w else None for w in widths] if any(widths) else None,
     ).asNondeterministic()
-    filler = F.array_repeat(F.lit(0.0).cast("float"), width) if width else F.lit("")
-    return F.when(col.isNotNull(), udf(F.coalesce(col, filler)))
+    present = F.lit(True)
+    filled = []
+    for col, width in zip(inputs, widths, strict=True):
+        present = present & col.isNotNull()
+        filler = F.array_repeat(F.lit(0).cast("float"), width) if width else F.lit("")
+        filled.append(F.coalesce(col, filler))
+    return F.when(present, udf(*filled))
 
 
 def with_logits(
-    df: DataFrame, load_model: Callable, col: str, width: int | None = None, batch_size: int = 1024
+    df: DataFrame, load_model: Callable, *inputs: str,
+    widths: Sequence[int | None] = (None,), batch_size: int = 1024,
 ) -> DataFrame:
     """Add `category_logits` and `function_logits`; both heads come from one model call."""
-    return df.withColumn("_scores", batch_logits(load_model, F.col(col), width, batch_size)).withColumns({
+    scores = batch_logits(
+        load_model, *map(F.col, inputs), widths=widths, batch_size=batch_size
+    )
+    return df.withColumn("_scores", scores).withColumns({
         "category_logits": F.col("_scores.category"),
         "function_logits": F.col("_scores.function"),
     }).drop("_scores")

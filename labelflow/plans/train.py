@@ -8,9 +8,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelflow.functions.vectors import argmax
 from labelflow.operators.contract import assert_trainable
-from labelflow.operators.encode import category_dictionary, encode_labels
-from labelflow.operators.heads import score_two_heads, train_two_heads
+from labelflow.operators.encode import category_dictionary, encode_labels, encode_single_axis
+from labelflow.operators.heads import (
+    score_heads,
+    train_two_heads,
+    train_weighted_text_head,
+)
 from labelflow.operators.metrics import (
     category_slice,
     class_report,
@@ -51,10 +56,24 @@ def prepare(
     return materialize(stratified_split(encoded, key, "category_id", test_size, seed), "prepared")
 
 
+def prepare_single_axis(
+    records: DataFrame, key: str = "app_id",
+    test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED,
+) -> DataFrame:
+    """The same for axis 1 alone: sentinel rows are left out before the split."""
+    assert_trainable(records)
+    encoded = encode_single_axis(with_combined_text(records))
+    return materialize(stratified_split(encoded, key, "category_id", test_size, seed), "prepared")
+
+
 def fit(prepared: DataFrame, **options) -> PipelineModel:
     return train_two_heads(prepared.filter("is_train"), **options)
 
 
+def fit_weighted(prepared: DataFrame, **options) -> PipelineModel:
+    return train_weighted_text_head(prepared.filter("is_train"), **options)
+
+
 def categories_of(records: DataFrame) -> list[int]:
     """Category ids in label order."""
     rows = dimension(category_dictionary(records)).orderBy("category_label").collect()
@@ -78,6 +97,14 @@ def evaluate_heads(model: PipelineModel, prepared: DataFrame, config: LabelConfi
     """Evaluation of fitted heads on the held-out rows; only those are scored."""
     held_out = prepared.filter("NOT is_train")
     scored = with_predictions(
-        score_two_heads(model, held_out), config.categories, config.functions
+        score_heads(model, held_out), config.categories, config.functions
     )
     return evaluate(scored)
+
+
+def evaluate_weighted_head(model: PipelineModel, prepared: DataFrame) -> DataFrame:
+    """Class report of a single-axis model on the held-out rows."""
+    held_out = prepared.filter("NOT is_train")
+    scored = score_heads(model, held_out, axes=["category"])
+    predicted = scored.withColumn("category_pred", argmax(F.col("category_logits")))
+    return class_report(confusion(predicted, AXES[:1]))

@@ -66,6 +66,14 @@ def test_prelabel_command(spark, model_dir):
     assert {r.predicted_category_name for r in got.select("predicted_category_name").distinct().collect()} <= {"수면", "운동", "만성질환"}
 
 
+def test_train_weighted_command(spark, model_dir, capsys):
+    main(["train-weighted", "--data", f"{model_dir}/records", "--model", f"{model_dir}/weighted"])
+    config = read_label_config(spark, f"{model_dir}/weighted")
+    assert config.categories == [0, 2, 4] and config.functions == []
+    out = capsys.readouterr().out
+    assert "macro_f1" in out and "|108" in out
+
+
 def test_a_category_unknown_to_the_model_is_an_error(spark, model_dir):
     config = read_label_config(spark, f"{model_dir}/out")
     check_dictionary(spark.createDataFrame([(4, 0)], "category int, category_label int"), config)

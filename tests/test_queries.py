@@ -5,7 +5,7 @@ import __spark_entry__ as driver
 from checks import queries as Q
 from checks.compare import connect, differences
 
-FITTED = {"train_two_heads", "train_weighted_head"}
+FITTED = {"train_two_heads", "train_weighted_head", "train_weighted_text_head"}
 
 
 @pytest.fixture(scope="module")

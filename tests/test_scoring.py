@@ -32,7 +32,7 @@ def vectors(spark):
 
 def test_logits_and_predictions(spark):
     scored = with_predictions(
-        with_logits(vectors(spark), linear_heads(*HEADS), "x", 2),
+        with_logits(vectors(spark), linear_heads(*HEADS), "x", widths=[2]),
         categories=[4, 6, 7], functions=["B", "C"],
     )
     got = {r.id: r for r in scored.collect()}
@@ -65,15 +65,32 @@ def test_text_models_score_in_batches(spark):
     assert got[None] is None
 
 
+def test_models_with_two_inputs(spark):
+    """Token numbers and their mask, as an encoder takes them."""
+    def load():
+        def predict(ids, mask):
+            total = (ids * mask).sum(axis=1, keepdims=True).astype("float64")
+            return {"category": total, "function": -total}
+
+        return predict
+
+    df = spark.createDataFrame(
+        [([1, 2, 9], [1, 1, 0]), (None, [0, 0, 0])], "ids array<int>, mask array<int>"
+    )
+    got = with_logits(df, load, "ids", "mask", widths=[3, 3]).collect()
+    assert got[0].category_logits == [3.0] and got[0].function_logits == [-3.0]
+    assert got[1].category_logits is None
+
+
 def test_the_model_runs_once_under_filters_and_joins(spark):
-    scored = with_predictions(with_logits(V.vectors(spark, SMALL), linear_heads(*V.HEADS), "embedding", 64))
+    scored = with_predictions(with_logits(V.vectors(spark, SMALL), linear_heads(*V.HEADS), "embedding", widths=[64]))
     query = scored.filter("min_confidence < 0.5 AND predicted_category_id > 2").groupBy("category_pred").count()
     plan = query._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
 
 
 def test_softmax_is_not_repeated_per_use(spark):
-    scored = with_predictions(with_logits(V.vectors(spark, SMALL), linear_heads(*V.HEADS), "embedding", 64))
+    scored = with_predictions(with_logits(V.vectors(spark, SMALL), linear_heads(*V.HEADS), "embedding", widths=[64]))
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("EXP(") == 2
 
