@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelflow.scale import dimension, materialize
+from labelflow.scale import dimension, materialize, table_and_rows
 from labelflow.schema import DEFAULT_SEED, DEFAULT_TEST_SIZE
 
 # Leading hex digits of the order key that are counted before any ranking.
@@ -47,24 +47,25 @@ def allocate(counts: DataFrame, label: str, test_size: float = DEFAULT_TEST_SIZE
     )
 
 
-def check_classes(sizes: DataFrame, label: str) -> None:
-    """Raise when a class of `allocate` is missing or too small for a stratified split."""
-    whole = W.partitionBy()
-    classes = F.count("*").over(whole)
-    bad = (
-        sizes.withColumn("room", F.least(F.sum("n_train").over(whole), F.sum("n_test").over(whole)))
-        .withColumn("classes", classes)
-        .filter(F.col(label).isNull() | (F.col("n") < 2) | (F.col("room") < F.col("classes")))
-        .take(20)
-    )
+def _check_classes(sizes: DataFrame, rows: list[Row] | None, label: str) -> None:
+    """Raise when a class of `_checked` sizes is missing or too small for a stratified split."""
+    bad = [r for r in rows if r.bad] if rows is not None else sizes.filter("bad").take(20)
     if bad:
-        names = ", ".join(f"{r[label]} ({r.n} rows)" for r in bad)
+        names = ", ".join(f"{r[label]} ({r.n} rows)" for r in bad[:20])
         raise ValueError(
             "a stratified split needs a class on every row, two rows per class, and room for "
             f"every class on both sides; see {names}"
         )
 
 
+def _checked(sizes: DataFrame, label: str) -> DataFrame:
+    """`(label, n, wanted, bad)`: train rows per class, and whether the class forbids a split."""
+    whole = W.partitionBy()
+    room = F.least(F.sum("n_train").over(whole), F.sum("n_test").over(whole))
+    bad = F.col(label).isNull() | (F.col("n") < 2) | (room < F.count("*").over(whole))
+    return sizes.select(label, "n", F.col("n_train").alias("wanted"), bad.alias("bad"))
+
+
 def _buckets(rows: DataFrame, label: str) -> DataFrame:
     """Rows per class and leading hex digits of `h`; at most 16^4 per class at any row count."""
     counts = rows.groupBy(label, F.substring("h", 1, _BUCKET_DIGITS).alias("bucket")).agg(
@@ -73,27 +74,28 @@ def _buckets(rows: DataFrame, label: str) -> DataFrame:
     return materialize(counts, "split-buckets")
 
 
-def _cuts(rows: DataFrame, buckets: DataFrame, sizes: DataFrame, label: str) -> DataFrame:
+def _cuts(rows: DataFrame, buckets: DataFrame, wanted: DataFrame, label: str, small: bool) -> DataFrame:
     """`(label, cut, copies, take)`: the value of `h` at which each class has its `wanted` rows.
 
     `copies` rows carry that value and `take` of them are still wanted. Only the bucket that
-    holds the cut is looked at row by row.
+    holds the cut is looked at row by row. `small` says that the number of classes was checked:
+    there is one crossing bucket per class, so that table may be broadcast too.
     """
     upto = F.sum("n").over(W.partitionBy(label).orderBy("bucket"))
     crossing = (
         buckets.withColumn("upto", upto)
-        .join(sizes, label)
+        .join(wanted, label)
         .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
         .select(label, "bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("inside"))
     )
     values = (
         rows.withColumn("bucket", F.substring("h", 1, _BUCKET_DIGITS))
-        .join(dimension(crossing), [label, "bucket"])
+        .join(F.broadcast(crossing) if small else crossing, [label, "bucket"])
         .groupBy(label, "h", "inside")
         .agg(F.count("*").alias("copies"))
     )
     reach = F.sum("copies").over(W.partitionBy(label).orderBy("h"))
-    found = (
+    return (
         values.withColumn("reach", reach)
         .filter((F.col("reach") >= F.col("inside")) & (F.col("reach") - F.col("copies") < F.col("inside")))
         .select(
@@ -101,7 +103,6 @@ def _cuts(rows: DataFrame, buckets: DataFrame, sizes: DataFrame, label: str) ->
             (F.col("inside") - F.col("reach") + F.col("copies")).alias("take"),
         )
     )
-    return dimension(found, name="split-cuts")
 
 
 def stratified_split(
@@ -120,25 +121,31 @@ def stratified_split(
     """
     rows = df.select(label, order_key(key, seed).alias("h"))
     buckets = _buckets(rows, label)
-    sizes = dimension(allocate(buckets.groupBy(label).agg(F.sum("n").alias("n")), label, test_size))
-    check_classes(sizes, label)
-    wanted = sizes.select(label, F.col("n_train").alias("wanted"))
-    cuts = _cuts(rows, buckets, wanted, label)
+    counts = buckets.groupBy(label).agg(F.sum("n").alias("n"))
+    checked = _checked(allocate(counts, label, test_size), label)
+    sizes, few_sizes = table_and_rows(checked)
+    _check_classes(sizes, few_sizes, label)
+    found = _cuts(rows, buckets, sizes.select(label, "wanted"), label, few_sizes is not None)
+    cuts, few_cuts = table_and_rows(found)
 
     placed = df.withColumn("h", order_key(key, seed)).join(cuts, label, "left")
     # A class without train rows has no cut and is all test.
     before = F.coalesce(F.col("h") <= F.col("cut"), F.lit(False))
     columns = [*df.columns, "is_train"]
-    if not cuts.filter("take < copies").take(1):
+    inside_copies = cuts.filter("take < copies")
+    divided = (
+        any(r.take < r.copies for r in few_cuts) if few_cuts is not None else inside_copies.take(1)
+    )
+    if not divided:
         return placed.withColumn("is_train", before).select(*columns)
 
     at_cut = F.coalesce((F.col("h") == F.col("cut")) & (F.col("take") < F.col("copies")), F.lit(False))
     clear = placed.filter(~at_cut).withColumn("is_train", before).select(*columns)
     shared = placed.filter(at_cut).select(*df.columns)
-    return clear.unionByName(_split_shared(shared, cuts.filter("take < copies"), label))
+    return clear.unionByName(_split_shared(shared, inside_copies, label, few_cuts is not None))
 
 
-def _split_shared(shared: DataFrame, cuts: DataFrame, label: str) -> DataFrame:
+def _split_shared(shared: DataFrame, cuts: DataFrame, label: str, small: bool) -> DataFrame:
     """Divide rows of one key per class: the first `take` in content order go to the train side.
 
     Identical rows are interchangeable: where they straddle the cut they are written again from
@@ -148,7 +155,7 @@ def _split_shared(shared: DataFrame, cuts: DataFrame, label: str) -> DataFrame:
     hashed = shared.withColumn("h", content)
     rows = hashed.select(label, "h")
     wanted = cuts.select(label, F.col("take").alias("wanted"))
-    inner = _cuts(rows, _buckets(rows, label), wanted, label)
+    inner = dimension(_cuts(rows, _buckets(rows, label), wanted, label, small), name="split-cuts")
 
     placed = hashed.join(inner, label)
     columns = [*shared.columns, "is_train"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # A dimension above this many rows is joined by shuffle instead of broadcast.
@@ -47,13 +47,26 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[Row] | None:
+    """All rows of `df` when there are at most `max_rows`, else None; no more ever reach the driver."""
+    rows = df.take(max_rows + 1)
+    return rows if len(rows) <= max_rows else None
+
+
+def table_and_rows(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, name: str = "dimension"
+) -> tuple[DataFrame, list[Row] | None]:
+    """`dimension` together with its rows when they are few."""
+    rows = few_rows(df, max_rows)
+    if rows is None:
+        return materialize(df, name), None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), rows
+
+
 def dimension(df: DataFrame, max_rows: int = BROADCAST_ROWS, name: str = "dimension") -> DataFrame:
     """Small table for lookups: a broadcast local table when its size is proven, else a written one.
 
-    At most `max_rows + 1` rows reach the driver. A larger table keeps its rows, gets no
-    broadcast hint and is left to shuffled joins, which AQE splits where keys are skewed.
+    A larger table keeps its rows, gets no broadcast hint and is left to shuffled joins, which
+    AQE splits where keys are skewed.
     """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return materialize(df, name)
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return table_and_rows(df, max_rows, name)[0]

@@ -47,3 +47,21 @@ def test_balanced_weights(spark):
     assert got == {0: (6, 10 / 18), 1: (3, 10 / 9), 2: (1, 10 / 3)}
     total = with_class_weight(df.filter("y IS NOT NULL"), weights, "y").groupBy().sum("weight").first()[0]
     assert total == pytest.approx(10)
+
+
+def test_many_classes_go_without_broadcast(spark, monkeypatch):
+    from functools import partial
+
+    from labelflow import scale
+    from labelflow.operators import encode
+
+    df = records(spark, LABELS)
+    few = rows(encode_labels(df))
+    monkeypatch.setattr(encode, "dimension", partial(scale.dimension, max_rows=1))
+    assert rows(encode_labels(df)) == few
+    assert rows(with_class_weight(*many(spark)), "y", "weight") == [(i % 5, 1.0) for i in sorted(range(50), key=lambda i: i % 5)]
+
+
+def many(spark):
+    df = spark.range(50).selectExpr("id % 5 AS y")
+    return df, class_weights(df, "y"), "y"

@@ -116,3 +116,17 @@ def test_no_window_over_rows_of_a_class(spark):
     plan = stratified_split(df, "id", "label")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_many_classes_go_without_broadcast(spark, monkeypatch):
+    """Above the size check the class tables are joined by shuffle; the rows stay the same."""
+    from functools import partial
+
+    from labelflow import scale
+
+    monkeypatch.setattr(split, "table_and_rows", partial(scale.table_and_rows, max_rows=3))
+    df = spark.createDataFrame(labelled(), "id string, label string").repartition(4)
+    assert rows(stratified_split(df, "id", "label")) == brute_split(labelled())
+    with pytest.raises(ValueError, match=r"EXC \(1 rows\)"):
+        bad = labelled()[:470] + [("z", "EXC")]
+        stratified_split(spark.createDataFrame(bad, "id string, label string"), "id", "label")
