@@ -71,12 +71,15 @@ def run_prelabel(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
-    counts, distribution = merge.merge(
+    merged = merge.merge(
         _read(spark, args.existing), _read(spark, args.new), args.output,
         strict=args.strict_exclude_exc, as_csv=args.output.endswith(".csv"),
     )
-    counts.show()
-    distribution.show(100, truncate=False)
+    print(
+        f"existing {merged.existing_rows} + new {merged.new_rows} = merged {merged.merged_rows}, "
+        f"left out {merged.dropped_rows}"
+    )
+    merged.distribution.show(100, truncate=False)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:

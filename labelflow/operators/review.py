@@ -43,10 +43,11 @@ def confidence_summary(scored: DataFrame) -> DataFrame:
 
 
 def flag_counts(scored: DataFrame) -> DataFrame:
-    """`(flag, n)` for every keyword group that occurs; pre-counted by flag list."""
-    lists = scored.filter(F.col("minority_candidate") != "").groupBy("minority_candidate").agg(
-        F.count("*").alias("n")
-    )
-    return lists.select(F.explode(F.split("minority_candidate", ",")).alias("flag"), "n").groupBy(
-        "flag"
-    ).agg(F.sum("n").alias("n"))
+    """`(flag, n)` for every keyword group that occurs; pre-counted by flag list.
+
+    Blank lists leave after the split: an earlier filter would be pushed down to the scan and
+    search the texts a second time.
+    """
+    lists = scored.groupBy("minority_candidate").agg(F.count("*").alias("n"))
+    flags = lists.select(F.explode(F.split("minority_candidate", ",")).alias("flag"), "n")
+    return flags.filter("flag <> ''").groupBy("flag").agg(F.sum("n").alias("n"))
