@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -26,14 +26,20 @@ def with_combined_text(records: DataFrame) -> DataFrame:
     )
 
 
-def prelabel(records: DataFrame, score: Callable[[DataFrame], DataFrame], **labels) -> Prelabelled:
+def prelabel(
+    records: DataFrame, score: Callable[[DataFrame], DataFrame],
+    carry: Sequence[str] | None = None, **labels,
+) -> Prelabelled:
     """Review queue and its summary.
 
+    `carry` names the record columns of the queue, all by default; leaving the texts out keeps
+    them out of the sort.
+
     `score` adds `category_logits` and `function_logits` to records with `combined_text`; `labels`
     go to `with_predictions`. The scored table is written once, so the model runs once per row
     although the queue samples its input and the summary reads it again.
     """
     scored = with_predictions(score(with_combined_text(records)), **labels)
-    own = [c for c in records.columns if c not in AUDIT_COLUMNS]
+    own = [c for c in carry or records.columns if c not in AUDIT_COLUMNS]
     written = materialize(with_keyword_flags(scored).select(*own, *AUDIT_COLUMNS), "scored")
     return Prelabelled(review_order(written), confidence_summary(written))

@@ -152,5 +152,7 @@ def test_prelabel_adds_exactly_the_audit_columns(spark):
     confidences = [r.min_confidence for r in out.queue.select("min_confidence").collect()]
     assert confidences == sorted(confidences) and len(confidences) == records.count()
     assert out.summary.first().n == len(confidences)
+    narrow = prelabel(records, lambda df: with_logits(df, load, "combined_text"), ["app_id"])
+    assert narrow.queue.columns == ["app_id", *AUDIT_COLUMNS]
     # The queue and the summary read the written scores, not the model.
     assert "ArrowEvalPython" not in out.queue._jdf.queryExecution().executedPlan().toString()
