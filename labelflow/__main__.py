@@ -75,9 +75,10 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
         _read(spark, args.existing), _read(spark, args.new), args.output,
         strict=args.strict_exclude_exc, as_csv=args.output.endswith(".csv"),
     )
+    n = merged.counts
     print(
-        f"existing {merged.existing_rows} + new {merged.new_rows} = merged {merged.merged_rows}, "
-        f"left out {merged.dropped_rows}"
+        f"existing {n.existing_rows} + new {n.new_rows} = merged {n.merged_rows}, "
+        f"left out {n.dropped_rows}"
     )
     merged.distribution.show(100, truncate=False)
 

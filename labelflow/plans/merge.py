@@ -4,35 +4,25 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
-from labelflow.operators.merge import class_distribution, excluded, merge_labeled
+from labelflow.operators.merge import class_distribution, merge_counts, merge_labeled
 from labelflow.sinks.records import write_records, write_records_csv
 
 
 class Merged(NamedTuple):
-    existing_rows: int
-    new_rows: int
-    dropped_rows: int
-    merged_rows: int
+    counts: Row
     distribution: DataFrame
 
 
 def merge(
     existing: DataFrame, new: DataFrame, output: str, strict: bool = False, as_csv: bool = False
 ) -> Merged:
-    """Write the merged table. The counts are observed during the write, without another scan;
-    the distribution reads the label columns only.
+    """Write the merged table. Counts and distribution read the two label columns only.
+
+    The counts are not observed during the write: once a session has used an `Observation`,
+    later Spark ML transforms in it fail to serialize (Spark 4.1).
     """
-    old_side, new_side = Observation("existing"), Observation("new")
-    drop = excluded(strict)
-    merged = merge_labeled(
-        existing.observe(old_side, F.count("*").alias("n")),
-        new.observe(new_side, F.count_if(drop).alias("dropped"), F.count_if(~drop).alias("kept")),
-        strict,
-    )
+    merged = merge_labeled(existing, new, strict)
     (write_records_csv if as_csv else write_records)(merged, output)
-    old, kept, dropped = old_side.get["n"], new_side.get["kept"], new_side.get["dropped"]
-    distribution = class_distribution(merge_labeled(existing, new, strict))
-    return Merged(old, kept, dropped, old + kept, distribution)
+    return Merged(merge_counts(existing, new, strict).first(), class_distribution(merged))
