@@ -33,33 +33,40 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles mg g gram gr
 
 # Control characters can't be in a token of their own: the text's are removed with the punctuation.
 _NAME, _NUMBER, _UNIT = "\x02", "\x03", "\x04"
-_NAME_PATTERN = r"(?<=[\p{Ll}\p{Nd},;)] )\p{Lu}[\p{L}'’-]*"
-_NUMBER_MARKS = r"(?<!\p{Nd})[.,]|[.,](?!\p{Nd})|[^\p{L}\p{Nd}\p{M}.,\x02]+"
+# Each pattern begins with what is rare in a text, and looks back from there.
+_NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;)] \p{Lu})[\p{L}'’-]*"
+_INSIDE_NUMBER = r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})"
+_BETWEEN_WORDS = r"[^\p{L}\p{Nd}\p{M}\x02]+"
 
 
 def _words(text: Column) -> Column:
     """Lower-case words in one string with single spaces; names are marked, values kept."""
-    cleared = F.translate(F.coalesce(text, F.lit("")), "\x02\x03\x04", "   ")
+    cleared = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x02-\x04]", " ")
     named = F.regexp_replace(cleared, _NAME_PATTERN, _NAME + "$0")
-    spaced = F.regexp_replace(F.lower(named), _NUMBER_MARKS, " ")
-    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
+    whole = F.regexp_replace(F.lower(named), _INSIDE_NUMBER, "")
+    return F.trim(F.regexp_replace(whole, _BETWEEN_WORDS, " "))
 
 
 def _template(words: Column) -> Column:
     """The same words with placeholders, one for one."""
     names = F.regexp_replace(words, _NAME + "[^ ]*", _NAME)
-    numbers = F.regexp_replace(names, r"(?<![^ ])\p{Nd}[^ ]*", _NUMBER)
-    return F.regexp_replace(numbers, rf"(?<={_NUMBER} )(?:{'|'.join(UNITS)})(?![^ ])", _UNIT)
+    numbers = F.regexp_replace(names, r"\p{Nd}(?<=^\p{Nd}| \p{Nd})[^ ]*", _NUMBER)
+    return F.regexp_replace(numbers, rf"{_NUMBER} (?:{'|'.join(UNITS)})(?![^ ])", f"{_NUMBER} {_UNIT}")
 
 
 def _tokens(words: Column) -> Column:
     return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
 
-def _windows(tokens: Column) -> Column:
+def _hashed(tokens: Column) -> Column:
+    """Hash of each token, so that windows are hashes of numbers."""
+    return F.transform(tokens, lambda t: F.xxhash64(t))
+
+
+def _windows(hashed: Column) -> Column:
     """Hash of each window, by its place from 0; empty for texts shorter than a window."""
-    places = F.when(F.size(tokens) >= WINDOW, F.sequence(F.lit(1), F.size(tokens) - (WINDOW - 1)))
-    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(tokens, i, WINDOW)))
+    places = F.when(F.size(hashed) >= WINDOW, F.sequence(F.lit(1), F.size(hashed) - (WINDOW - 1)))
+    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(hashed, i, WINDOW)))
     return F.coalesce(hashes, F.array().cast("array<bigint>"))
 
 
@@ -80,7 +87,8 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     )
     plain = F.size(F.filter(F.slice("tokens", F.col("ipos") + 1, WINDOW),
                             lambda t: ~t.isin(_NAME, _NUMBER, _UNIT)))
-    windows = items.select("item_id", "version", "tokens", F.posexplode(_windows(F.col("tokens"))).alias("ipos", "w"))
+    windows = items.withColumn("hashed", _hashed(F.col("tokens"))).select(
+        "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w"))
     return windows.filter(plain >= PLAIN_WORDS).select("w", "item_id", "version", "ipos"), items
 
 
@@ -96,9 +104,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     )
     windows, items = benchmark_windows(benchmark, item_key, item_text)
     known = materialize(windows, "benchmark-windows")
-    tokens = F.col("tokens")
-    exploded = rows.select("doc_id", "h", _tokens(_template(_words(F.col("text")))).alias("tokens")).select(
-        "doc_id", "h", F.posexplode(_windows(tokens)).alias("dpos", "w"))
+    hashed = _hashed(_tokens(_template(_words(F.col("text")))))
+    exploded = rows.select("doc_id", "h", hashed.alias("hashed")).select(
+        "doc_id", "h", F.posexplode(_windows(F.col("hashed"))).alias("dpos", "w"))
     hits = exploded.join(_small(known, BROADCAST_ROWS), "w").select(
         "doc_id", "h", "item_id", "version", "dpos", "ipos").distinct()
     hits = materialize(hits, "window-hits")
