@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 from pyspark import TaskContext
@@ -59,6 +60,21 @@ def shared_class(word: bytes) -> int:
     return _suffix_class(word[-2:])
 
 
+class _Classes(dict):
+    """Class of each word, remembered up to a bound beside the words with a class of their own."""
+
+    def __init__(self, own: dict[bytes, int]):
+        super().__init__(own)
+        self.own = own
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > HELD_WORDS:
+            self.clear()
+            self.update(self.own)
+        value = self[word] = shared_class(word)
+        return value
+
+
 # Counts -----------------------------------------------------------------------------------------
 
 
@@ -103,10 +119,6 @@ class Counts:
                 self.class_tokens[shared_class(w)] -= self.frequent[w]
                 self.class_distinct[shared_class(w)] -= 1
 
-    def classes(self, words: list[bytes]) -> list[int]:
-        own = self.own
-        return [own[w] if w in own else _suffix_class(w[-2:]) for w in words]
-
 
 # Model ------------------------------------------------------------------------------------------
 
@@ -214,11 +226,12 @@ def train_model(rows: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
         def run(batches):
             mine = Model(class_tokens, start)
             rng = np.random.default_rng([SEED, turn, TaskContext.get().partitionId()])
+            class_of = _Classes(own).__getitem__
             held: list[int] = []
             tokens = 0
             for b in batches:
                 for t in b["text"]:
-                    held += [own[w] if w in own else _suffix_class(w[-2:]) for w in words_of(t)]
+                    held += map(class_of, words_of(t))
                     if len(held) >= 50 * BATCH:
                         mine.train(np.array(held), rng)
                         tokens += len(held)
@@ -256,44 +269,50 @@ def score_texts(docs: DataFrame, held_out_fold: int = 1, key: str = "doc_id", te
 
     def run(batches):
         model, normalisers, own, frequent, shared = send.value
-        log_count = {w: float(np.log10(c + 0.5)) for w, c in frequent.items()}
+        place = {w: i for i, w in enumerate(frequent)}
+        log_count = np.log10(np.fromiter(frequent.values(), float, len(frequent)) + 0.5)
+        cls = np.array([own[w] if w in own else shared_class(w) for w in frequent], dtype=np.int64)
+        get, absent = place.get, len(place)
+        log_count, cls = np.append(log_count, 0.0), np.append(cls, 0)
         next_row = TaskContext.get().partitionId() << 33
 
-        def out(docs, rows, ids, starts):
+        def out(keys, texts, first):
             """Rows of texts, then rows of their words that are not frequent."""
-            ids = np.array(ids)
+            words = [w for t in texts for w in t]
+            at = np.fromiter(map(get, words, repeat(absent)), dtype=np.int64, count=len(words))
+            ids = cls[at]
+            rare = np.flatnonzero(at == absent)
+            ids[rare] = [own[w] if w in own else shared_class(w) for w in map(words.__getitem__, rare.tolist())]
+            size = np.array([len(t) for t in texts])
+            start = np.concatenate(([0], np.cumsum(size)[:-1]))
             logs = model.log_probabilities(ids, normalisers) / np.log(10.0)
-            logs -= np.where(ids < OWN, 0.0, shared[ids])
-            sums = np.add.reduceat(logs, starts)
-            for d, s in zip(docs, sums):
-                d["score"] += float(s)
-            names = ("row", "doc_id", "held_out", "word", "n", "known", "base", "score")
-            filled = [{**dict.fromkeys(names), **r} for r in docs + rows]
-            return {c: [r[c] for r in filled] for c in names}
-
-        docs, rows, ids, starts = [], [], [], []
+            # A word that is a class of its own has probability 1 in it.
+            logs += np.where(ids < OWN, 0.0, log_count[at] - shared[ids])
+            counts = Counter(zip(np.repeat(np.arange(len(texts)), size)[rare].tolist(), map(words.__getitem__, rare.tolist())))
+            n, m = len(texts), len(counts)
+            none = [None] * m
+            return {
+                "row": [*range(first, first + n), *(first + d for d, _ in counts)],
+                "doc_id": [k[0] for k in keys] + none, "held_out": [k[1] for k in keys] + none,
+                "word": [None] * n + [w for _, w in counts], "n": [*size.tolist(), *counts.values()],
+                # Of a rare word: whether it is a class of its own. Only the end token can be one.
+                "known": [*np.add.reduceat(at < absent, start, dtype=np.int64).tolist(), *(int(w in own) for _, w in counts)],
+                "base": [*(np.add.reduceat(log_count[at], start) - size * log_total).tolist(), *none],
+                "score": [*np.add.reduceat(logs, start).tolist(), *none],
+            }
+
+        keys, texts, tokens = [], [], 0
         for b in batches:
             for doc_id, held, t in zip(b["doc_id"], b["held_out"], b["text"]):
-                words = words_of(t)
-                starts.append(len(ids))
-                classes = [own[w] if w in own else _suffix_class(w[-2:]) for w in words]
-                ids += classes
-                logs = [log_count[w] for w in words if w in log_count]
-                rare = Counter([w for w in words if w not in log_count])
-                base = sum(logs)
-                # A word that is a class of its own has probability 1 in it.
-                inside = base - sum([log_count[w] for w in words if w in own and w in log_count])
-                docs.append({"row": next_row, "doc_id": doc_id, "held_out": held, "n": len(words), "known": len(logs),
-                             "base": base - len(words) * log_total, "score": inside})
-                # `known` tells apart the words that are classes of their own (only the end token
-                # can be one without a count).
-                rows += [{"row": next_row, "word": w, "n": n, "known": int(w in own)} for w, n in rare.items()]
-                next_row += 1
-                if len(ids) >= 200_000:
-                    yield out(docs, rows, ids, starts)
-                    docs, rows, ids, starts = [], [], [], []
-        if docs:
-            yield out(docs, rows, ids, starts)
+                keys.append((doc_id, held))
+                texts.append(words_of(t))
+                tokens += len(texts[-1])
+                if tokens >= 200_000:
+                    yield out(keys, texts, next_row)
+                    next_row += len(keys)
+                    keys, texts, tokens = [], [], 0
+        if keys:
+            yield out(keys, texts, next_row)
 
     scored = materialize(map_batches(
         texts.withColumn("held_out", held_out), run,
