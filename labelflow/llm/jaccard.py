@@ -9,9 +9,11 @@ inverted lists are scanned. The border is the size at which the estimated cost o
 * Order: shingles are counted in a fixed number of bins in the tasks, and the bins are summed. Any
   order that all documents share gives whole results; the counts only put frequent ones last.
 * Copies: equal sets are one entry (a hash of the set and its size), whatever their number.
-* Lists: the entries of a key are compared with one of them, its centre, and linked to it if they
-  are similar. Long lists are dealt to parts with a centre each, and the centres are compared with
-  each other's. Entries that are in one component by now need no comparison; of every list that
+* Places: a pair is a candidate only where the places of a common key leave enough elements behind
+  it in both sets; the first common key of similar sets always does.
+* Lists: the entries of a key are compared with up to four of them, its centres, and linked to
+  those that are similar. Long lists are dealt to parts with centres of their own, and one centre of
+  each part is compared with one of the key's. Entries that are in one component by now need no comparison; of every list that
   still holds several components, the entries outside its largest one are compared with all of
   other components. So every pair that shares a key is compared, or already connected, and no list
   of copies or near copies is expanded to pairs.
@@ -24,8 +26,6 @@ Shingles are 64-bit hashes.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -48,9 +48,19 @@ OUTPUT = "doc_id long, n_shingles long, component_id long"
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> dict[bytes, int]:
-    return {}
+class _WordHashes(dict):
+    """Hash of each word, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+
+        if len(self) > REMEMBERED:
+            self.clear()
+        value = self[word] = xxh64_intdigest(word)
+        return value
+
+
+_KNOWN = _WordHashes()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,19 +71,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: str) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit numbers."""
-    from xxhash import xxh64_intdigest
-
     # Bytes: lower() then changes A-Z only, split() cuts at the six ASCII white-space characters.
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    known = _word_hashes()
-    if len(known) > REMEMBERED:
-        known.clear()
-    for w in words:
-        if w not in known:
-            known[w] = xxh64_intdigest(w)
-    hashes = np.array([known[w] for w in words], dtype=np.uint64)
+    hashes = np.fromiter(map(_KNOWN.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(SHINGLE, len(words))
     with np.errstate(over="ignore"):
         out = np.full(len(words) - width + 1, width, dtype=np.uint64) * _P1
@@ -127,26 +129,29 @@ class Keys:
         self.counts, self.light_below = counts, light_below
         self.usual = 2 * float(counts.mean()) if len(counts) else 0.0
 
-    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and, for each, the number of parts that its list is dealt to."""
+    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, the number of parts that the list of each is dealt to, and how many elements a set
+        can share at most with one whose first common key it is."""
         n = len(shingles)
         count = self.counts[_bin(shingles)]
         first = np.lexsort((shingles, count))[:prefix(n, 2)]
         ordered, count = shingles[first], count[first]
-        keys, often = [], []
+        keys, often, rest = [], [], []
         with np.errstate(over="ignore"):
             if n < self.light_below and len(ordered) >= 2:
                 i, j = np.triu_indices(len(ordered), 1)
                 keys.append(_mix(_mix(ordered[i] + _P2) * _P1 + ordered[j]))
                 often.append(np.minimum(count[i], count[j]))
+                rest.append(n - j + 1)
         if SHARE[1] * n >= SHARE[0] * self.light_below:
             p = prefix(n, 1)
             keys.append(ordered[:p])
             often.append(count[:p])
+            rest.append(n - np.arange(p))
         if not keys:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
+            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         extra = np.maximum(0, np.concatenate(often) - self.usual)
-        return np.concatenate(keys), 1 + (extra // PART).astype(np.int64)
+        return np.concatenate(keys), 1 + (extra // PART).astype(np.int64), np.concatenate(rest)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -181,20 +186,21 @@ def _bin_counts(facts: DataFrame) -> np.ndarray:
 
 
 def _key_rows(texts: DataFrame, counts: np.ndarray, light_below: int) -> DataFrame:
-    """`(key, part, parts, entry, n)`; a task emits the keys of equal sets once."""
+    """`(key, part, parts, entry, n, rest)`; a task emits the keys of equal sets once."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         maker, seen = Keys(shared.value, light_below), set()
         for b in batches:
-            out = {"key": [], "part": [], "parts": [], "entry": [], "n": []}
+            out = {"key": [], "part": [], "parts": [], "entry": [], "n": [], "rest": []}
             for t in b["text"]:
                 shingles = shingle_set(t)
                 if not len(shingles) or (entry := entry_of(shingles)) in seen:
                     continue
                 seen.add(entry)
-                keys, parts = maker.of(shingles)
+                keys, parts, rest = maker.of(shingles)
                 out["key"].append(_signed(keys))
+                out["rest"].append(rest)
                 out["parts"].append(parts)
                 out["part"].append((entry & 0x7FFFFFFFFFFF) % np.maximum(parts, 1))
                 out["entry"].append(np.full(len(keys), entry, dtype=np.int64))
@@ -205,23 +211,33 @@ def _key_rows(texts: DataFrame, counts: np.ndarray, light_below: int) -> DataFra
             if out["key"]:
                 yield {c: np.concatenate(v) for c, v in out.items()}
 
-    return map_batches(texts.select("text"), run, "key long, part long, parts long, entry long, n long")
+    return map_batches(texts.select("text"), run, "key long, part int, parts int, entry long, n int, rest int")
+
+
+CENTRES = ("low", "high", "early", "first")
 
 
 def _lists(rows: DataFrame) -> DataFrame:
-    """Rows of keys that several entries have, with the centre of their part: the smallest entry."""
+    """Rows of keys that several entries have, with the centres of their part: the smallest and the
+    largest entry, and two with the key early in their order."""
     part = W.partitionBy("key", "part")
-    low = F.min(F.struct("entry", "n")).over(part)
-    marked = rows.withColumn("centre", low).withColumn("high", F.max("entry").over(part))
-    live = marked.filter((F.col("centre.entry") != F.col("high")) | (F.col("parts") > 1))
+    by_entry, by_rest = F.struct("entry", "n", "rest"), F.struct("rest", "entry", "n")
+    by_less = F.struct((-F.col("rest")).alias("less"), "entry", "n", "rest")
+    marked = rows.select("key", "parts", "entry", "n", "rest", *(
+        f(by).over(part).alias(name) for name, f, by in zip(
+            CENTRES, (F.min, F.max, F.max, F.min), (by_entry, by_entry, by_rest, by_less))))
+    live = marked.filter((F.col("low.entry") != F.col("high.entry")) | (F.col("parts") > 1))
     # Copies in several tasks came as several rows.
-    return materialize(live.select(
-        "key", "parts", "entry", "n", F.col("centre.entry").alias("centre"), F.col("centre.n").alias("centre_n")
-    ).distinct(), "shingle-lists")
+    return materialize(live.distinct(), "shingle-lists")
+
 
+def _fits(n: str, rest: str, m: str, other_rest: str) -> Column:
+    """Whether the sizes allow enough common elements, given the place of a common key in both.
 
-def _fits(a: str, b: str) -> Column:
-    return (F.lit(SHARE[1]) * F.least(a, b)) >= (F.lit(SHARE[0]) * F.greatest(a, b))
+    The first common key of two similar sets passes: all common elements stand from there on.
+    """
+    return (F.lit(SHARE[0] + SHARE[1]) * F.least(rest, other_rest).cast("long")) >= (
+        F.lit(SHARE[0]) * (F.col(n).cast("long") + F.col(m)))
 
 
 def _pair(a: str, b: str) -> list:
@@ -229,14 +245,16 @@ def _pair(a: str, b: str) -> list:
 
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    """Each entry with the centre of its part, and the centres of a key's parts with one of them."""
-    near = lists.filter((F.col("entry") != F.col("centre")) & _fits("n", "centre_n")).select(*_pair("entry", "centre"))
-    centres = lists.filter("parts > 1").select("key", "centre", "centre_n").distinct()
-    first = centres.groupBy("key").agg(F.min(F.struct("centre", "centre_n")).alias("first"))
-    far = centres.join(first, "key").select("centre", "centre_n", F.col("first.centre").alias("c"),
-                                            F.col("first.centre_n").alias("cn"))
-    far = far.filter((F.col("centre") != F.col("c")) & _fits("centre_n", "cn")).select(*_pair("centre", "c"))
-    return near.union(far).distinct()
+    """Each entry with the centres of its part, and the first centres of a key's parts with one of them."""
+    centres = F.array(*(F.struct(*(F.col(f"{c}.{f}").alias(f) for f in ("entry", "n", "rest"))) for c in CENTRES))
+    near = lists.select("entry", "n", "rest", F.explode(F.array_distinct(centres)).alias("c"))
+    first = lists.filter("parts > 1").select("key", "low").distinct()
+    one = first.groupBy("key").agg(F.min("low").alias("c"))
+    far = first.join(one, "key").select("low.entry", "low.n", "low.rest", "c")
+    both = near.union(far).select("entry", "n", "rest", F.col("c.entry").alias("c"), F.col("c.n").alias("cn"),
+                                  F.col("c.rest").alias("cr"))
+    return both.filter((F.col("entry") != F.col("c")) & _fits("n", "rest", "cn", "cr")).select(
+        *_pair("entry", "c")).distinct()
 
 
 def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
@@ -285,21 +303,25 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(map_batches(joined.select("a", "b", "x", "y"), run, "a long, b long"), "links")
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of a list that are in different components, but for those that were compared before."""
-    named = lists.select("key", "entry", "n").distinct().join(
-        roots.select(F.col("node").alias("entry"), "root"), "entry", "left"
-    ).select("key", "entry", "n", F.coalesce("root", "entry").alias("root"))
+def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several components, with the largest one of the list, `main`."""
+    named = lists.select("key", "entry", "n", "rest").distinct().join(
+        components(links).select(F.col("node").alias("entry"), "root"), "entry", "left"
+    ).select("key", "entry", "n", "rest", F.coalesce("root", "entry").alias("root"))
     named = materialize(named, "named-lists")
     per_key = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows")).groupBy("key").agg(
         F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    several = named.join(per_key.filter("roots > 1").select("key", "main"), "key")
-    several = materialize(several, "open-lists")
-    rest = several.filter("root <> main").select("key", F.col("entry").alias("e"), F.col("n").alias("m"),
-                                                 F.col("root").alias("r"))
-    pairs = rest.join(several, "key").filter(
-        (F.col("root") != F.col("r")) & _fits("n", "m") & ((F.col("root") == F.col("main")) | (F.col("e") < F.col("entry"))))
-    return pairs.select(*_pair("e", "entry")).distinct().join(tried, ["a", "b"], "left_anti")
+    return materialize(named.join(per_key.filter("roots > 1").select("key", "main"), "key"), "open-lists")
+
+
+def _open_pairs(lists: DataFrame) -> DataFrame:
+    """All pairs of a list that are in different components."""
+    rest = lists.filter("root <> main").select("key", F.col("entry").alias("e"), F.col("n").alias("m"),
+                                               F.col("rest").alias("s"), F.col("root").alias("r"))
+    pairs = rest.join(lists, "key").filter(
+        (F.col("root") != F.col("r")) & _fits("n", "rest", "m", "s")
+        & ((F.col("root") == F.col("main")) | (F.col("e") < F.col("entry"))))
+    return pairs.select(*_pair("e", "entry")).distinct()
 
 
 def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -316,10 +338,10 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
     light_below = border([(r.n_shingles, r["count"]) for r in small], lists)
     listed = _lists(_key_rows(texts, counts, light_below))
     sets = _sets(texts, listed.select("entry"))
-    pairs = materialize(_star_pairs(listed), "star-pairs")
-    links = _verified(pairs, sets)
-    more = _verified(materialize(_open_pairs(listed, components(links), pairs), "open-pairs"), sets)
-    return rows, components(links.union(more))
+    tried = materialize(_star_pairs(listed), "star-pairs")
+    links = _verified(tried, sets)
+    pairs = _open_pairs(_open_lists(listed, links)).join(tried, ["a", "b"], "left_anti")
+    return rows, components(links.union(_verified(materialize(pairs, "open-pairs"), sets)))
 
 
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
