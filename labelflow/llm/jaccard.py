@@ -26,6 +26,8 @@ Shingles are 64-bit hashes.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -40,6 +42,7 @@ SHARE = (75, 100)  # similarity as a fraction
 BINS = 1 << 18  # of the counts that order the shingles; the table goes to every task
 MAX_BORDER = 32  # the border is looked for among sizes up to this one
 PART = 4096  # a key's list is dealt to one part for each so many rows above the usual
+KEY_BITS = 40  # keys that meet by chance cost a comparison; fewer bits are less to shuffle
 MARKS = 1 << 22  # bits of the filter on entries that were candidates
 BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
 REMEMBERED = 1 << 18  # hashed words that a worker keeps
@@ -69,19 +72,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit numbers."""
+_STEPS = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+                   0x27D4EB2F165667C5], dtype=np.uint64)
+
+
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """The distinct shingles of each text as sorted 64-bit numbers."""
     # Bytes: lower() then changes A-Z only, split() cuts at the six ASCII white-space characters.
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_KNOWN.__getitem__, words), dtype=np.uint64, count=len(words))
-    width = min(SHINGLE, len(words))
+    words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    lengths = [len(w) for w in words]
+    hashes = np.fromiter(map(_KNOWN.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=sum(lengths))
     with np.errstate(over="ignore"):
-        out = np.full(len(words) - width + 1, width, dtype=np.uint64) * _P1
-        for i in range(width):
-            out = _mix(out + hashes[i:len(hashes) - width + 1 + i]) * _P1
-        return np.unique(_mix(out))
+        whole = np.zeros(max(0, len(hashes) - SHINGLE + 1), dtype=np.uint64)
+        for i, step in enumerate(_STEPS):
+            whole += hashes[i:i + len(whole)] * step
+        whole = _mix(whole)
+        out, at = [], 0
+        for n in lengths:
+            if n >= SHINGLE:
+                out.append(np.unique(whole[at:at + n - SHINGLE + 1]))
+            else:  # the whole sequence as one, told apart by its length
+                some = (hashes[at:at + n] * _STEPS[:n]).sum(dtype=np.uint64, keepdims=True) if n else hashes[:0]
+                out.append(_mix(some + np.uint64(n)))
+            at += n
+    return out
+
+
+def _pieces(texts: list[str]):
+    """The texts in groups of some 100,000 characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if size > 100_000:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def entry_of(shingles: np.ndarray) -> int:
@@ -164,12 +191,13 @@ def _facts(texts: DataFrame) -> DataFrame:
     def run(batches):
         bins = np.zeros(BINS, dtype=np.int64)
         for b in batches:
-            sets = [shingle_set(t) for t in b["text"]]
-            for at in range(0, len(sets), 256):
-                some = np.concatenate(sets[at:at + 256])
-                bins += np.bincount(_bin(some), minlength=BINS)
-            yield {"counts": [False] * len(sets), "id": b["doc_id"], "n": [len(s) for s in sets],
-                   "entry": [entry_of(s) if len(s) else None for s in sets], "h": b["h"]}
+            sizes, entries = [], []
+            for group in _pieces(b["text"]):
+                sets = shingle_sets(group)
+                bins += np.bincount(_bin(np.concatenate(sets)), minlength=BINS)
+                sizes += [len(s) for s in sets]
+                entries += [entry_of(s) if len(s) else None for s in sets]
+            yield {"counts": [False] * len(sizes), "id": b["doc_id"], "n": sizes, "entry": entries, "h": b["h"]}
         used = np.flatnonzero(bins)
         empty = [None] * len(used)
         yield {"counts": [True] * len(used), "id": used, "n": bins[used], "entry": empty, "h": empty}
@@ -193,13 +221,12 @@ def _key_rows(texts: DataFrame, counts: np.ndarray, light_below: int) -> DataFra
         maker, seen = Keys(shared.value, light_below), set()
         for b in batches:
             out = {"key": [], "part": [], "parts": [], "entry": [], "n": [], "rest": []}
-            for t in b["text"]:
-                shingles = shingle_set(t)
+            for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles) or (entry := entry_of(shingles)) in seen:
                     continue
                 seen.add(entry)
                 keys, parts, rest = maker.of(shingles)
-                out["key"].append(_signed(keys))
+                out["key"].append(_signed(keys >> np.uint64(64 - KEY_BITS)))
                 out["rest"].append(rest)
                 out["parts"].append(parts)
                 out["part"].append((entry & 0x7FFFFFFFFFFF) % np.maximum(parts, 1))
@@ -211,7 +238,7 @@ def _key_rows(texts: DataFrame, counts: np.ndarray, light_below: int) -> DataFra
             if out["key"]:
                 yield {c: np.concatenate(v) for c, v in out.items()}
 
-    return map_batches(texts.select("text"), run, "key long, part int, parts int, entry long, n int, rest int")
+    return map_batches(texts.select("text"), run, "key long, rest int, entry long, n int, part int, parts int")
 
 
 CENTRES = ("low", "high", "early", "first")
@@ -223,10 +250,15 @@ def _lists(rows: DataFrame) -> DataFrame:
     part = W.partitionBy("key", "part")
     by_entry, by_rest = F.struct("entry", "n", "rest"), F.struct("rest", "entry", "n")
     by_less = F.struct((-F.col("rest")).alias("less"), "entry", "n", "rest")
+    # A row whose place leaves too little even for the smallest possible partner of its list is of
+    # no use; a list in parts is not known as a whole here.
+    partner = F.greatest(F.min("n").over(part), F.ceil(F.col("n") * SHARE[0] / SHARE[1]))
+    enough = F.lit(SHARE[0] + SHARE[1]) * F.col("rest").cast("long") >= F.lit(SHARE[0]) * (F.col("n") + partner)
     marked = rows.select("key", "parts", "entry", "n", "rest", *(
         f(by).over(part).alias(name) for name, f, by in zip(
-            CENTRES, (F.min, F.max, F.max, F.min), (by_entry, by_entry, by_rest, by_less))))
-    live = marked.filter((F.col("low.entry") != F.col("high.entry")) | (F.col("parts") > 1))
+            CENTRES, (F.min, F.max, F.max, F.min), (by_entry, by_entry, by_rest, by_less))), enough.alias("of_use"))
+    live = marked.filter(((F.col("low.entry") != F.col("high.entry")) & F.col("of_use")) | (F.col("parts") > 1))
+    live = live.drop("of_use")
     # Copies in several tasks came as several rows.
     return materialize(live.distinct(), "shingle-lists")
 
@@ -269,8 +301,7 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
         wanted, seen = np.unpackbits(shared.value), set()
         for b in batches:
             out = {"entry": [], "set": []}
-            for t in b["text"]:
-                shingles = shingle_set(t)
+            for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles):
                     continue
                 entry = entry_of(shingles)
@@ -290,6 +321,9 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs `(a, b)` whose whole sets are similar."""
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), "entries-of-pairs")
+    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        sets = sets.join(F.broadcast(wanted), "entry", "left_semi")
     joined = pairs.join(sets.select(F.col("entry").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("entry").alias("b"), F.col("set").alias("y")), "b")
 
