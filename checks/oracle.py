@@ -198,7 +198,7 @@ def _records(source: str) -> str:
         f"{_text(_URL[0])} || app_id || {_text(_URL[1])} || 'ko' || {_text(_URL[2])} || upper('kr')"
     )
     blank = ", ".join(
-        f"'' AS {c}" for c in
+        f"CAST(NULL AS {'BOOLEAN' if c == 'is_boundary_case' else 'VARCHAR'}) AS {c}" for c in
         ("idea_desc", "collected_data", "category_id", "function_type", "is_boundary_case", "note")
     )
     return (
@@ -209,6 +209,12 @@ def _records(source: str) -> str:
 
 
 ORACLE["normalize_records"] = _with(DETAILS) + _records("details")
+ORACLE["collect_then_merge"] = _with(
+    APPS, DETAILS, ("collected", _records("details")),
+    ("reviewed", "SELECT * REPLACE (CASE WHEN length(app_name) % 3 = 0 THEN 'EXC' ELSE '2' END AS category_id, "
+                 "CASE WHEN length(app_name) % 2 = 0 THEN 'A' END AS function_type, "
+                 "length(app_name) % 5 = 0 AS is_boundary_case) FROM collected"),
+) + f"SELECT * FROM apps UNION ALL SELECT * FROM reviewed WHERE NOT {DROP}"
 ORACLE["combined_texts"] = _with(APPS) + (
     f"SELECT app_id, coalesce(description, '') || {_text(TEXT_SEPARATOR)} || "
     "coalesce(collected_data, '') AS combined_text FROM apps"
@@ -223,8 +229,8 @@ ORACLE["keyword_flags_conversations"] = (
 )
 _TOKENS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')"
 ORACLE["truncation_audit"] = _with(
-    LABELLED,
-    ("counted", f"SELECT quality, CAST(len({_TOKENS}) AS BIGINT) AS tokens FROM labelled"),
+    ("counted", f"SELECT quality, CAST(len({_TOKENS}) AS BIGINT) AS tokens "
+                "FROM documents LEFT JOIN labels USING (doc_id)"),
     ("sized", "SELECT *, greatest(tokens - (max_len - 2), 0) AS lost "
               "FROM counted, (VALUES (128), (512)) AS l(max_len)"),
 ) + (
@@ -286,6 +292,14 @@ ORACLE["keyword_yield"] = _with(
     "CAST(sum(coalesce(new_ids, 0)) OVER (ORDER BY pos) AS BIGINT) AS ids_so_far "
     "FROM kw LEFT JOIN n_hits USING (pos) LEFT JOIN n_new USING (pos)"
 )
+TURN_HITS = (
+    "hits",
+    "SELECT pos, keyword, conv_id AS id, CAST(sum((length(lower(text)) - "
+    "length(replace(lower(text), lower(keyword), ''))) // length(keyword)) AS BIGINT) AS score "
+    "FROM conversations JOIN kw ON contains(lower(text), lower(keyword)) GROUP BY pos, keyword, conv_id",
+)
+ORACLE["keyword_candidates_repeated_ids"] = _with(KEYWORDS, TURN_HITS, TOP) + "SELECT * FROM top"
+ORACLE["keyword_yield_repeated_ids"] = ORACLE["keyword_yield"].replace(HITS[1], TURN_HITS[1])
 ORACLE["discovered_candidates"] = _with(KEYWORDS, HITS, TOP_TEXT, FOUND) + "SELECT * FROM found"
 ORACLE["enrich_candidates"] = _with(
     KEYWORDS, HITS, TOP_TEXT, FOUND, DETAILS,

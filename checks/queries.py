@@ -219,7 +219,7 @@ def keyword_flags_conversations(spark, sf_dir):
 def truncation_audit(spark, sf_dir):
     documents = V.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = V.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    counted = truncation.with_token_count(documents, "text").join(labels, "doc_id")
+    counted = truncation.with_token_count(documents, "text").join(labels, "doc_id", "left")
     return rounded(truncation.truncation_audit(counted, "quality", [128, 512]))
 
 
@@ -258,6 +258,34 @@ def keyword_candidates(spark, sf_dir):
     return candidates.top_hits(_hits(spark, sf_dir))
 
 
+def _turn_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits in turns, by conversation: ids that have many rows."""
+    turns = V.table(spark, sf_dir, "conversations")
+    return candidates.search(turns, "conv_id", F.col("text"), V.SEARCH)
+
+
+@query
+def keyword_candidates_repeated_ids(spark, sf_dir):
+    return candidates.top_hits(_turn_hits(spark, sf_dir))
+
+
+@query
+def keyword_yield_repeated_ids(spark, sf_dir):
+    return candidates.keyword_yield(_turn_hits(spark, sf_dir), keyword_table(spark, V.SEARCH))
+
+
+@query
+def collect_then_merge(spark, sf_dir):
+    """Collected records, written as Parquet, with labels filled in, merged into the labelled ones."""
+    collected = materialize(details.normalize_records(V.details(spark, sf_dir)), "collected")
+    reviewed = collected.withColumns({
+        "category_id": F.when(F.length("app_name") % 3 == 0, "EXC").otherwise(F.lit("2")),
+        "function_type": F.when(F.length("app_name") % 2 == 0, "A"),
+        "is_boundary_case": F.length("app_name") % 5 == 0,
+    })
+    return merge.merge_labeled(V.apps(spark, sf_dir), reviewed)
+
+
 @query
 def first_keyword(spark, sf_dir):
     return candidates.first_keyword(_hits(spark, sf_dir), V.SEARCH)

@@ -27,6 +27,7 @@ from labelflow.schema import (
 from labelflow.session import session
 from labelflow.sinks.models import label_config, save_model
 from labelflow.sinks.records import write_collected_csv, write_records, write_records_csv
+from labelflow.scale import materialize
 from labelflow.sinks.reports import write_report_text
 from labelflow.sources.keywords import keyword_list, read_keywords
 from labelflow.sources.models import check_dictionary, load_model, read_label_config
@@ -52,7 +53,10 @@ def run_collect(spark: SparkSession, args: argparse.Namespace) -> None:
     records, missing = collect.collect_records(found, details, args.lang, args.country)
     ordered = collect.in_discovery_order(records, found)
     (write_collected_csv if args.output.endswith(".csv") else write_records)(ordered, args.output)
-    print(f"candidates: {found.count()}, without details: {missing.count()}")
+    missing = materialize(missing, "missing")
+    missing_path = args.output.removesuffix(".csv") + "-missing"
+    missing.write.csv(missing_path, header=True)
+    print(f"candidates: {found.count()}, without details: {missing.count()}, listed in {missing_path}")
 
 
 def run_prelabel(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -80,7 +84,11 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
         f"existing {n.existing_rows} + new {n.new_rows} = merged {n.merged_rows}, "
         f"left out {n.dropped_rows}"
     )
-    merged.distribution.show(100, truncate=False)
+    # Every value, in a file; the screen gets the same rows, fetched part by part.
+    distribution = materialize(merged.distribution, "distribution")
+    distribution.write.csv(args.output.removesuffix(".csv") + "-distribution", header=True)
+    for row in distribution.toLocalIterator():
+        print("\t".join(str(v) for v in row))
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelflow.functions.codes import at_index
+from labelflow.scale import dimension
 from labelflow.schema import DEFAULT_HITS_PER_KEYWORD
 
 # Local winners per keyword are merged in this many groups before the last ranking.
@@ -48,8 +49,13 @@ def search(
     )
 
 
+def per_id(hits: DataFrame) -> DataFrame:
+    """One row for each keyword and id; the scores of an id that has several rows are added."""
+    return hits.groupBy("pos", "keyword", "id").agg(F.sum("score").alias("score"))
+
+
 def top_hits(hits: DataFrame, n: int = DEFAULT_HITS_PER_KEYWORD) -> DataFrame:
-    """The `n` best matches of each keyword with their rank from 1; ties go to the smaller id.
+    """The `n` best ids of each keyword with their rank from 1; ties go to the smaller id.
 
     Each task keeps its own best `n` first, then groups of tasks do, so a keyword that matches
     most of the table never gathers its matches in one place.
@@ -57,7 +63,7 @@ def top_hits(hits: DataFrame, n: int = DEFAULT_HITS_PER_KEYWORD) -> DataFrame:
     best = [F.desc("score"), F.asc("id")]
     local = W.partitionBy("pos", "part").orderBy(*best)
     partial = (
-        hits.withColumn("part", F.spark_partition_id() % _MERGE_GROUPS)
+        per_id(hits).withColumn("part", F.spark_partition_id() % _MERGE_GROUPS)
         .withColumn("r", F.row_number().over(local))
         .filter(F.col("r") <= n)
         .drop("r", "part")
@@ -82,17 +88,17 @@ def discovery_order(hits: DataFrame) -> DataFrame:
 
 
 def keyword_yield(hits: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Per keyword: hits, ids it was first to find, and distinct ids so far, in list order.
+    """Per keyword: ids it finds, ids it was first to find, and distinct ids so far, in list order.
 
-    The last steps run over the keyword list, one row per keyword.
+    One aggregate by id holds the positions that found it, a set of at most one entry a keyword. The
+    last steps run over the keyword list, one row per keyword.
     """
-    per_id = hits.groupBy("id", "pos").agg(F.count("*").alias("n"))
-    first = F.min("pos").over(W.partitionBy("id"))  # at most one row per keyword in a group
+    found = hits.groupBy("id").agg(F.collect_set("pos").alias("found_by"))
     counts = (
-        per_id.withColumn("first", first)
+        found.select(F.explode("found_by").alias("pos"), F.array_min("found_by").alias("first"))
         .groupBy("pos")
-        .agg(F.sum("n").alias("hits"), F.count_if(F.col("pos") == F.col("first")).alias("new_ids"))
+        .agg(F.count("*").alias("hits"), F.count_if(F.col("pos") == F.col("first")).alias("new_ids"))
     )
-    listed = keywords.join(F.broadcast(counts), "pos", "left").fillna(0, ["hits", "new_ids"])
+    listed = keywords.join(dimension(counts), "pos", "left").fillna(0, ["hits", "new_ids"])
     running = F.sum("new_ids").over(W.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
     return listed.select("pos", "keyword", "hits", "new_ids", running.alias("ids_so_far"))

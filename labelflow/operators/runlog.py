@@ -26,10 +26,10 @@ def early_stopping(
     """Epochs up to the stop, with `is_best`, `streak` without improvement and `stops`."""
     run = W.partitionBy("run").orderBy("epoch")
     so_far = run.rowsBetween(W.unboundedPreceding, 0)
-    last_best = F.max(F.when(F.col("is_best"), F.col("epoch"))).over(so_far)
-    marked = mark_best(epochs, score).withColumn(
-        "streak", F.col("epoch") - F.coalesce(last_best, F.lit(0))
-    )
+    # Logged epochs are counted, not their numbers: a log may have gaps.
+    marked = mark_best(epochs, score).withColumn("place", F.row_number().over(run))
+    last_best = F.max(F.when(F.col("is_best"), F.col("place"))).over(so_far)
+    marked = marked.withColumn("streak", F.col("place") - F.coalesce(last_best, F.lit(0))).drop("place")
     stop = F.min(F.when(F.col("streak") >= patience, F.col("epoch"))).over(so_far)
     return (
         marked.withColumn("stop_epoch", stop)

@@ -12,13 +12,14 @@ from labelflow.schema import SEARCH_KEYWORDS
 
 
 def read_keywords(spark: SparkSession, path: str) -> DataFrame:
-    """Keyword file, one per line: `(pos, keyword)` with blanks dropped and order kept."""
+    """Keyword files, one per line: `(pos, keyword)` with blanks dropped, in order of file name and line."""
     lines = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"),
         F.posexplode(F.split(F.regexp_replace("value", "^\\ufeff", ""), r"\r\n|\r|\n")).alias("line", "raw")
     )
-    kept = lines.select("line", strip(F.col("raw")).alias("keyword")).filter("keyword != ''")
-    # One file holds the list, so its lines are few; numbering closes the gaps of blank lines.
-    return kept.selectExpr("row_number() OVER (ORDER BY line) - 1 AS pos", "keyword")
+    kept = lines.select("file", "line", strip(F.col("raw")).alias("keyword")).filter("keyword != ''")
+    # A list that people write, so its lines are few; numbering closes the gaps of blank lines.
+    return kept.selectExpr("row_number() OVER (ORDER BY file, line) - 1 AS pos", "keyword")
 
 
 def keyword_table(spark: SparkSession, keywords: Sequence[str] = SEARCH_KEYWORDS) -> DataFrame:

@@ -30,7 +30,7 @@ def read_records_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     """Records of CSV files with a header; columns are matched by name, never by position.
 
     All values are read as text, so `category_id` keeps its sentinel; missing-value tokens
-    become null, then the few typed columns are cast. Files whose header differs from the
+    become null, then the few typed columns are cast; a cell that is no value of its type is null. Files whose header differs from the
     first one are rejected. Quoted line breaks need `multi_line`, which makes one file one
     task: give large input as many files, or convert it once with `write_records`.
     """
@@ -41,7 +41,7 @@ def read_records_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     typed = {"is_boundary_case": "boolean", **_AUDIT_TYPES}
     clean = normalize_missing(raw)
     return clean.select([
-        F.col(c).cast(typed[c]).alias(c) if c in typed else F.col(c) for c in clean.columns
+        F.col(c).try_cast(typed[c]).alias(c) if c in typed else F.col(c) for c in clean.columns
     ])
 
 

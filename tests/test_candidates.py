@@ -11,10 +11,10 @@ from labelflow.operators.candidates import (
     search,
     top_hits,
 )
-from labelflow.operators.details import normalize_records
+from labelflow.operators.details import found_details, missing_details, normalize_records
 from labelflow.plans.collect import collect_records, find_candidates, in_discovery_order
 from labelflow.schema import CANONICAL_COLUMNS
-from labelflow.sources.keywords import keyword_table
+from labelflow.sources.keywords import keyword_table, read_keywords
 
 KEYWORDS = ["aa", "ab c", "É", "zzz", "B"]
 
@@ -113,8 +113,30 @@ def test_normalized_record(spark):
     assert got["c"].store_url.endswith("?id=c&hl=ko&gl=KR")
     assert got["d"].store_url == "http://x"
     assert (got["a.b"].app_name, got["a.b"].description, got["a.b"].genre) == ("", "", "Health")
-    assert {got["c"][c] for c in CANONICAL_COLUMNS[7:]} == {""}
+    assert {got["c"][c] for c in CANONICAL_COLUMNS[7:]} == {None}
     assert (got["c"].platform, got["c"].country) == ("android", "kr")
+    assert normalize_records(details).schema["is_boundary_case"].dataType.typeName() == "boolean"
+
+
+def test_repeated_ids_take_one_slot(spark):
+    hits = spark.createDataFrame(
+        [(0, "k", "a", 1)] * 40 + [(0, "k", "b", 3), (0, "k", "c", 2)], "pos int, keyword string, id string, score long")
+    got = sorted((r.hit_rank, r.id, r.score) for r in top_hits(hits, 3).collect())
+    assert got == [(1, "a", 40), (2, "b", 3), (3, "c", 2)]
+
+
+def test_repeated_details_give_one_record(spark):
+    found = spark.createDataFrame([("a",), ("b",)], "app_id string")
+    details = spark.createDataFrame([("a", "T2"), ("a", "T1"), ("c", "T")], "app_id string, title string")
+    assert [tuple(r) for r in found_details(found, details).collect()] == [("a", "T1")]
+    assert [r.app_id for r in missing_details(found, details).collect()] == ["b"]
+
+
+def test_keyword_files_follow_each_other(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("x1\n\nx2\n")
+    (tmp_path / "2.txt").write_text("y1\ny2")
+    got = sorted(map(tuple, read_keywords(spark, str(tmp_path)).collect()))
+    assert got == [(0, "x1"), (1, "x2"), (2, "y1"), (3, "y2")]
 
 
 def test_one_keyword_matching_everything_is_ranked_in_parts(spark):

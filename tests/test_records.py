@@ -73,3 +73,10 @@ def test_keyword_file_keeps_order_and_drops_blanks(spark, tmp_path):
 def test_default_keywords(spark):
     assert len(SEARCH_KEYWORDS) == 55
     assert keyword_list(keyword_table(spark)) == SEARCH_KEYWORDS
+
+
+def test_cells_of_another_type_are_null(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("app_id,is_boundary_case,min_confidence\na,maybe,x\nb,true,0.5\n", encoding="utf-8")
+    got = {r.app_id: (r.is_boundary_case, r.min_confidence) for r in read_records_csv(spark, str(path)).collect()}
+    assert got["a"] == (None, None) and got["b"][0] is True

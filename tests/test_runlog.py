@@ -126,3 +126,10 @@ def test_single_axis_records(spark):
     text = "Epoch 3/20 | Loss: 0.5000 | Val Acc: 0.7500 | Val Macro F1: 0.6000\nnew best"
     df = spark.createDataFrame([("r", text)], "run string, text string")
     assert rows(parse_one_axis_epochs(df)) == [("r", 3, 20, 0.5, 0.75, 0.6)]
+
+
+def test_patience_counts_logged_epochs(spark):
+    epochs = spark.createDataFrame(
+        [("r", e, s) for e, s in ((1, 0.5), (2, 0.4), (5, 0.4), (6, 0.4), (9, 0.4))], "run string, epoch int, avg_f1 double")
+    got = {r.epoch: (r.streak, r.stops) for r in early_stopping(epochs, 4).collect()}
+    assert got == {1: (0, False), 2: (1, False), 5: (2, False), 6: (3, False), 9: (4, True)}
