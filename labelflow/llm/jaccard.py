@@ -26,7 +26,7 @@ Shingles are 64-bit hashes.
 
 from __future__ import annotations
 
-from itertools import chain
+import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -45,27 +45,12 @@ PART = 4096  # a key's list is dealt to one part for each so many rows above the
 KEY_BITS = 40  # keys that meet by chance cost a comparison; fewer bits are less to shuffle
 MARKS = 1 << 22  # bits of the filter on entries that were candidates
 BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
-REMEMBERED = 1 << 18  # hashed words that a worker keeps
+BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is cut at white space
 OUTPUT = "doc_id long, n_shingles long, component_id long"
 
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class _WordHashes(dict):
-    """Hash of each word, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self[word] = xxh64_intdigest(word)
-        return value
-
-
-_KNOWN = _WordHashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _P2
     x = (x ^ (x >> np.uint64(29))) * _P1
@@ -76,13 +61,67 @@ _STEPS = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
                    0x27D4EB2F165667C5], dtype=np.uint64)
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+with np.errstate(over="ignore"):
+    # A number for each byte; the hash of a word is their polynomial in an odd base.
+    _BYTES = np.where(_IS_SPACE, np.uint64(0), _mix(np.arange(1, 257, dtype=np.uint64) * _P1))
+_BASE = 0x9FB21C651E98DF25
+
+
+class _Powers:
+    """Powers of the base and of its inverse modulo 2^64, as many as were asked for."""
+
+    up = down = np.ones(0, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (
+                np.cumprod(np.array([1, *([base] * (n - 1))], dtype=np.uint64), dtype=np.uint64)
+                for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+        return self.up[:n], self.down
+
+
+_POWERS = _Powers()
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts, and its hash; `data` ends with white space."""
+    octets = np.frombuffer(data, dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(_IS_SPACE[octets], prepend=True))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _POWERS.of(len(data))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[octets] * up, out=sums[1:])
+    return starts, _mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def _blocks(data: bytes):
+    """`data` in blocks that end with white space."""
+    at = 0
+    while len(data) - at > BLOCK:
+        cut = _SPACE.search(data, at + BLOCK - 1)
+        if cut is None:
+            break
+        yield data[at:cut.end()]
+        at = cut.end()
+    yield data[at:]
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted 64-bit numbers."""
-    # Bytes: lower() then changes A-Z only, split() cuts at the six ASCII white-space characters.
-    words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    lengths = [len(w) for w in words]
-    hashes = np.fromiter(map(_KNOWN.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=sum(lengths))
+    # Bytes: lower() then changes A-Z only; words are cut at the six ASCII white-space characters.
+    coded = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+    begins = np.cumsum([0] + [len(t) + 1 for t in coded])
     with np.errstate(over="ignore"):
+        at, starts, hashes = 0, [], []
+        for block in _blocks(b"".join(t + b" " for t in coded)):
+            found, values = _word_hashes(block)
+            starts.append(found + at)
+            hashes.append(values)
+            at += len(block)
+        hashes = np.concatenate(hashes)
+        lengths = np.diff(np.searchsorted(np.concatenate(starts), begins)).tolist()
         whole = np.zeros(max(0, len(hashes) - SHINGLE + 1), dtype=np.uint64)
         for i, step in enumerate(_STEPS):
             whole += hashes[i:i + len(whole)] * step
@@ -90,7 +129,9 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
         out, at = [], 0
         for n in lengths:
             if n >= SHINGLE:
-                out.append(np.unique(whole[at:at + n - SHINGLE + 1]))
+                some = np.sort(whole[at:at + n - SHINGLE + 1])
+                changes = some[1:] != some[:-1]
+                out.append(some if changes.all() else np.append(some[:1], some[1:][changes]))
             else:  # the whole sequence as one, told apart by its length
                 some = (hashes[at:at + n] * _STEPS[:n]).sum(dtype=np.uint64, keepdims=True) if n else hashes[:0]
                 out.append(_mix(some + np.uint64(n)))
@@ -161,7 +202,7 @@ class Keys:
         can share at most with one whose first common key it is."""
         n = len(shingles)
         count = self.counts[_bin(shingles)]
-        first = np.lexsort((shingles, count))[:prefix(n, 2)]
+        first = np.argsort(count, kind="stable")[:prefix(n, 2)]  # the shingles are sorted
         ordered, count = shingles[first], count[first]
         keys, often, rest = [], [], []
         with np.errstate(over="ignore"):
