@@ -17,7 +17,8 @@ inverted lists are scanned. The border is the size at which the estimated cost o
   still holds several components, the entries outside its largest one are compared with all of
   other components. So every pair that shares a key is compared, or already connected, and no list
   of copies or near copies is expanded to pairs.
-* Every comparison is exact, on whole sets.
+* Every comparison is exact, on whole sets; bits of their elements' places first tell pairs that
+  cannot be similar, whatever the rest.
 
 A document without words has no shingle, links with nothing, and is its own component. Repeated
 rows give repeated results. A null id takes part; the component is the smallest id that is there.
@@ -42,7 +43,9 @@ SHARE = (75, 100)  # similarity as a fraction
 BINS = 1 << 18  # of the counts that order the shingles; the table goes to every task
 MAX_BORDER = 32  # the border is looked for among sizes up to this one
 PART = 4096  # a key's list is dealt to one part for each so many rows above the usual
+MAX_PARTS = 1 << 22  # parts of a list; their number stands above the key's bits
 KEY_BITS = 40  # keys that meet by chance cost a comparison; fewer bits are less to shuffle
+SKETCH_BITS = 1 << 12
 MARKS = 1 << 22  # bits of the filter on entries that were candidates
 BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
 BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is cut at white space
@@ -159,6 +162,20 @@ def entry_of(shingles: np.ndarray) -> int:
     return int(np.array([xxh64_intdigest(shingles.tobytes(), seed=len(shingles))], dtype=np.uint64).view(np.int64)[0])
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """Bits of the places that the elements of a set fall on."""
+    places = np.zeros(SKETCH_BITS, dtype=bool)
+    places[shingles % np.uint64(SKETCH_BITS)] = True
+    return np.packbits(places).tobytes()
+
+
+def most_common(x: bytes, y: bytes, n: int, m: int) -> int:
+    """Elements that sets of n and m with these sketches share at most: each place that only one of
+    them has stands for an element that the other lacks."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    return min(n - int(np.bitwise_count(p & ~q).sum()), m - int(np.bitwise_count(q & ~p).sum()))
+
+
 def _bin(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(40)).astype(np.int64) % BINS
 
@@ -255,31 +272,34 @@ def _bin_counts(facts: DataFrame) -> np.ndarray:
 
 
 def _key_rows(texts: DataFrame, counts: np.ndarray, light_below: int) -> DataFrame:
-    """`(key, part, parts, entry, n, rest)`; a task emits the keys of equal sets once."""
+    """`(key, entry, n, rest, part, dealt)`; a task emits the keys of equal sets once.
+
+    They are shuffled as three numbers: part and key, entry, size and rest; the sign tells lists
+    that are dealt to parts.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         maker, seen = Keys(shared.value, light_below), set()
         for b in batches:
-            out = {"key": [], "part": [], "parts": [], "entry": [], "n": [], "rest": []}
+            out = {"place": [], "entry": [], "sizes": []}
             for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles) or (entry := entry_of(shingles)) in seen:
                     continue
                 seen.add(entry)
                 keys, parts, rest = maker.of(shingles)
-                out["key"].append(_signed(keys >> np.uint64(64 - KEY_BITS)))
-                out["rest"].append(rest)
-                out["parts"].append(parts)
-                out["part"].append((entry & 0x7FFFFFFFFFFF) % np.maximum(parts, 1))
+                part = (entry & 0x7FFFFFFFFFFF) % np.minimum(np.maximum(parts, 1), MAX_PARTS)
+                place = _signed(keys >> np.uint64(64 - KEY_BITS)) | (part << KEY_BITS)
+                out["place"].append(np.where(parts > 1, ~place, place))
                 out["entry"].append(np.full(len(keys), entry, dtype=np.int64))
-                out["n"].append(np.full(len(keys), len(shingles), dtype=np.int64))
-                if len(out["key"]) >= 1000:
+                out["sizes"].append((len(shingles) << 32) | rest.astype(np.int64))
+                if len(out["place"]) >= 1000:
                     yield {c: np.concatenate(v) for c, v in out.items()}
                     out = {c: [] for c in out}
-            if out["key"]:
+            if out["place"]:
                 yield {c: np.concatenate(v) for c, v in out.items()}
 
-    return map_batches(texts.select("text"), run, "key long, rest int, entry long, n int, part int, parts int")
+    return map_batches(texts.select("text"), run, "place long, entry long, sizes long")
 
 
 CENTRES = ("low", "high", "early", "first")
@@ -288,18 +308,22 @@ CENTRES = ("low", "high", "early", "first")
 def _lists(rows: DataFrame) -> DataFrame:
     """Rows of keys that several entries have, with the centres of their part: the smallest and the
     largest entry, and two with the key early in their order."""
-    part = W.partitionBy("key", "part")
+    part = W.partitionBy("place")
+    rows = rows.select("place", "entry", F.shiftright("sizes", 32).cast("int").alias("n"),
+                       F.col("sizes").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("rest"))
     by_entry, by_rest = F.struct("entry", "n", "rest"), F.struct("rest", "entry", "n")
     by_less = F.struct((-F.col("rest")).alias("less"), "entry", "n", "rest")
     # A row whose place leaves too little even for the smallest possible partner of its list is of
     # no use; a list in parts is not known as a whole here.
     partner = F.greatest(F.min("n").over(part), F.ceil(F.col("n") * SHARE[0] / SHARE[1]))
     enough = F.lit(SHARE[0] + SHARE[1]) * F.col("rest").cast("long") >= F.lit(SHARE[0]) * (F.col("n") + partner)
-    marked = rows.select("key", "parts", "entry", "n", "rest", *(
+    marked = rows.select("place", "entry", "n", "rest", *(
         f(by).over(part).alias(name) for name, f, by in zip(
             CENTRES, (F.min, F.max, F.max, F.min), (by_entry, by_entry, by_rest, by_less))), enough.alias("of_use"))
-    live = marked.filter(((F.col("low.entry") != F.col("high.entry")) & F.col("of_use")) | (F.col("parts") > 1))
-    live = live.drop("of_use")
+    live = marked.filter(((F.col("low.entry") != F.col("high.entry")) & F.col("of_use")) | (F.col("place") < 0))
+    whole = F.when(F.col("place") < 0, F.bitwise_not("place")).otherwise(F.col("place"))
+    live = live.select(whole.bitwiseAND(F.lit((1 << KEY_BITS) - 1)).alias("key"), (F.col("place") < 0).alias("dealt"),
+                       "entry", "n", "rest", *CENTRES)
     # Copies in several tasks came as several rows.
     return materialize(live.distinct(), "shingle-lists")
 
@@ -321,7 +345,7 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     """Each entry with the centres of its part, and the first centres of a key's parts with one of them."""
     centres = F.array(*(F.struct(*(F.col(f"{c}.{f}").alias(f) for f in ("entry", "n", "rest"))) for c in CENTRES))
     near = lists.select("entry", "n", "rest", F.explode(F.array_distinct(centres)).alias("c"))
-    first = lists.filter("parts > 1").select("key", "low").distinct()
+    first = lists.filter("dealt").select("key", "low").distinct()
     one = first.groupBy("key").agg(F.min("low").alias("c"))
     far = first.join(one, "key").select("low.entry", "low.n", "low.rest", "c")
     both = near.union(far).select("entry", "n", "rest", F.col("c.entry").alias("c"), F.col("c.n").alias("cn"),
@@ -331,8 +355,8 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """`(entry, set)` of the given entries, from the texts; a fixed-size filter keeps the others off
-    the shuffle."""
+    """`(entry, n, sketch, set)` of the given entries, from the texts; a fixed-size filter keeps the
+    others off the shuffle."""
     marks = entries.select(F.pmod("entry", F.lit(MARKS)).cast("int").alias("m")).distinct().toArrow()
     bits = np.zeros(MARKS, dtype=bool)
     bits[marks.column("m").to_numpy()] = True
@@ -341,7 +365,7 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
     def run(batches):
         wanted, seen = np.unpackbits(shared.value), set()
         for b in batches:
-            out = {"entry": [], "set": []}
+            out = {"entry": [], "n": [], "sketch": [], "set": []}
             for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles):
                     continue
@@ -349,24 +373,37 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
                 if wanted[entry % MARKS] and entry not in seen:
                     seen.add(entry)
                     out["entry"].append(entry)
+                    out["n"].append(len(shingles))
+                    out["sketch"].append(sketch_of(shingles))
                     out["set"].append(shingles.tobytes())
                     if len(out["entry"]) >= 500:
                         yield out
-                        out = {"entry": [], "set": []}
+                        out = {c: [] for c in out}
             yield out
 
-    rows = map_batches(texts.select("text"), run, "entry long, set binary")
+    rows = map_batches(texts.select("text"), run, "entry long, n long, sketch binary, set binary")
     kept = rows.join(entries.select("entry").distinct(), "entry", "left_semi")
     return materialize(kept.dropDuplicates(["entry"]), "shingle-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs `(a, b)` whose whole sets are similar."""
+def _pairs_with(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """`(a, b, x, y, n, m)`: a column of the sets of both entries, and the sizes of both."""
     wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), "entries-of-pairs")
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         sets = sets.join(F.broadcast(wanted), "entry", "left_semi")
-    joined = pairs.join(sets.select(F.col("entry").alias("a"), F.col("set").alias("x")), "a").join(
-        sets.select(F.col("entry").alias("b"), F.col("set").alias("y")), "b")
+    x, y = (sets.select(F.col("entry").alias(e), F.col(column).alias(v), F.col("n").alias(size))
+            for e, v, size in (("a", "x", "n"), ("b", "y", "m")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs `(a, b)` whose whole sets are similar; sketches come first, as whole sets are long."""
+    def possible(batches):
+        for b in batches:
+            n, m = (np.array(b[c], dtype=np.int64) for c in ("n", "m"))
+            most = np.array([most_common(*row) for row in zip(b["x"], b["y"], b["n"], b["m"])], dtype=np.int64)
+            ok = similar(most, n, m)
+            yield {c: [v for v, keep in zip(b[c], ok) if keep] for c in ("a", "b")}
 
     def run(batches):
         for b in batches:
@@ -375,7 +412,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = similar(common, np.array([len(p) for p in x]), np.array([len(q) for q in y]))
             yield {c: [v for v, keep in zip(b[c], ok) if keep] for c in ("a", "b")}
 
-    return materialize(map_batches(joined.select("a", "b", "x", "y"), run, "a long, b long"), "links")
+    left = materialize(map_batches(_pairs_with(pairs, sets, "sketch"), possible, "a long, b long"), "possible-pairs")
+    return materialize(map_batches(_pairs_with(left, sets, "set"), run, "a long, b long"), "links")
 
 
 def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
