@@ -358,6 +358,28 @@ ORACLE["split_allocation"] = _with(APPS, KNOWN, *_split("known", "app_id")) + (
 ORACLE["stratified_split"] = _with(APPS, KNOWN, *_split("known", "app_id")) + (
     "SELECT app_id, category_id, is_train FROM placed"
 )
+
+
+def _balance(axis: str, label: str, weighted: bool) -> str:
+    rows = "CAST(sum(count_if(is_train)) OVER () AS DOUBLE) / count(*) OVER ()" if weighted else (
+        "CAST(count_if(is_train) AS DOUBLE)")
+    return (
+        f"SELECT '{axis}' AS axis, CAST({label} AS INTEGER) AS class, CAST(count_if(is_train) AS BIGINT) AS train_rows, "
+        f"round({rows}, 3) AS predicted_rows, CAST(count_if(NOT is_train) AS BIGINT) AS test_rows "
+        f"FROM placed WHERE {label} IS NOT NULL GROUP BY {label}"
+    )
+
+
+def _labelled(category: str) -> tuple[str, str]:
+    return "known", f"SELECT doc_id, {category} AS category_id, toxic FROM documents JOIN labels USING (doc_id)"
+
+
+ORACLE["train_two_heads"] = _with(_labelled("quality"), *_split("known", "doc_id")) + (
+    f"{_balance('category', 'category_id', False)} UNION ALL {_balance('function', 'toxic', False)}")
+ORACLE["train_weighted_text_head"] = _with(_labelled("toxic"), *_split("known", "doc_id")) + (
+    _balance("category", "category_id", True))
+ORACLE["train_weighted_head"] = _with(VECTORS, *_split(VECTORS[0], "vec_id")) + (
+    _balance("category", "category_label", True))
 ORACLE["class_weights"] = _with(
     APPS, KNOWN, DICTIONARY, *_split("known", "app_id"),
     ("counted", "SELECT category_label, count(*) AS n FROM placed "

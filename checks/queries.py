@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from labelflow.functions.codes import lookup, lookup_or_blank
 from labelflow.functions.text import combined_text
-from labelflow.functions.vectors import argmax, linear_logits
+from labelflow.functions.vectors import linear_logits, softmax
 from labelflow.operators import (
     candidates,
     contract,
@@ -450,40 +450,57 @@ def evaluate_holdout(spark, sf_dir):
     return rounded(metrics.class_report(metrics.confusion(predicted, VECTOR_AXES)))
 
 
+def _balance(parts: DataFrame, axis: str, weighted: bool = False) -> DataFrame:
+    """Per class: rows fitted, the fitted probability of the class summed over them, rows held out.
+
+    A free intercept makes that sum equal the (weighted) number of rows of the class at the optimum.
+    """
+    label = F.col(f"{axis}_label")
+    known = parts.filter(label.isNotNull())
+    if weighted:
+        weights = encode.class_weights(known.filter("is_train"), f"{axis}_label")
+        known = encode.with_class_weight(known, weights, f"{axis}_label")
+    else:
+        known = known.withColumn("weight", F.lit(1.0))
+    shares = known.select("is_train", "weight", label.alias("label"),
+                          F.posexplode(softmax(F.col(f"{axis}_logits"))).alias("class", "p"))
+    own = F.col("label") == F.col("class")
+    return shares.groupBy("class").agg(
+        F.count_if(F.col("is_train") & own).alias("train_rows"),
+        F.round(F.sum(F.when(F.col("is_train"), F.col("p") * F.col("weight"))), 3).alias("predicted_rows"),
+        F.count_if(~F.col("is_train") & own).alias("test_rows"),
+    ).select(F.lit(axis).alias("axis"), "*")
+
+
+def _labelled_texts(spark: SparkSession, sf_dir: str, *labels: str) -> DataFrame:
+    rows = V.labelled_documents(spark, sf_dir).selectExpr("doc_id", "text AS combined_text", *labels)
+    return materialize(split.stratified_split(rows, "doc_id", "category_label"), "prepared")
+
+
+def two_heads_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _labelled_texts(spark, sf_dir, "quality AS category_label", "toxic AS function_label")
+    return heads.score_heads(heads.train_two_heads(parts.filter("is_train")), parts)
+
+
 @query
 def train_two_heads(spark, sf_dir):
-    rows = V.labelled_documents(spark, sf_dir).selectExpr(
-        "doc_id", "text AS combined_text", "quality AS category_label", "toxic AS function_label"
-    )
-    parts = materialize(split.stratified_split(rows, "doc_id", "category_label"), "prepared")
-    model = heads.train_two_heads(parts.filter("is_train"))
-    scored = heads.score_heads(model, parts.filter("NOT is_train"))
-    predicted = scoring.with_predictions(scored, [0, 1], ["0", "1"])
-    report = metrics.class_report(metrics.confusion(predicted, VECTOR_AXES))
-    return rounded(metrics.report_summary(report))
+    scored = materialize(two_heads_scored(spark, sf_dir).drop("combined_text"), "scored")
+    return _balance(scored, "category").union(_balance(scored, "function"))
 
 
 @query
 def train_weighted_text_head(spark, sf_dir):
     """The rare class of the second axis as the only one, with balanced weights."""
-    rows = V.labelled_documents(spark, sf_dir).selectExpr(
-        "doc_id", "text AS combined_text", "toxic AS category_label"
-    )
-    parts = materialize(split.stratified_split(rows, "doc_id", "category_label"), "prepared")
+    parts = _labelled_texts(spark, sf_dir, "toxic AS category_label")
     model = heads.train_weighted_text_head(parts.filter("is_train"))
-    scored = heads.score_heads(model, parts.filter("NOT is_train"), axes=["category"])
-    predicted = scored.withColumn("category_pred", argmax(F.col("category_logits")))
-    report = metrics.class_report(metrics.confusion(predicted, VECTOR_AXES[:1]))
-    return rounded(metrics.report_summary(report))
+    return _balance(heads.score_heads(model, parts, axes=["category"]), "category", weighted=True)
 
 
 @query
 def train_weighted_head(spark, sf_dir):
     parts = materialize(_split_vectors(spark, sf_dir), "prepared")
     model = heads.train_weighted_head(parts.filter("is_train"), "embedding", "category_label")
-    predicted = heads.predict_weighted_head(model, parts.filter("NOT is_train"), "embedding")
-    report = metrics.class_report(metrics.confusion(predicted, VECTOR_AXES[:1]))
-    return rounded(metrics.report_summary(report))
+    return _balance(heads.score_weighted_head(model, parts, "embedding"), "category", weighted=True)
 
 
 # Run logs -------------------------------------------------------------------------------------

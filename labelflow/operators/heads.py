@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -13,9 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.operators.encode import class_weights, with_class_weight
+from labelflow.scale import materialize
 
 # Hash space of the text features; a gradient has this many entries per class.
 FEATURES = 1 << 14
+# A fit ends when the loss hardly changes, so its result does not depend on this many steps.
+MAX_ITER, TOLERANCE = 500, 1e-8
 
 
 def _text_features(text: str, num_features: int) -> Pipeline:
@@ -30,7 +32,7 @@ def _head(axis: str, label: str, max_iter: int, reg: float, weight: str | None =
     head = LogisticRegression(
         family="multinomial", featuresCol="features", labelCol=label,
         predictionCol=f"{axis}_pred", probabilityCol=f"{axis}_probability",
-        rawPredictionCol=f"{axis}_raw", maxIter=max_iter, regParam=reg,
+        rawPredictionCol=f"{axis}_raw", maxIter=max_iter, regParam=reg, tol=TOLERANCE,
     )
     return head.setWeightCol(weight) if weight else head
 
@@ -38,7 +40,7 @@ def _head(axis: str, label: str, max_iter: int, reg: float, weight: str | None =
 def train_two_heads(
     train: DataFrame, text: str = "combined_text",
     category_label: str = "category_label", function_label: str = "function_label",
-    num_features: int = FEATURES, max_iter: int = 20, reg: float = 1e-2,
+    num_features: int = FEATURES, max_iter: int = MAX_ITER, reg: float = 1e-2,
 ) -> PipelineModel:
     """Features fitted once on `train`, then one multinomial head per axis.
 
@@ -47,15 +49,12 @@ def train_two_heads(
     """
     rows = train.select(F.coalesce(F.col(text), F.lit("")).alias(text), category_label, function_label)
     features = _text_features(text, num_features).fit(rows)
-    ready = features.transform(rows).select("features", category_label, function_label)
-    ready.persist(StorageLevel.MEMORY_AND_DISK)  # lost blocks are recomputed
-    try:
-        heads = [
-            _head(axis, label, max_iter, reg).fit(ready.filter(F.col(label).isNotNull()))
-            for axis, label in (("category", category_label), ("function", function_label))
-        ]
-    finally:
-        ready.unpersist()
+    # Written once for both heads; each fit keeps blocks of its own.
+    ready = materialize(features.transform(rows).select("features", category_label, function_label), "features")
+    heads = [
+        _head(axis, label, max_iter, reg).fit(ready.filter(F.col(label).isNotNull()))
+        for axis, label in (("category", category_label), ("function", function_label))
+    ]
     return PipelineModel(stages=[*features.stages, *heads])
 
 
@@ -73,16 +72,12 @@ def score_heads(
 def _fit_weighted(ready: DataFrame, label: str, max_iter: int, reg: float) -> LogisticRegressionModel:
     """One head on `features`, rows weighted by the balanced class weights of these rows."""
     weighted = with_class_weight(ready, class_weights(ready, label), label)
-    weighted.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _head("category", label, max_iter, reg, "weight").fit(weighted)
-    finally:
-        weighted.unpersist()
+    return _head("category", label, max_iter, reg, "weight").fit(weighted)  # keeps its own blocks
 
 
 def train_weighted_text_head(
     train: DataFrame, text: str = "combined_text", label: str = "category_label",
-    num_features: int = FEATURES, max_iter: int = 20, reg: float = 1e-2,
+    num_features: int = FEATURES, max_iter: int = MAX_ITER, reg: float = 1e-2,
 ) -> PipelineModel:
     """Single-axis variant: text features and one class-weighted head."""
     rows = train.filter(F.col(label).isNotNull()).select(
@@ -94,7 +89,7 @@ def train_weighted_text_head(
 
 
 def train_weighted_head(
-    train: DataFrame, vector: str, label: str, max_iter: int = 20, reg: float = 1e-2
+    train: DataFrame, vector: str, label: str, max_iter: int = MAX_ITER, reg: float = 1e-2
 ) -> LogisticRegressionModel:
     """Class-weighted head on an array column, such as the output of an encoder."""
     rows = train.filter(F.col(label).isNotNull()).select(
@@ -109,3 +104,9 @@ def predict_weighted_head(model: LogisticRegressionModel, df: DataFrame, vector:
     return model.transform(ready).select(
         *df.columns, F.col("category_pred").cast("int").alias("category_pred")
     )
+
+
+def score_weighted_head(model: LogisticRegressionModel, df: DataFrame, vector: str) -> DataFrame:
+    """Add `category_logits`."""
+    ready = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
+    return model.transform(ready).select(*df.columns, vector_to_array("category_raw").alias("category_logits"))
