@@ -7,7 +7,8 @@ as bare words in an address that ends in a known domain, become @ and a full sto
 over the rewritten text, and their spans are mapped back to the source.
 
 Spans of the plain text always stay. A span that the rewriting reveals is added when it holds a
-rewritten character and overlaps no plain span (or earlier added one) of its kind.
+rewritten character and no plain span of its kind covers it whole; so it may overlap the remnant
+that the plain patterns find of a disguised address or number.
 
 Null and empty texts have no span. Every step is linear in the length of a text but for the sort of
 its spans.
@@ -243,16 +244,17 @@ def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, in
         if 1 not in plain.changed[a:b]:
             continue
         span = (plain.start[a], plain.end[b - 1])
-        if not _overlaps(taken[kind], span):
+        if not _covered(taken[kind], span):
             added.append((kind, *span))
     return base, added
 
 
-def _overlaps(taken: list[tuple[int, int]], span: tuple[int, int]) -> bool:
-    from bisect import bisect_left
+def _covered(taken: list[tuple[int, int]], span: tuple[int, int]) -> bool:
+    """Whether one of the spans, which don't overlap each other, holds all of `span`."""
+    from bisect import bisect_right
 
-    at = bisect_left(taken, (span[1], 0))
-    return at > 0 and taken[at - 1][1] > span[0]
+    at = bisect_right(taken, (span[0], float("inf")))
+    return at > 0 and taken[at - 1][1] >= span[1]
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:

@@ -151,6 +151,23 @@ def test_disguised_spans_map_back(text, hidden):
     assert hidden not in pii.masked(text)
 
 
+@pytest.mark.parametrize("hidden, remnant", [
+    ("jo\u0435.smith@example.com", ".smith@example.com"),
+    ("joe@example.c\u043em", "joe@example.c"),
+    ("+44 20 7946 \uff10\uff19\uff15\uff18", "+44 20 7946"),
+])
+def test_disguised_spans_are_kept_beside_their_plain_remnant(hidden, remnant):
+    text = f"so {hidden} it is"
+    base, added = pii.all_spans(text)
+    assert [text[a:b] for _, a, b in base] == [remnant] and [text[a:b] for _, a, b in added] == [hidden]
+    assert pii.masked(text) in ("so <EMAIL> it is", "so <PHONE> it is")
+
+
+def test_revealed_spans_inside_a_plain_span_are_not_added():
+    base, added = pii.all_spans("\uff41 joe@example.com 4111\u20111111\u20111111\u20111111")
+    assert [k for k, *_ in base] == ["email"] and [k for k, *_ in added] == ["card"]
+
+
 @pytest.mark.parametrize("text", [
     "look at the dot product", "we were at one two three", "(at) home", "one of two at three", "a+b = c. 3.5 at 4",
 ])
