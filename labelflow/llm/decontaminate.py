@@ -4,10 +4,13 @@ A text becomes a row of tokens without case and punctuation. Numbers, names (cap
 inside a sentence) and units behind a number become typed placeholders; the rest stays as it is.
 Windows of eight template tokens are hashed and joined with the benchmark's. Matching windows of a
 document and an item that lie on one diagonal (same distance of the two positions) must fill the
-placeholders consistently: one value of the item stands for one value of the document all along,
-and the other way round. So the same question with other numbers or names is found, while the same
-frame around unrelated values is not. A document is contaminated by an item when consistent windows
-cover `COVERED` of its tokens, or half of a shorter item (at least one window).
+placeholders consistently: one value of the item stands for one value of the document, and the other
+way round. So the same question with other numbers or names is found, while the same frame around
+unrelated values is not. Where two pairs of values contradict each other, the one with more places
+on the diagonal holds (neither of two equal ones), and only the windows with a place of the other
+are lost. One number of the item may stand for several: two of its numbers can be equal by chance.
+Windows with the item's own values always hold. A document is contaminated by an item when
+consistent windows cover `COVERED` of its tokens, or half of a shorter item (at least one window).
 
 Windows with fewer than four plain words carry too little and are left out; items of fewer tokens
 than a window have none. Null and empty texts are clean. Rows that repeat get the same answer each.
@@ -92,6 +95,24 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     return windows.filter(plain >= PLAIN_WORDS).select("w", "item_id", "version", "ipos"), items
 
 
+def _places(at: Column) -> Column:
+    """The places that windows from `at` cover."""
+    return F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + (WINDOW - 1)))))
+
+
+def _within(places: str, p: Column) -> Column:
+    """Whether the window from `p` holds one of the places."""
+    return F.exists(places, lambda b: (b >= p) & (b < p + WINDOW))
+
+
+def _contradict(x: Column, y: Column) -> Column:
+    """Whether pair `y` speaks against `x` at no fewer places."""
+    a, b = x["pair"], y["pair"]
+    split = (a["mine"] == b["mine"]) & (a["theirs"] != b["theirs"]) & (a["kind"] != _NUMBER)
+    merged = (a["mine"] != b["mine"]) & (a["theirs"] == b["theirs"])
+    return (a["kind"] == b["kind"]) & (y["n"] >= x["n"]) & (split | merged)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """`(doc_id, h, item_id, covered, item_tokens, reparameterised)` of contaminated documents.
@@ -120,24 +141,39 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
     diagonals = hits.groupBy("doc_id", "h", "item_id", "version", (F.col("dpos") - F.col("ipos")).alias("shift")).agg(
         F.collect_set("ipos").alias("at"))  # at most the item's length
-    places = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + (WINDOW - 1)))))
-    left = diagonals.withColumn("places", places).alias("a")
-    joined = left.join(
+    joined = diagonals.withColumn("places", _places(F.col("at"))).alias("a").join(
         values.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.h = b.h")
     ).select("a.*", "b.doc_values").join(items, ["item_id", "version"])
     slots = F.filter(
         F.transform("places", lambda p: F.struct(
-            F.get("tokens", p).alias("kind"), F.get("item_values", p).alias("mine"),
+            p.alias("place"), F.get("tokens", p).alias("kind"), F.get("item_values", p).alias("mine"),
             F.get("doc_values", p + F.col("shift")).alias("theirs"))),
         lambda s: s["kind"].isin(_NAME, _NUMBER, _UNIT))
-    checked = joined.withColumn("slots", F.array_distinct(slots)).withColumn(
+    pair = lambda s: F.struct(s["kind"].alias("kind"), s["mine"].alias("mine"), s["theirs"].alias("theirs"))
+    checked = joined.withColumn("slots", slots).withColumn(
+        "pairs", F.array_distinct(F.transform("slots", pair))
+    ).withColumn(
         # As many distinct pairs as distinct values on either side: one for one.
         "consistent",
-        (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["mine"]))))) &
-        (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"]))))),
-    ).withColumn("changed", F.exists("slots", lambda s: s["mine"] != s["theirs"]))
-    per_item = checked.filter("consistent").groupBy("doc_id", "h", "item_id", "version").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("covered"),
+        (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: F.struct(s["kind"], s["mine"]))))) &
+        (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: F.struct(s["kind"], s["theirs"]))))),
+    ).withColumn(
+        "counted", F.when(~F.col("consistent"), F.transform("pairs", lambda x: F.struct(
+            x.alias("pair"), F.size(F.filter("slots", lambda s: pair(s) == x)).alias("n"))))
+    ).withColumn(
+        "against", F.transform(F.filter("counted", lambda x: F.exists("counted", lambda y: _contradict(x, y))),
+                               lambda x: x["pair"])
+    ).withColumn(
+        "bad", F.transform(F.filter("slots", lambda s: F.array_contains("against", pair(s))), lambda s: s["place"])
+    ).withColumn(
+        "altered", F.transform(F.filter("slots", lambda s: s["mine"] != s["theirs"]), lambda s: s["place"])
+    ).withColumn(
+        "held", F.when(F.col("consistent"), F.col("at")).otherwise(
+            F.filter("at", lambda p: ~_within("bad", p) | ~_within("altered", p)))
+    ).withColumn("held_places", _places(F.col("held"))).withColumn(
+        "changed", F.exists("held", lambda p: _within("altered", p)))
+    per_item = checked.filter(F.size("held") > 0).groupBy("doc_id", "h", "item_id", "version").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("held_places")))).alias("covered"),
         F.max(F.size("tokens")).alias("item_tokens"),
         F.bool_or("changed").alias("reparameterised"),
     )

@@ -244,6 +244,31 @@ def test_every_passage_of_the_benchmark_is_found(spark):
     assert got <= {r.doc_id for r in docs for w in [words(r.text)] if any(tuple(w[i:i + 8]) in eight for i in range(len(w) - 7))}
 
 
+def found_by(spark, items, texts):
+    """Ids of the items that contaminate each text."""
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = small_docs(spark, list(enumerate(texts)))
+    found = {i: set() for i in range(len(texts))}
+    for r in decontaminate.find_leaks(docs, items).collect():
+        found[r.doc_id].add(r.item_id)
+    return [found[i] for i in range(len(texts))]
+
+
+def test_one_contradicting_slot_does_not_hide_the_rest(spark):
+    r = random.Random(3)
+    words = [r.choice("abcdefgh") + str(i).translate(str.maketrans("0123456789", "klmnopqrst")) for i in range(200)]
+    words[20] = words[160] = "1990"
+    words[100] = "1991"
+    altered = [*words[:160], "1991", *words[161:]]
+    chance = "the old farmer walks for {} days and then eats {} apples near the river before he comes home again"
+    # One name of three places is another in one of them.
+    person = "after lunch {} sings a long song and then {} reads a thick old book while {} waits for rain near home"
+    items = [" ".join(words), chance.format(2, 2), person.format("Anna", "Anna", "Anna")]
+    texts = [" ".join(altered), chance.format(3, 5), person.format("Maria", "Maria", "Peter"),
+             person.format("Maria", "Peter", "Jonas")]
+    assert found_by(spark, items, texts) == [{0}, {1}, {2}, set()]
+
+
 # Pipeline ---------------------------------------------------------------------------------------
 
 
