@@ -2,14 +2,15 @@
 
 A text becomes a row of tokens without case and punctuation. Numbers, names (capitalised words
 inside a sentence) and units behind a number become typed placeholders; the rest stays as it is.
-Windows of eight template tokens are hashed and joined with the benchmark's. Matching windows of a
+Windows of eight template tokens are hashed and joined with the benchmark's, and so are windows of
+the plain lower-case words without placeholders: they find copies in any case. Matching windows of a
 document and an item that lie on one diagonal (same distance of the two positions) must fill the
 placeholders consistently: one value of the item stands for one value of the document, and the other
 way round. So the same question with other numbers or names is found, while the same frame around
 unrelated values is not. Where two pairs of values contradict each other, the one with more places
 on the diagonal holds (neither of two equal ones), and only the windows with a place of the other
 are lost. One number of the item may stand for several: two of its numbers can be equal by chance.
-Windows with the item's own values always hold. A document is contaminated by an item when
+Windows with the item's own values and windows of plain words always hold. A document is contaminated by an item when
 consistent windows cover `COVERED` of its tokens, or half of a shorter item (at least one window).
 
 Windows with fewer than four plain words carry too little and are left out; items of fewer tokens
@@ -37,14 +38,17 @@ UNITS = ("mm cm m km inch inches foot feet ft yard yards mile miles mg g gram gr
 # Control characters can't be in a token of their own: the text's are removed with the punctuation.
 _NAME, _NUMBER, _UNIT = "\x02", "\x03", "\x04"
 # Each pattern begins with what is rare in a text, and looks back from there.
+# Before it, all white space is one space.
 _NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;)] \p{Lu})[\p{L}'’-]*"
+# Marks, and white space that is not one space.
+_NO_SPACE = r"[\x02-\x04\h\v]{2,}|[\x02-\x04\h\v&&[^ ]]"
 _INSIDE_NUMBER = r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})"
 _BETWEEN_WORDS = r"[^\p{L}\p{Nd}\p{M}\x02]+"
 
 
 def _words(text: Column) -> Column:
     """Lower-case words in one string with single spaces; names are marked, values kept."""
-    cleared = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x02-\x04]", " ")
+    cleared = F.regexp_replace(F.coalesce(text, F.lit("")), _NO_SPACE, " ")
     named = F.regexp_replace(cleared, _NAME_PATTERN, _NAME + "$0")
     whole = F.regexp_replace(F.lower(named), _INSIDE_NUMBER, "")
     return F.trim(F.regexp_replace(whole, _BETWEEN_WORDS, " "))
@@ -61,6 +65,11 @@ def _tokens(words: Column) -> Column:
     return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
 
+def _plain(words: Column) -> Column:
+    """The same words without marks, one for one."""
+    return F.replace(words, F.lit(_NAME), F.lit(""))
+
+
 def _hashed(tokens: Column) -> Column:
     """Hash of each token, so that windows are hashes of numbers."""
     return F.transform(tokens, lambda t: F.xxhash64(t))
@@ -79,7 +88,10 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """`(w, item_id, ipos)` of every window with enough plain words, and the items' tokens."""
+    """`(w, item_id, version, ipos, exact)` of every window with enough plain words, and the items' tokens.
+
+    `exact` windows hash the words themselves, as a template without a placeholder does.
+    """
     items = benchmark.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("item_id"), _words(F.col(text)).alias("words")
     ).distinct()
@@ -90,9 +102,15 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     )
     plain = F.size(F.filter(F.slice("tokens", F.col("ipos") + 1, WINDOW),
                             lambda t: ~t.isin(_NAME, _NUMBER, _UNIT)))
-    windows = items.withColumn("hashed", _hashed(F.col("tokens"))).select(
-        "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w"))
-    return windows.filter(plain >= PLAIN_WORDS).select("w", "item_id", "version", "ipos"), items
+    templates = items.withColumn("hashed", _hashed(F.col("tokens"))).select(
+        "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w")
+    ).filter((plain >= PLAIN_WORDS) & (plain < WINDOW))
+    words = items.withColumn("hashed", _hashed(F.transform("item_values", _plain))).select(
+        "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w")
+    ).filter(plain >= PLAIN_WORDS)
+    kept = [df.select("w", "item_id", "version", "ipos", F.lit(exact).alias("exact"))
+            for df, exact in ((templates, False), (words, True))]
+    return kept[0].unionByName(kept[1]), items
 
 
 def _places(at: Column) -> Column:
@@ -100,7 +118,12 @@ def _places(at: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + (WINDOW - 1)))))
 
 
-def _within(places: str, p: Column) -> Column:
+def _let(value: Column, body) -> Column:
+    """`body(value)`, the value computed once: a column that a lambda names once would be put into it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _within(places: Column, p: Column) -> Column:
     """Whether the window from `p` holds one of the places."""
     return F.exists(places, lambda b: (b >= p) & (b < p + WINDOW))
 
@@ -125,11 +148,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     )
     windows, items = benchmark_windows(benchmark, item_key, item_text)
     known = materialize(windows, "benchmark-windows")
-    hashed = _hashed(_tokens(_template(_words(F.col("text")))))
-    exploded = rows.select("doc_id", "h", hashed.alias("hashed")).select(
-        "doc_id", "h", F.posexplode(_windows(F.col("hashed"))).alias("dpos", "w"))
+    words = rows.select("doc_id", "h", _words(F.col("text")).alias("words"))
+    # Each in a column of its own: what stands inside a lambda is computed for each window.
+    hashed = words.select("doc_id", "h", *(
+        _hashed(_tokens(f(F.col("words")))).alias(name) for name, f in (("w", _template), ("v", _plain))))
+    windows = hashed.select("doc_id", "h", *(_windows(F.col(name)).alias(name) for name in ("w", "v")))
+    # A window without a placeholder is the same both ways, and is looked up once.
+    twice = F.concat("w", F.zip_with("w", "v", lambda w, v: F.when(w != v, v)))
+    exploded = windows.select("doc_id", "h", F.size("w").alias("n"), F.posexplode(twice).alias("dpos", "w")).filter(
+        F.col("w").isNotNull()).withColumn("dpos", F.col("dpos") % F.col("n"))
     hits = exploded.join(_small(known, BROADCAST_ROWS), "w").select(
-        "doc_id", "h", "item_id", "version", "dpos", "ipos").distinct()
+        "doc_id", "h", "item_id", "version", "dpos", "ipos", "exact").distinct()
     hits = materialize(hits, "window-hits")
 
     # The values behind the placeholders, of the few documents with a hit only.
@@ -140,7 +169,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         "doc_id", "h", _tokens(F.col("words")).alias("doc_values"))
 
     diagonals = hits.groupBy("doc_id", "h", "item_id", "version", (F.col("dpos") - F.col("ipos")).alias("shift")).agg(
-        F.collect_set("ipos").alias("at"))  # at most the item's length
+        # At most the item's length each.
+        F.collect_set(F.when(~F.col("exact"), F.col("ipos"))).alias("at"),
+        F.collect_set(F.when(F.col("exact"), F.col("ipos"))).alias("exact_at"))
     joined = diagonals.withColumn("places", _places(F.col("at"))).alias("a").join(
         values.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.h = b.h")
     ).select("a.*", "b.doc_values").join(items, ["item_id", "version"])
@@ -160,19 +191,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     ).withColumn(
         "counted", F.when(~F.col("consistent"), F.transform("pairs", lambda x: F.struct(
             x.alias("pair"), F.size(F.filter("slots", lambda s: pair(s) == x)).alias("n"))))
-    ).withColumn(
-        "against", F.transform(F.filter("counted", lambda x: F.exists("counted", lambda y: _contradict(x, y))),
-                               lambda x: x["pair"])
-    ).withColumn(
-        "bad", F.transform(F.filter("slots", lambda s: F.array_contains("against", pair(s))), lambda s: s["place"])
     ).withColumn(
         "altered", F.transform(F.filter("slots", lambda s: s["mine"] != s["theirs"]), lambda s: s["place"])
     ).withColumn(
-        "held", F.when(F.col("consistent"), F.col("at")).otherwise(
-            F.filter("at", lambda p: ~_within("bad", p) | ~_within("altered", p)))
-    ).withColumn("held_places", _places(F.col("held"))).withColumn(
-        "changed", F.exists("held", lambda p: _within("altered", p)))
-    per_item = checked.filter(F.size("held") > 0).groupBy("doc_id", "h", "item_id", "version").agg(
+        "held", F.when(F.col("consistent"), F.col("at")).otherwise(_let(
+            F.transform(F.filter("counted", lambda x: F.exists("counted", lambda y: _contradict(x, y))),
+                        lambda x: x["pair"]),
+            lambda against: _let(
+                F.transform(F.filter("slots", lambda s: F.array_contains(against, pair(s))), lambda s: s["place"]),
+                lambda bad: F.filter("at", lambda p: ~_within(bad, p) | ~_within(F.col("altered"), p)))))
+    ).withColumn("held_places", F.array_union(_places(F.col("held")), _places(F.col("exact_at")))).withColumn(
+        "changed", F.exists("held", lambda p: _within(F.col("altered"), p)))
+    per_item = checked.filter(F.size("held_places") > 0).groupBy("doc_id", "h", "item_id", "version").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("held_places")))).alias("covered"),
         F.max(F.size("tokens")).alias("item_tokens"),
         F.bool_or("changed").alias("reparameterised"),

@@ -269,6 +269,15 @@ def test_one_contradicting_slot_does_not_hide_the_rest(spark):
     assert found_by(spark, items, texts) == [{0}, {1}, {2}, set()]
 
 
+def test_copies_in_another_case_or_with_other_white_space_are_found(spark):
+    german = "In der Stadt steht ein Haus am Fluss und vor dem Haus liegt der Garten mit einem Baum"
+    asked = "If Anna has 12 apples and gives five to Peter how many apples does Anna still have today"
+    other = asked.replace("Anna", "Maria").replace("Peter", "Jonas").replace("12", "31")
+    spaced = other.replace(" Maria", "\n  Maria").replace(" Jonas", "\u00a0 Jonas")
+    texts = [german.lower(), german.upper(), asked.lower(), asked.upper(), spaced, german.title()]
+    assert found_by(spark, [german, asked], texts) == [{0}, {0}, {1}, {1}, {1}, {0}]
+
+
 # Pipeline ---------------------------------------------------------------------------------------
 
 
