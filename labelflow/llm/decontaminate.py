@@ -13,8 +13,10 @@ are lost. One number of the item may stand for several: two of its numbers can b
 Windows with the item's own values and windows of plain words always hold. A document is contaminated by an item when
 consistent windows cover `COVERED` of its tokens, or half of a shorter item (at least one window).
 
-Windows with fewer than four plain words carry too little and are left out; items of fewer tokens
-than a window have none. Null and empty texts are clean. Rows that repeat get the same answer each.
+Template windows with fewer than four plain words carry too little and are left out; windows of plain
+words have no such bound. An item of fewer tokens than a window is one window as a whole, and found
+where a document has the same words in a row; an item of one or two tokens, which says nothing inside
+a text, only where it is a whole document. Letters of scripts without spaces are a token each. Null and empty texts are clean. Rows that repeat get the same answer each.
 An item counts by its id; repeated items are found once.
 """
 
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from labelflow.scale import materialize
 
 WINDOW, PLAIN_WORDS, COVERED = 8, 4, 16
+# Items from this length are found inside a document, shorter ones as a whole document.
+INSIDE = 3
 # Windows or keys that go to every task, 16 to 32 bytes each; more of them are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -43,6 +47,8 @@ _NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;)] \p{Lu})[\p{L}'’-]*"
 # Marks, and white space that is not one space.
 _NO_SPACE = r"[\x02-\x04\h\v]{2,}|[\x02-\x04\h\v&&[^ ]]"
 _INSIDE_NUMBER = r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})"
+# Thai, Lao, Burmese, Khmer, kana and Han, with what follows a letter on top of it.
+_UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]\\p{M}*"
 _BETWEEN_WORDS = r"[^\p{L}\p{Nd}\p{M}\x02]+"
 
 
@@ -51,7 +57,8 @@ def _words(text: Column) -> Column:
     cleared = F.regexp_replace(F.coalesce(text, F.lit("")), _NO_SPACE, " ")
     named = F.regexp_replace(cleared, _NAME_PATTERN, _NAME + "$0")
     whole = F.regexp_replace(F.lower(named), _INSIDE_NUMBER, "")
-    return F.trim(F.regexp_replace(whole, _BETWEEN_WORDS, " "))
+    spaced = F.regexp_replace(whole, _UNSPACED, " $0 ")
+    return F.trim(F.regexp_replace(spaced, _BETWEEN_WORDS, " "))
 
 
 def _template(words: Column) -> Column:
@@ -75,20 +82,25 @@ def _hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def _windows(hashed: Column) -> Column:
+def _windows(hashed: Column, length: int = WINDOW) -> Column:
     """Hash of each window, by its place from 0; empty for texts shorter than a window."""
-    places = F.when(F.size(hashed) >= WINDOW, F.sequence(F.lit(1), F.size(hashed) - (WINDOW - 1)))
-    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(hashed, i, WINDOW)))
+    places = F.when(F.size(hashed) >= length, F.sequence(F.lit(1), F.size(hashed) - (length - 1)))
+    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(hashed, i, length)))
     return F.coalesce(hashes, F.array().cast("array<bigint>"))
 
 
+def _whole(hashed: Column) -> Column:
+    """Hash of a short text as a whole, unlike that of any window; null for others."""
+    return F.when(F.size(hashed).between(1, INSIDE - 1), F.xxhash64(F.lit("whole"), hashed))
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     """A written table, to be broadcast when it has at most `rows` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """`(w, item_id, version, ipos, exact)` of every window with enough plain words, and the items' tokens.
+    """`(w, item_id, version, ipos, exact)` of every window, templates with enough plain words only, and the items' tokens.
 
     `exact` windows hash the words themselves, as a template without a placeholder does.
     """
@@ -105,9 +117,11 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     templates = items.withColumn("hashed", _hashed(F.col("tokens"))).select(
         "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w")
     ).filter((plain >= PLAIN_WORDS) & (plain < WINDOW))
+    n = F.size("hashed")
+    own = F.when(n >= WINDOW, _windows(F.col("hashed"))).when(n >= INSIDE, F.array(F.xxhash64("hashed"))).otherwise(
+        F.array_compact(F.array(_whole(F.col("hashed")))))
     words = items.withColumn("hashed", _hashed(F.transform("item_values", _plain))).select(
-        "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w")
-    ).filter(plain >= PLAIN_WORDS)
+        "item_id", "version", "tokens", F.posexplode(own).alias("ipos", "w"))
     kept = [df.select("w", "item_id", "version", "ipos", F.lit(exact).alias("exact"))
             for df, exact in ((templates, False), (words, True))]
     return kept[0].unionByName(kept[1]), items
@@ -148,6 +162,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     )
     windows, items = benchmark_windows(benchmark, item_key, item_text)
     known = materialize(windows, "benchmark-windows")
+    lengths = sorted(r.n for r in items.select(F.size("tokens").alias("n")).filter(
+        F.col("n").between(1, WINDOW - 1)).distinct().collect())  # seven at most
     words = rows.select("doc_id", "h", _words(F.col("text")).alias("words"))
     # Each in a column of its own: what stands inside a lambda is computed for each window.
     hashed = words.select("doc_id", "h", *(
@@ -156,7 +172,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     # A window without a placeholder is the same both ways, and is looked up once.
     twice = F.concat("w", F.zip_with("w", "v", lambda w, v: F.when(w != v, v)))
     exploded = windows.select("doc_id", "h", F.size("w").alias("n"), F.posexplode(twice).alias("dpos", "w")).filter(
-        F.col("w").isNotNull()).withColumn("dpos", F.col("dpos") % F.col("n"))
+        F.col("w").isNotNull()).select("doc_id", "h", (F.col("dpos") % F.col("n")).alias("dpos"), "w")
+    # Short items, where there are any: their own lengths, and whole rows below `INSIDE`.
+    row = words.select("doc_id", "h", _hashed(_tokens(_plain(F.col("words")))).alias("v"))
+    short = [_windows(F.col("v"), n) for n in lengths if n >= INSIDE]
+    if lengths and lengths[0] < INSIDE:
+        short.append(F.array_compact(F.array(_whole(F.col("v")))))
+    for w in short:
+        exploded = exploded.unionByName(row.select("doc_id", "h", F.posexplode(w).alias("dpos", "w")))
     hits = exploded.join(_small(known, BROADCAST_ROWS), "w").select(
         "doc_id", "h", "item_id", "version", "dpos", "ipos", "exact").distinct()
     hits = materialize(hits, "window-hits")
@@ -203,11 +226,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     ).withColumn("held_places", F.array_union(_places(F.col("held")), _places(F.col("exact_at")))).withColumn(
         "changed", F.exists("held", lambda p: _within(F.col("altered"), p)))
     per_item = checked.filter(F.size("held_places") > 0).groupBy("doc_id", "h", "item_id", "version").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("held_places")))).alias("covered"),
+        # The window of a short item ends with it.
+        F.least(F.size(F.array_distinct(F.flatten(F.collect_set("held_places")))),
+                F.max(F.size("tokens"))).alias("covered"),
         F.max(F.size("tokens")).alias("item_tokens"),
         F.bool_or("changed").alias("reparameterised"),
     )
-    enough = F.least(F.lit(COVERED), F.greatest(F.lit(WINDOW), F.ceil(F.col("item_tokens") / 2)))
+    enough = F.least(F.lit(COVERED), F.greatest(F.lit(WINDOW), F.ceil(F.col("item_tokens") / 2)), F.col("item_tokens"))
     return per_item.filter(F.col("covered") >= enough).groupBy("doc_id", "h", "item_id").agg(
         F.max("covered").alias("covered"), F.max("item_tokens").alias("item_tokens"),
         F.bool_or("reparameterised").alias("reparameterised"))

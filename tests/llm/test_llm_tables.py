@@ -278,6 +278,15 @@ def test_copies_in_another_case_or_with_other_white_space_are_found(spark):
     assert found_by(spark, [german, asked], texts) == [{0}, {0}, {1}, {1}, {1}, {0}]
 
 
+def test_short_items_rows_of_numbers_and_texts_without_spaces_are_found(spark):
+    items = ["What is the capital of France?", "12 + 7 = 19, 4 * 5 = 20, 9 - 2 = 7, 8 / 4 = 2", "法国的首都是哪一座城市?", "Why not?",
+             "Who wrote Hamlet?"]
+    texts = ["He asked: what is the capital of France? Paris.", "So 12 + 7 = 19, 4 * 5 = 20, 9 - 2 = 7, 8 / 4 = 2 it is",
+             "请问法国的首都是哪一座城市?谢谢", "why not", "Well, why not?", "What is the capital of Spain?", "who wrote Hamlet",
+             "So 13 + 8 = 21, 5 * 6 = 30, 7 - 1 = 6, 9 / 3 = 3 it is", ""]
+    assert found_by(spark, items, texts) == [{0}, {1}, {2}, {3}, set(), set(), {4}, set(), set()]
+
+
 # Pipeline ---------------------------------------------------------------------------------------
 
 
