@@ -3,7 +3,7 @@
 A transducer rewrites disguised characters and remembers where each written character came from:
 full-width, mathematical, circled and superscript characters and Cyrillic or Greek look-alikes
 become ASCII, invisible characters go, spelled digits become digits, "at" and "dot" in brackets, or
-as bare words in an address that ends in a known domain, become @ and a full stop. The patterns run
+as bare words (also a spaced @) in an address that ends in a top-level domain, become @ and a full stop. The patterns run
 over the rewritten text, and their spans are mapped back to the source.
 
 Spans of the plain text always stay. A span that the rewriting reveals is added when it holds a
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.llm.common import map_batches, texts_of
+from labelflow.llm.endings import ENDINGS
 
 KINDS = ("email", "ip", "card", "phone")
 OUTPUT = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
@@ -110,8 +111,11 @@ _DIGIT_WORDS = {
     "siete": "7", "ocho": "8", "nueve": "9",
 }
 _AT_WORDS, _DOT_WORDS = "at|arobase|arroba|ät", "dot|punkt|point|punto"
-# Endings that a bare "name at host dot com" must have.
-_ENDINGS = "com|org|net|edu|gov|info|biz|io|co|ai|app|dev|de|fr|es|uk|us|eu|ch|at|it|nl|be|ca|au|in|example|test"
+# Fixed values: "us at example.com" is no address, and "at this point in" is no host.
+_PROSE = frozenset("us is are was were be him them it look looking and or here available online found visit".split())
+_NO_HOST = frozenset("this that the some any which what one a an no each every my his her its our your their".split())
+# "at home.It": a sentence without a space, not an ending.
+_STARTS = frozenset("Am As At Be By Do In Is It Me My No So To Us De Es La Si Et Il".split())
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT_BRACKET = rf"[ \t]*+{_OPEN}[ \t]*+(?:{_AT_WORDS}|@)[ \t]*+{_CLOSE}[ \t]*+"
@@ -120,10 +124,8 @@ _BRACKETED = re.compile(rf"(?P<at>{_AT_BRACKET})|(?P<dot>{_DOT_BRACKET})", re.I)
 # name at host dot com: found from the "at", so the scan stays linear.
 _BARE = re.compile(
     rf"(?<=[A-Za-z0-9_%+-])(?P<at>[ \t]++(?:{_AT_WORDS})[ \t]++|[ \t]*+@[ \t]*+)"
-    rf"(?=[A-Za-z0-9-]++(?:(?:[ \t]++(?:{_DOT_WORDS})[ \t]++|\.)[A-Za-z0-9-]++){{0,4}}"
-    rf"[ \t]++(?:{_DOT_WORDS})[ \t]++(?:{_ENDINGS})\b)"
     rf"(?P<host>[A-Za-z0-9-]++(?:(?:[ \t]++(?:{_DOT_WORDS})[ \t]++|\.)[A-Za-z0-9-]++)+)", re.I)
-_BARE_DOT = re.compile(rf"[ \t]+(?:{_DOT_WORDS})[ \t]+", re.I)
+_HOST_DOT = re.compile(rf"[ \t]+(?:{_DOT_WORDS})[ \t]+|\.", re.I)
 _DIGITISH = "|".join(sorted(map(re.escape, _DIGIT_WORDS), key=len, reverse=True))
 # Two neighbours at least, one of them a word; longer chains are grown from there.
 _SPELLED = re.compile(
@@ -132,6 +134,7 @@ _SPELLED = re.compile(
 _SPELLED_TOKEN = re.compile(rf"\b(?:plus|dash|minus|{_DOT_WORDS}|double|triple|{_DIGITISH})\b|[0-9]+|[^\w]+", re.I)
 _DOT_SET = frozenset(_DOT_WORDS.split("|"))
 _TRIGGER = re.compile(rf"{_OPEN}[ \t]*+(?:{_AT_WORDS}|{_DOT_WORDS}|@|\.)[ \t]*+{_CLOSE}|[ \t](?:{_DOT_WORDS})[ \t]"
+                      rf"|[ \t]@|@[ \t]|[ \t](?:{_AT_WORDS})[ \t]++[A-Za-z0-9-]++\.[A-Za-z]"
                       rf"|\b(?:{_DIGITISH})[ ,.()-]{{1,3}}(?:{_DIGITISH}|double|triple|[0-9])", re.I)
 
 
@@ -211,6 +214,27 @@ def _spelled_edit(match: re.Match) -> list[tuple[int, int, str]]:
     return edits if words else []
 
 
+def _bare_edits(match: re.Match) -> list[tuple[int, int, str]]:
+    """Edits of "name at host dot com" up to its last label that is an ending; none without one."""
+    host, base = match.group("host"), match.start("host")
+    dots, end = list(_HOST_DOT.finditer(host)), len(host)
+    while dots:
+        label = host[dots[-1].end():end]
+        if label.lower() in ENDINGS and not (dots[-1].group() == "." and label in _STARTS):
+            break
+        end = dots.pop().start()
+    spelled = [d for d in dots if d.group() != "."]
+    if not dots or match.group("at") == "@" and not spelled:
+        return []
+    if not spelled:
+        before = re.search(r"[A-Za-z0-9._%+-]*$", match.string[max(0, match.start() - 20):match.start()])
+        if before.group().lower() in _PROSE:
+            return []
+    elif len(dots) == 1 and spelled[0].group().strip().lower() != "dot" and host[:dots[0].start()].lower() in _NO_HOST:
+        return []
+    return [(*match.span("at"), "@"), *((base + d.start(), base + d.end(), ".") for d in spelled)]
+
+
 def rewrite(text: str) -> Rewritten | None:
     """The text without disguises; None where it has none."""
     got = Rewritten(text)
@@ -224,9 +248,7 @@ def rewrite(text: str) -> Rewritten | None:
         got.replace([(m.start(), m.end(), "@" if m.group("at") else ".") for m in _BRACKETED.finditer(got.text)])
         edits = []
         for m in _BARE.finditer(got.text):
-            edits.append((*m.span("at"), "@"))
-            edits += [(m.start("host") + d.start(), m.start("host") + d.end(), ".")
-                      for d in _BARE_DOT.finditer(m.group("host"))]
+            edits += _bare_edits(m)
         got.replace(edits)
         got.replace([e for m in _SPELLED.finditer(got.text) for e in _spelled_edit(m)])
     return got if any(got.changed) else None

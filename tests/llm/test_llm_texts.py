@@ -151,6 +151,21 @@ def test_disguised_spans_map_back(text, hidden):
     assert hidden not in pii.masked(text)
 
 
+@pytest.mark.parametrize("hidden", [
+    "john at example.com", "john @ example.com", "john at firma dot se", "john at firma dot jp", "john at mail.firma dot ru",
+    "john at firma dot online",
+])
+def test_bare_addresses_of_all_endings(hidden):
+    text = f"so {hidden}, thanks"
+    base, added = pii.all_spans(text)
+    assert base == [] and [text[a:b] for _, a, b in added] == [hidden]
+
+
+@pytest.mark.parametrize("text", ["they were at this point in time", "visit us at example.com", "we sat at home.It was late"])
+def test_prose_with_at_stays(text):
+    assert pii.all_spans(text) == ([], [])
+
+
 @pytest.mark.parametrize("hidden, remnant", [
     ("jo\u0435.smith@example.com", ".smith@example.com"),
     ("joe@example.c\u043em", "joe@example.c"),
