@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+# Digits, ASCII letters and all characters beyond ASCII.
+WORDS_OF_LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 # At most about this many characters are worked on as numpy arrays at once.

@@ -15,9 +15,12 @@ from labelflow.llm import (
     lm,
     main_text,
     neighbours,
+    notices,
     packing,
     pii,
     token_counts,
+    variants,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +92,21 @@ def op10_language_id(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return variants.variants(table(spark, sf_dir, "documents"), damage=variants.DAMAGE)
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_license_scan(spark, sf_dir):
+    return notices.scan(table(spark, sf_dir, "documents"))
+
+
 # SQL of the operators that it can express; the others are tested against brute force.
 ORACLE = {
     "op9_jaccard_join": r"""
