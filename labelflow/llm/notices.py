@@ -111,7 +111,8 @@ class Notice:
                 windows.append([low, high])
         found = []
         for low, high in windows:
-            if not self.anywhere.search(form, low, high):
+            named = self.name is None or self.name.search(form, low, high)
+            if not named or not self.anywhere.search(form, low, high):
                 continue
             spaces = [i for i in range(low, high) if form[i] == " "]
             exact = {i + 1 for i in spaces if form.startswith(self.text, i + 1) and form[i + 1 + n] == " "}
