@@ -279,6 +279,20 @@ FOUND = (
 )
 ORACLE["keyword_matches"] = _with(KEYWORDS, HITS) + "SELECT * FROM hits"
 ORACLE["keyword_candidates"] = _with(KEYWORDS, HITS, TOP) + "SELECT * FROM top"
+ORACLE["keyword_matches_many"] = f"""
+    WITH words AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+    runs AS (
+        SELECT DISTINCT unnest(flatten(list_transform(range({V.RUN_WORDS[0]}, {V.RUN_WORDS[1] + 1}), lambda n:
+            list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))))) AS keyword
+        FROM words),
+    kw AS MATERIALIZED (
+        SELECT CAST(row_number() OVER (ORDER BY keyword) - 1 AS INTEGER) AS pos, keyword, lower(keyword) AS needle
+        FROM runs WHERE trim(keyword) <> ''),
+    texts AS MATERIALIZED (SELECT doc_id, lower(text) AS low FROM documents)
+    SELECT pos, keyword, doc_id AS id,
+        CAST((length(low) - length(replace(low, needle, ''))) // length(needle) AS BIGINT) AS score
+    FROM texts JOIN kw ON contains(low, needle)
+"""
 FIRST = ("firsts", "SELECT id, min(pos) AS pos FROM hits GROUP BY id")
 ORACLE["first_keyword"] = _with(KEYWORDS, HITS, FIRST) + (
     "SELECT id, pos, keyword FROM firsts JOIN kw USING (pos)"

@@ -17,6 +17,7 @@ from labelflow.operators import (
     details,
     encode,
     heads,
+    keyword_join,
     losses,
     merge,
     metrics,
@@ -253,6 +254,13 @@ def keyword_matches(spark, sf_dir):
     return _hits(spark, sf_dir)
 
 
+@query
+def keyword_matches_many(spark, sf_dir):
+    """About ten thousand keywords over all documents."""
+    documents = V.table(spark, sf_dir, "documents")
+    return keyword_join.search_many(documents, "doc_id", F.col("text"), V.keyword_runs(spark, sf_dir))
+
+
 @query
 def keyword_candidates(spark, sf_dir):
     return candidates.top_hits(_hits(spark, sf_dir))

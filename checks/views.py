@@ -98,6 +98,20 @@ HEADS = (
 )
 
 
+# Keywords by the thousand: all runs of so many words of the benchmark texts.
+RUN_WORDS = (3, 10)
+
+
+def keyword_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(pos, keyword)` of the distinct runs, in code-point order."""
+    run = "array_join(slice(w, i, n), ' ')"
+    of_length = f"transform(filter(sequence(1, size(w)), i -> i <= size(w) - n + 1), i -> {run})"
+    runs = table(spark, sf_dir, "benchmark").selectExpr("split(text, ' ') AS w").selectExpr(
+        f"explode(flatten(transform(sequence({RUN_WORDS[0]}, {RUN_WORDS[1]}), n -> {of_length}))) AS keyword")
+    distinct = runs.filter("trim(keyword) <> ''").distinct()
+    return distinct.selectExpr("CAST(row_number() OVER (ORDER BY keyword) - 1 AS int) AS pos", "keyword")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

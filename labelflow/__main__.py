@@ -29,7 +29,7 @@ from labelflow.sinks.models import label_config, save_model
 from labelflow.sinks.records import write_collected_csv, write_records, write_records_csv
 from labelflow.scale import materialize
 from labelflow.sinks.reports import write_report_text
-from labelflow.sources.keywords import keyword_list, read_keywords
+from labelflow.sources.keywords import read_keywords
 from labelflow.sources.models import check_dictionary, load_model, read_label_config
 from labelflow.sources.records import read_records, read_records_csv
 from labelflow.sources.runlogs import parse_epochs, read_log_text
@@ -44,9 +44,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def run_collect(spark: SparkSession, args: argparse.Namespace) -> None:
-    keywords = SEARCH_KEYWORDS
-    if args.keywords_file:
-        keywords = keyword_list(read_keywords(spark, args.keywords_file))
+    keywords = read_keywords(spark, args.keywords_file) if args.keywords_file else SEARCH_KEYWORDS
     texts = spark.read.parquet(args.texts)
     found = collect.find_candidates(texts, args.id, F.col(args.text), keywords, args.n_hits)
     details = spark.read.parquet(args.details)

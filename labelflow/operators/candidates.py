@@ -16,6 +16,13 @@ from labelflow.schema import DEFAULT_HITS_PER_KEYWORD
 _MERGE_GROUPS = 64
 
 
+def occurrences(text: Column, needle: Column) -> Column:
+    """How often `needle` stands in `text`, without overlaps."""
+    # Byte lengths are known without reading the text; a quotient of them is a whole number.
+    rest = F.octet_length(F.replace(text, needle, F.lit("")))
+    return ((F.octet_length(text) - rest) / F.octet_length(needle)).cast("bigint")
+
+
 def search(
     texts: DataFrame, id_col: str, text: Column, keywords: Sequence[str]
 ) -> DataFrame:
@@ -31,16 +38,10 @@ def search(
         for i, k in enumerate(keywords)
     ])
     low = F.col("low")
-
-    def occurrences(needle: Column) -> Column:
-        # Byte lengths are known without reading the text; a quotient of them is a whole number.
-        rest = F.octet_length(F.replace(low, needle, F.lit("")))
-        return ((F.octet_length(low) - rest) / F.octet_length(needle)).cast("bigint")
-
     found = F.transform(
         F.filter(table, lambda k: F.contains(low, k["needle"])),
         lambda k: F.struct(k["pos"].alias("pos"), k["keyword"].alias("keyword"),
-                           occurrences(k["needle"]).alias("score")),
+                           occurrences(low, k["needle"]).alias("score")),
     )
     return (
         texts.select(F.col(id_col).alias("id"), F.lower(text).alias("low"))

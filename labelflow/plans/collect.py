@@ -8,17 +8,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.operators.candidates import discovery_order, search, top_hits
+from labelflow.operators.keyword_join import search_many
 from labelflow.operators.details import found_details, missing_details, normalize_records
-from labelflow.scale import materialize
+from labelflow.scale import few_rows, materialize
 from labelflow.schema import DEFAULT_HITS_PER_KEYWORD, SEARCH_KEYWORDS
 
+# Up to this many keywords are literals of one search expression; longer lists are joined.
+LITERAL_KEYWORDS = 200
+
+
+def search_any(texts: DataFrame, id_col: str, text: Column, keywords: DataFrame) -> DataFrame:
+    """Matches of a table `(pos, keyword)` of any length; the rows don't depend on the way taken."""
+    few = few_rows(keywords.select("pos", "keyword"), LITERAL_KEYWORDS)
+    if few is None:
+        return search_many(texts, id_col, text, keywords)
+    listed = sorted(few)
+    hits = search(texts, id_col, text, [r.keyword for r in listed])
+    # Positions of the table may have gaps.
+    return hits.withColumn("pos", F.get(F.lit([r.pos for r in listed]), F.col("pos"))) if listed else hits
+
 
 def find_candidates(
     texts: DataFrame, id_col: str, text: Column,
-    keywords: Sequence[str] = SEARCH_KEYWORDS, n_hits: int = DEFAULT_HITS_PER_KEYWORD,
+    keywords: Sequence[str] | DataFrame = SEARCH_KEYWORDS, n_hits: int = DEFAULT_HITS_PER_KEYWORD,
 ) -> DataFrame:
-    """Distinct ids `(app_id, pos, hit_rank, keyword)`, written once: the texts are read here only."""
-    hits = top_hits(search(texts, id_col, text, keywords), n_hits)
+    """Distinct ids `(app_id, pos, hit_rank, keyword)`, written once; `keywords` is a list or a table."""
+    if isinstance(keywords, DataFrame):
+        matches = search_any(texts, id_col, text, keywords)
+    else:
+        matches = search(texts, id_col, text, keywords)
+    hits = top_hits(matches, n_hits)
     found = discovery_order(hits).withColumnRenamed("id", "app_id")
     return materialize(found, "candidates")
 

@@ -18,8 +18,11 @@ def read_keywords(spark: SparkSession, path: str) -> DataFrame:
         F.posexplode(F.split(F.regexp_replace("value", "^\\ufeff", ""), r"\r\n|\r|\n")).alias("line", "raw")
     )
     kept = lines.select("file", "line", strip(F.col("raw")).alias("keyword")).filter("keyword != ''")
-    # A list that people write, so its lines are few; numbering closes the gaps of blank lines.
-    return kept.selectExpr("row_number() OVER (ORDER BY file, line) - 1 AS pos", "keyword")
+    # Numbered per file, behind the lines of the files before it: one row a file meets in one task.
+    in_file = kept.selectExpr("file", "row_number() OVER (PARTITION BY file ORDER BY line) - 1 AS place", "keyword")
+    before = kept.groupBy("file").agg(F.count("*").alias("lines")).selectExpr(
+        "file", "sum(lines) OVER (ORDER BY file) - lines AS before")
+    return in_file.join(before, "file").selectExpr("CAST(before + place AS int) AS pos", "keyword")
 
 
 def keyword_table(spark: SparkSession, keywords: Sequence[str] = SEARCH_KEYWORDS) -> DataFrame:
@@ -28,5 +31,5 @@ def keyword_table(spark: SparkSession, keywords: Sequence[str] = SEARCH_KEYWORDS
 
 
 def keyword_list(table: DataFrame) -> list[str]:
-    """Keywords in order, for use as literals of a search."""
+    """Keywords of a short table in order, for use as literals of a search."""
     return [r.keyword for r in table.orderBy("pos").select("keyword").collect()]
