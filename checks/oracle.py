@@ -112,6 +112,14 @@ ORACLE["review_queue_minority_first"] = _with(APPS, *SCORING, PRELABELLED) + (
     "SELECT * FROM prelabelled ORDER BY minority_candidate <> '' DESC, "
     "min_confidence ASC NULLS LAST, app_id LIMIT 100"
 )
+ORACLE["review_positions"] = _with(APPS, *SCORING, (
+    "flagged",
+    f"SELECT app_id, min_confidence, length(description) AS chars, {_flags(APP_TEXT)} AS flags FROM apps "
+    "LEFT JOIN scored ON app_id = CAST(vec_id AS VARCHAR)",
+)) + (
+    "SELECT row_number() OVER (ORDER BY flags <> '' DESC, min_confidence ASC NULLS LAST, app_id) AS position, "
+    "app_id, min_confidence, CAST(chars AS INTEGER) AS chars FROM flagged"
+)
 ORACLE["prelabel_records"] = _with(APPS, *SCORING, PRELABELLED) + "SELECT * FROM prelabelled"
 ORACLE["score_two_axis"] = _with(*SCORING) + f"SELECT vec_id, {AUDIT} FROM scored"
 ORACLE["score_native_heads"] = ORACLE["score_two_axis"]

@@ -21,6 +21,7 @@ from labelflow.operators import (
     losses,
     merge,
     metrics,
+    positions,
     review,
     runlog,
     scoring,
@@ -97,6 +98,16 @@ def review_queue(spark, sf_dir):
     return review.review_order(materialize(scored, "scored"), key="vec_id")
 
 
+@query
+def review_positions(spark, sf_dir):
+    """The place of every pre-labelled record in the queue; the texts are in no sort."""
+    documents = V.apps(spark, sf_dir).select("app_id", "app_name", "description")
+    flagged = scoring.with_keyword_flags(documents, groups=V.GROUPS)
+    scores = _scored(spark, sf_dir).select(F.col("vec_id").cast("string").alias("app_id"), "min_confidence")
+    placed = positions.review_positions(flagged.join(scores, "app_id", "left"), minority_first=True)
+    return placed.select("position", "app_id", "min_confidence", F.char_length("description").alias("chars"))
+
+
 @query
 def review_queue_minority_first(spark, sf_dir):
     return review.review_top(_prelabelled(spark, sf_dir), 100, minority_first=True)

@@ -15,6 +15,7 @@ from labelflow.operators.encode import category_dictionary
 from labelflow.operators.heads import score_heads
 from labelflow.operators.metrics import report_lines, report_summary
 from labelflow.operators.review import first_rows
+from labelflow.operators.side import label_side
 from labelflow.operators.runlog import best_checkpoints, rank_runs
 from labelflow.plans import collect, merge, prelabel, train
 from labelflow.schema import (
@@ -67,6 +68,7 @@ def run_prelabel(spark: SparkSession, args: argparse.Namespace) -> None:
         records, lambda df: score_heads(model, df),
         categories=config.categories, functions=config.functions,
         category_names=config.category_names, function_names=config.function_names,
+        carry=args.carry and args.carry.split(","), top=args.top, minority_first=args.minority_first,
     )
     _write(queue, args.output)
     summary.show(truncate=False)
@@ -91,9 +93,10 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _read(spark, args.data)
-    prepared = train.prepare(records, args.key, args.test_size, args.seed)
+    side = label_side(records, args.key)
+    prepared = train.prepare(records, args.key, args.test_size, args.seed, side=side)
     model = train.fit(prepared)
-    save_model(model, label_config(spark, train.categories_of(records)), args.model)
+    save_model(model, label_config(spark, train.categories_of(side)), args.model)
     result = train.evaluate_heads(model, prepared, read_label_config(spark, args.model))
     result.summary.show(truncate=False)
     result.score.show()
@@ -101,20 +104,22 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_train_weighted(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _read(spark, args.data)
-    prepared = train.prepare_single_axis(records, args.key, args.test_size, args.seed)
+    side = label_side(records, args.key)
+    prepared = train.prepare_single_axis(records, args.key, args.test_size, args.seed, side)
     model = train.fit_weighted(prepared)
-    save_model(model, label_config(spark, train.categories_of(records), {}), args.model)
+    save_model(model, label_config(spark, train.categories_of(side), {}), args.model)
     report_summary(train.evaluate_weighted_head(model, prepared)).show(truncate=False)
 
 
 def run_evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
     config = read_label_config(spark, args.model)
     records = _read(spark, args.data)
-    check_dictionary(category_dictionary(records), config)
+    side = label_side(records, args.key)
+    check_dictionary(category_dictionary(side), config)
     stored = spark.createDataFrame(
         [(c, i) for i, c in enumerate(config.categories)], "category int, category_label int"
     )
-    prepared = train.prepare(records, args.key, args.test_size, args.seed, stored)
+    prepared = train.prepare(records, args.key, args.test_size, args.seed, stored, side)
     result = train.evaluate_heads(load_model(args.model), prepared, config)
     names = {
         "category": {i: config.category_names[c] for i, c in enumerate(config.categories)},
@@ -149,7 +154,10 @@ def parser() -> argparse.ArgumentParser:
             id={"default": "app_id"}, text={"default": "text"},
             keywords_file={}, n_hits={"type": int, "default": DEFAULT_HITS_PER_KEYWORD},
             lang={"default": "ko"}, country={"default": "kr"})
-    command("prelabel", run_prelabel, input=need, model=need, output=need, limit={"type": int})
+    command("prelabel", run_prelabel, input=need, model=need, output=need, limit={"type": int},
+            carry={"help": "record columns of the queue, comma-separated; all by default"},
+            top={"type": int, "help": "only the first rows of the queue"},
+            minority_first={"action": "store_true", "help": "rows with a keyword flag first"})
     command("merge", run_merge, existing=need, new=need, output=need,
             strict_exclude_exc={"action": "store_true"})
     command("train", run_train, data=need, model=need, **split)

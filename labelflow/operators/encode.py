@@ -38,10 +38,11 @@ def encode_labels(df: DataFrame, dictionary: DataFrame | None = None) -> DataFra
     )
 
 
-def encode_single_axis(df: DataFrame) -> DataFrame:
+def encode_single_axis(df: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
     """Axis 1 alone: sentinel rows leave, `category_id` becomes an integer with a dense label."""
     real = df.filter(~is_sentinel(F.col("category_id")))
-    table = dimension(category_dictionary(real)).withColumnRenamed("category", "category_id")
+    known = dimension(category_dictionary(real)) if dictionary is None else dictionary
+    table = known.withColumnRenamed("category", "category_id")
     return real.withColumn("category_id", F.col("category_id").cast("int")).join(
         table, "category_id", "left"
     )

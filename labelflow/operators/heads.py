@@ -18,6 +18,8 @@ from labelflow.scale import materialize
 FEATURES = 1 << 14
 # A fit ends when the loss hardly changes, so its result does not depend on this many steps.
 MAX_ITER, TOLERANCE = 500, 1e-8
+# Each step of a fit is a job: its tasks get at least this many rows.
+TASK_ROWS = 5_000
 
 
 def _text_features(text: str, num_features: int) -> Pipeline:
@@ -37,6 +39,13 @@ def _head(axis: str, label: str, max_iter: int, reg: float, weight: str | None =
     return head.setWeightCol(weight) if weight else head
 
 
+def _for_fits(features: DataFrame) -> DataFrame:
+    """Features written once, in no more partitions than their rows are worth, as every step reads them."""
+    ready = materialize(features, "features")
+    wanted = max(1, ready.count() // TASK_ROWS)
+    return ready.coalesce(wanted)  # never more partitions than there are
+
+
 def train_two_heads(
     train: DataFrame, text: str = "combined_text",
     category_label: str = "category_label", function_label: str = "function_label",
@@ -50,7 +59,7 @@ def train_two_heads(
     rows = train.select(F.coalesce(F.col(text), F.lit("")).alias(text), category_label, function_label)
     features = _text_features(text, num_features).fit(rows)
     # Written once for both heads; each fit keeps blocks of its own.
-    ready = materialize(features.transform(rows).select("features", category_label, function_label), "features")
+    ready = _for_fits(features.transform(rows).select("features", category_label, function_label))
     heads = [
         _head(axis, label, max_iter, reg).fit(ready.filter(F.col(label).isNotNull()))
         for axis, label in (("category", category_label), ("function", function_label))
@@ -84,7 +93,7 @@ def train_weighted_text_head(
         F.coalesce(F.col(text), F.lit("")).alias(text), label
     )
     features = _text_features(text, num_features).fit(rows)
-    ready = features.transform(rows).select("features", label)
+    ready = _for_fits(features.transform(rows).select("features", label))
     return PipelineModel(stages=[*features.stages, _fit_weighted(ready, label, max_iter, reg)])
 
 
@@ -95,7 +104,7 @@ def train_weighted_head(
     rows = train.filter(F.col(label).isNotNull()).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("features"), label
     )
-    return _fit_weighted(rows, label, max_iter, reg)
+    return _fit_weighted(_for_fits(rows), label, max_iter, reg)
 
 
 def predict_weighted_head(model: LogisticRegressionModel, df: DataFrame, vector: str) -> DataFrame:

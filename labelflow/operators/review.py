@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def queue_order(key: str = "app_id", minority_first: bool = False) -> list[Column]:
+    """Least confident first, rows without confidence last, ties by key; flagged rows first if asked."""
+    flagged = [F.desc(F.coalesce(F.col("minority_candidate"), F.lit("")) != "")] if minority_first else []
+    return [*flagged, F.asc_nulls_last("min_confidence"), F.asc(key)]
+
+
 def review_order(scored: DataFrame, key: str = "app_id") -> DataFrame:
     """Least confident first, rows without confidence last, ties by key.
 
@@ -23,8 +29,7 @@ def review_top(
     scored: DataFrame, k: int, key: str = "app_id", minority_first: bool = False
 ) -> DataFrame:
     """The first `k` rows to review; each task keeps only its own best `k`."""
-    flagged = [F.desc(F.coalesce(F.col("minority_candidate"), F.lit("")) != "")] if minority_first else []
-    return scored.orderBy(*flagged, F.asc_nulls_last("min_confidence"), key).limit(k)
+    return scored.orderBy(*queue_order(key, minority_first)).limit(k)
 
 
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:

@@ -111,15 +111,18 @@ def stratified_split(
     label: str,
     test_size: float = DEFAULT_TEST_SIZE,
     seed: int = DEFAULT_SEED,
+    side: DataFrame | None = None,
 ) -> DataFrame:
     """Add the boolean `is_train`; class sizes are exact and the same rows are picked every time.
 
+    `side` is a narrow table with the key and label of all rows; with it, `df` is read once only.
+
     Rows of a class are taken in `order_key` order until its train rows are complete. No class is
     ranked as a whole: one pass over two columns counts buckets, a second one looks at the bucket
     where each class is cut, and the last one compares every row with the cut of its class. Where
     rows share the key at the cut, their content decides (`_split_shared`).
     """
-    rows = df.select(label, order_key(key, seed).alias("h"))
+    rows = (df if side is None else side).select(label, order_key(key, seed).alias("h"))
     buckets = _buckets(rows, label)
     counts = buckets.groupBy(label).agg(F.sum("n").alias("n"))
     checked = _checked(allocate(counts, label, test_size), label)

@@ -6,7 +6,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Row
 
-from labelflow.operators.merge import class_distribution, merge_counts, merge_labeled
+from labelflow.operators.merge import class_distribution, merge_labeled
+from labelflow.operators.side import counts_of_merge, merge_side
 from labelflow.sinks.records import write_records, write_records_csv
 
 
@@ -18,11 +19,13 @@ class Merged(NamedTuple):
 def merge(
     existing: DataFrame, new: DataFrame, output: str, strict: bool = False, as_csv: bool = False
 ) -> Merged:
-    """Write the merged table. Counts and distribution read the two label columns only.
+    """Write the merged table; counts and distribution come from a side table of the labels.
 
-    The counts are not observed during the write: once a session has used an `Observation`,
-    later Spark ML transforms in it fail to serialize (Spark 4.1).
+    Both inputs are read twice: for the side table and to be written. The counts are not observed
+    during the write: once a session has used an `Observation`, later Spark ML transforms in it
+    fail to serialize (Spark 4.1).
     """
+    side = merge_side(existing, new, strict)
     merged = merge_labeled(existing, new, strict)
     (write_records_csv if as_csv else write_records)(merged, output)
-    return Merged(merge_counts(existing, new, strict).first(), class_distribution(merged))
+    return Merged(counts_of_merge(side).first(), class_distribution(side.filter("NOT dropped")))

@@ -26,6 +26,7 @@ from labelflow.operators.metrics import (
     slice_macro_f1,
 )
 from labelflow.operators.scoring import with_predictions
+from labelflow.operators.side import label_side
 from labelflow.operators.split import stratified_split
 from labelflow.plans.prelabel import with_combined_text
 from labelflow.scale import dimension, materialize
@@ -48,22 +49,30 @@ class Evaluation(NamedTuple):
 def prepare(
     records: DataFrame, key: str = "app_id",
     test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED,
-    dictionary: DataFrame | None = None,
+    dictionary: DataFrame | None = None, side: DataFrame | None = None,
 ) -> DataFrame:
-    """Checked, encoded and split records, written once for training and evaluation."""
-    assert_trainable(records)
+    """Checked, encoded and split records, written once for training and evaluation.
+
+    The records are read twice: for the side table (unless given) and to be written.
+    """
+    side = label_side(records, key) if side is None else side
+    assert_trainable(side)
+    dictionary = category_dictionary(side) if dictionary is None else dictionary
     encoded = encode_labels(with_combined_text(records), dictionary)
-    return materialize(stratified_split(encoded, key, "category_id", test_size, seed), "prepared")
+    return materialize(stratified_split(encoded, key, "category_id", test_size, seed, side), "prepared")
 
 
 def prepare_single_axis(
     records: DataFrame, key: str = "app_id",
-    test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED,
+    test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED, side: DataFrame | None = None,
 ) -> DataFrame:
     """The same for axis 1 alone: sentinel rows are left out before the split."""
-    assert_trainable(records)
-    encoded = encode_single_axis(with_combined_text(records))
-    return materialize(stratified_split(encoded, key, "category_id", test_size, seed), "prepared")
+    side = label_side(records, key) if side is None else side
+    assert_trainable(side)
+    dictionary = dimension(category_dictionary(side))
+    encoded = encode_single_axis(with_combined_text(records), dictionary)
+    real = encode_single_axis(side, dictionary)
+    return materialize(stratified_split(encoded, key, "category_id", test_size, seed, real), "prepared")
 
 
 def fit(prepared: DataFrame, **options) -> PipelineModel:
