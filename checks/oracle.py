@@ -581,3 +581,28 @@ ORACLE["early_stopping"] = _with(*_RUNS) + (
 )
 ORACLE["best_checkpoint"] = _with(*_RUNS) + "SELECT * FROM best"
 ORACLE["select_run"] = _with(*_RUNS) + "SELECT * FROM best ORDER BY best_score DESC, run LIMIT 1"
+
+
+def _runs(epochs: str) -> tuple[tuple[str, str], ...]:
+    """The same steps over other epochs, made from those of `_RUNS` under the name `logged`."""
+    out = []
+    for name, sql in _RUNS:
+        out.append(("logged", sql) if name == "epochs" else (name, sql))
+        if name == "epochs":
+            out.append(("epochs", epochs))
+    return tuple(out)
+
+
+ORACLE["early_stopping_restarts"] = _with(*_runs(
+    f"SELECT run || '#1' AS run, * EXCLUDE (run) FROM logged WHERE epoch <= {V.RESTART} "
+    "UNION ALL SELECT run || '#2', * EXCLUDE (run) FROM logged"
+)) + (
+    "SELECT split_part(run, '#', 1) AS run, CAST(split_part(run, '#', 2) AS INTEGER) AS segment, "
+    "epoch, avg_f1, is_best, streak, stops FROM trained"
+)
+ORACLE["one_axis_checkpoints"] = _with(*_runs(
+    "SELECT run || '#2' AS run, epoch, avg_f1 FROM logged UNION ALL SELECT run || '#1', epoch, f1_1 FROM logged"
+)) + (
+    "SELECT split_part(run, '#', 1) AS run, 1 AS segment, CAST(split_part(run, '#', 2) AS INTEGER) AS axes, "
+    "* EXCLUDE (run) FROM best"
+)

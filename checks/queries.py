@@ -32,10 +32,10 @@ from labelflow.plans import collect
 from labelflow.scale import materialize, scratch_path
 from labelflow.schema import CATEGORY_NAMES, FUNCTION_INDEX, FUNCTION_NAMES
 from labelflow.sinks.records import write_collected_csv
-from labelflow.sinks.runlogs import format_epochs
+from labelflow.sinks.runlogs import format_epochs, format_one_axis_epochs
 from labelflow.sources.keywords import keyword_table
 from labelflow.sources.records import read_records_csv
-from labelflow.sources.runlogs import parse_epochs
+from labelflow.sources.runlogs import parse_any, parse_epochs, parse_segments
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -566,6 +566,29 @@ def early_stopping(spark, sf_dir):
     )
 
 
+def _restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs in which every run is started again after some epochs."""
+    epochs = materialize(_epoch_scores(spark, sf_dir), "epochs")
+    first = format_epochs(epochs.filter(F.col("epoch") <= V.RESTART)).withColumnRenamed("text", "first")
+    return format_epochs(epochs).join(first, "run").select("run", F.concat_ws("\n", "first", "text").alias("text"))
+
+
+@query
+def early_stopping_restarts(spark, sf_dir):
+    return runlog.early_stopping(parse_segments(_restarted(spark, sf_dir))).select(
+        "run", "segment", "epoch", "avg_f1", "is_best", "streak", "stops"
+    )
+
+
+@query
+def one_axis_checkpoints(spark, sf_dir):
+    """Best checkpoints of single-axis logs, next to two-axis ones of the same runs."""
+    epochs = materialize(_epoch_scores(spark, sf_dir), "epochs")
+    single = epochs.withColumns({"acc": F.col("acc1"), "macro_f1": F.col("f1_1")})
+    logs = format_epochs(epochs).unionByName(format_one_axis_epochs(single))
+    return runlog.best_checkpoints(parse_any(logs), score="score")
+
+
 @query
 def best_checkpoint(spark, sf_dir):
     return runlog.best_checkpoints(_logged(spark, sf_dir))

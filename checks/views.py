@@ -74,6 +74,7 @@ FUNCTION_TRUTH = (
 
 # Scores of simulated runs, one per language: the rules move with the epoch.
 EPOCHS = 15
+RESTART = 6  # epochs that a run logs before it is started again
 EPOCH_QUALITY = "CAST(n_chars >= 1600 - 150 * epoch + 20 * ((epoch * 7) % 5) AS INT)"
 EPOCH_TOXIC = "CAST(doc_id % (3 + (epoch * 5) % 11) = 0 AS INT)"
 

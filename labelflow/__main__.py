@@ -16,7 +16,7 @@ from labelflow.operators.heads import score_heads
 from labelflow.operators.metrics import report_lines, report_summary
 from labelflow.operators.review import first_rows
 from labelflow.operators.side import label_side
-from labelflow.operators.runlog import best_checkpoints, rank_runs
+from labelflow.operators.runlog import best_checkpoints, rank_runs, with_logged_best
 from labelflow.plans import collect, merge, prelabel, train
 from labelflow.schema import (
     DEFAULT_HITS_PER_KEYWORD,
@@ -33,7 +33,7 @@ from labelflow.sinks.reports import write_report_text
 from labelflow.sources.keywords import read_keywords
 from labelflow.sources.models import check_dictionary, load_model, read_label_config
 from labelflow.sources.records import read_records, read_records_csv
-from labelflow.sources.runlogs import parse_epochs, read_log_text
+from labelflow.sources.runlogs import parse_any, parse_events, read_log_text
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -130,8 +130,12 @@ def run_evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_runs(spark: SparkSession, args: argparse.Namespace) -> None:
-    epochs = parse_epochs(read_log_text(spark, args.logs))
-    rank_runs(best_checkpoints(epochs, args.patience)).show(args.show, truncate=False)
+    logs = read_log_text(spark, args.logs)
+    best = best_checkpoints(parse_any(logs), args.patience, "score")
+    ranked = rank_runs(with_logged_best(best, parse_events(logs)))
+    if args.output:  # the whole ranking; the screen shows its head
+        ranked.coalesce(1).write.mode("overwrite").csv(args.output, header=True)
+    ranked.show(args.show, truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -164,7 +168,7 @@ def parser() -> argparse.ArgumentParser:
     command("train-weighted", run_train_weighted, data=need, model=need, **split)
     command("evaluate", run_evaluate, data=need, model=need, output=need, **split)
     command("runs", run_runs, logs=need, patience={"type": int, "default": DEFAULT_PATIENCE},
-            show={"type": int, "default": 100})
+            show={"type": int, "default": 100}, output={"help": "CSV folder for the whole ranking"})
     return top
 
 

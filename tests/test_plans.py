@@ -137,4 +137,15 @@ def test_runs_command(spark, tmp_path, capsys):
     )
     (tmp_path / "first.txt").write_text(text, encoding="utf-8")
     main(["runs", "--logs", str(tmp_path), "--patience", "2"])
-    assert "|first.txt|4     |2         |0.4       |4         |" in capsys.readouterr().out
+    assert "|first.txt|1      |2   |4     |2         |0.4       |4         |NULL       |" in capsys.readouterr().out
+    one = "\n".join(
+        f"Epoch {e}/9 | Loss: 1.0 | Val Acc: 0.5 | Val Macro F1: {s}\n\u2728 [New Best] Large Model saved with Macro F1: {s}"
+        for e, s in enumerate([0.1, 0.6], 1)
+    )
+    (tmp_path / "second.txt").write_text(text + "\n" + text + "\n" + one, encoding="utf-8")
+    main(["runs", "--logs", str(tmp_path), "--patience", "9", "--show", "1", "--output", str(tmp_path / "ranking")])
+    got = [tuple(r) for r in spark.read.csv(str(tmp_path / "ranking"), header=True).collect()]
+    assert got == [
+        ("second.txt", "1", "1", "2", "2", "0.6", None, "0.6"), ("first.txt", "1", "2", "4", "2", "0.4", None, None),
+        ("second.txt", "1", "2", "4", "2", "0.4", None, "0.6"), ("second.txt", "2", "2", "4", "2", "0.4", None, "0.6"),
+    ]

@@ -17,6 +17,7 @@ from labelflow.sources.runlogs import (
     parse_epochs,
     parse_events,
     parse_one_axis_epochs,
+    parse_segments,
     read_log_text,
 )
 
@@ -133,3 +134,27 @@ def test_patience_counts_logged_epochs(spark):
         [("r", e, s) for e, s in ((1, 0.5), (2, 0.4), (5, 0.4), (6, 0.4), (9, 0.4))], "run string, epoch int, avg_f1 double")
     got = {r.epoch: (r.streak, r.stops) for r in early_stopping(epochs, 4).collect()}
     assert got == {1: (0, False), 2: (1, False), 5: (2, False), 6: (3, False), 9: (4, True)}
+
+
+def lines(*epochs):
+    return "\n".join(
+        f"Epoch {e}/9 | Loss: 1.0 | [축1] Acc: 0.5 F1: {s} | [축2] Acc: 0.5 F1: {s} | Avg F1: {s}" for e, s in epochs)
+
+
+def test_a_segment_begins_where_the_epoch_falls(spark):
+    logs = spark.createDataFrame([
+        ("a", lines((1, 0.1), (2, 0.2), (3, 0.3), (1, 0.5), (2, 0.4))),
+        ("b", lines((2, 0.1), (2, 0.1), (5, 0.2), (5, 0.3), (6, 0.1))),  # a copy, a gap, another start at 5
+        ("c", "nothing"),
+    ], "run string, text string")
+    got = [(r.run, r.segment, r.epoch) for r in parse_segments(logs).orderBy("run", "segment", "epoch").collect()]
+    assert got == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), ("a", 2, 1), ("a", 2, 2),
+                   ("b", 1, 2), ("b", 1, 2), ("b", 1, 5), ("b", 2, 5), ("b", 2, 6)]
+    best = {(r.run, r.segment): (r.epochs, r.best_epoch) for r in best_checkpoints(parse_segments(logs)).collect()}
+    assert best == {("a", 1): (3, 3), ("a", 2): (2, 1), ("b", 1): (5, 5), ("b", 2): (6, 5)}
+
+
+def test_best_events_of_both_trainers(spark):
+    text = "-> Best model saved with Avg Macro F1: 0.5000 (x)\n\u2728 [New Best] Large Model saved \nwith Macro F1: 0.7500"
+    logs = spark.createDataFrame([("r", text)], "run string, text string")
+    assert parse_events(logs).first().best_scores == [0.5, 0.75]
