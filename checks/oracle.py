@@ -3,13 +3,24 @@
 from __future__ import annotations
 
 from checks import views as V
-from labelflow.schema import (
-    CATEGORY_NAMES,
-    FUNCTION_NAMES,
-    NA_TOKENS,
-    STORE_URL_TEMPLATE,
-    TEXT_SEPARATOR,
-)
+
+# Fixed values, written out here too, so that a wrong one in the library shows.
+CATEGORY_NAMES = {
+    0: "수면", 1: "정신건강", 2: "운동", 3: "식단",
+    4: "만성질환", 5: "여성건강", 6: "유전자", 7: "미용",
+}
+FUNCTION_NAMES = {"A": "정보제공", "B": "데이터기록관리", "C": "매칭연결", "D": "개입치료"}
+MINORITY_KEYWORDS = {
+    "유전자": ["유전자", "dna", "유전", "genetic"],
+    "미용": ["피부", "시술", "미용", "성형", "뷰티", "skin", "beauty"],
+}
+NA_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+]
+STORE_URL_TEMPLATE = "https://play.google.com/store/apps/details?id=%s&hl=%s&gl=%s"
+TEXT_SEPARATOR = " [SEP] 수집 데이터: "
 
 ORACLE: dict[str, str] = {}
 
@@ -85,11 +96,11 @@ AUDIT = (
 )
 
 
-def _flags(text: str) -> str:
+def _flags(text: str, groups: dict[str, list[str]] = V.GROUPS) -> str:
     arms = [
         "CASE WHEN " + " OR ".join(f"contains(lower({text}), {_text(k)})" for k in keywords)
         + f" THEN {_text(name)} END"
-        for name, keywords in V.GROUPS.items()
+        for name, keywords in groups.items()
     ]
     return "concat_ws(',', " + ", ".join(arms) + ")"
 
@@ -121,6 +132,17 @@ ORACLE["review_positions"] = _with(APPS, *SCORING, (
     "app_id, min_confidence, CAST(chars AS INTEGER) AS chars FROM flagged"
 )
 ORACLE["prelabel_records"] = _with(APPS, *SCORING, PRELABELLED) + "SELECT * FROM prelabelled"
+TEXT_SCORING = (
+    APPS,
+    ("texts", f"SELECT *, strlen(coalesce(description, '') || {_text(TEXT_SEPARATOR)} || coalesce(collected_data, '')) "
+              "AS size FROM apps"),
+    ("logits", "SELECT *, list_transform(range(8), lambda c: CAST(size * (c + 3) % 17 AS DOUBLE) / 10) AS lc, "
+               "list_transform(range(4), lambda c: CAST(size * (c + 5) % 11 AS DOUBLE) / 10) AS lf FROM texts"),
+    PROBS, SCORED,
+)
+ORACLE["prelabel_plan"] = _with(*TEXT_SCORING) + (
+    f"SELECT app_id, category_id, {AUDIT}, {_flags(APP_TEXT, MINORITY_KEYWORDS)} AS minority_candidate FROM scored"
+)
 ORACLE["score_two_axis"] = _with(*SCORING) + f"SELECT vec_id, {AUDIT} FROM scored"
 ORACLE["score_native_heads"] = ORACLE["score_two_axis"]
 ORACLE["score_first_n"] = ORACLE["score_two_axis"] + " ORDER BY vec_id LIMIT 50"
@@ -198,6 +220,14 @@ ORACLE["records_csv_round_trip"] = _with(APPS) + "SELECT " + ", ".join(
     c if c == "is_boundary_case" else f"CASE WHEN {c} NOT IN ({_NA}) THEN {c} END AS {c}"
     for c in V.APPS
 ) + " FROM apps"
+ORACLE["rejected_cells"] = _with(("cells", _view({"half": "'half' || CAST(doc_id % 2 AS VARCHAR)", **V.BAD_CELLS}, "documents"))) + (
+    "SELECT half AS folder, 'category_id' AS \"column\", category_id AS value, count(*) AS n FROM cells "
+    "WHERE category_id IN ('six', '2.5') GROUP BY ALL UNION ALL "
+    "SELECT half, 'function_type', function_type, count(*) FROM cells WHERE function_type = 'E' GROUP BY ALL UNION ALL "
+    "SELECT half, 'is_boundary_case', is_boundary_case, count(*) FROM cells WHERE is_boundary_case = 'maybe' "
+    "GROUP BY ALL UNION ALL "
+    "SELECT half, 'min_confidence', min_confidence, count(*) FROM cells WHERE min_confidence <> '0.5' GROUP BY ALL"
+)
 _URL = STORE_URL_TEMPLATE.split("%s")
 
 
@@ -382,6 +412,18 @@ ORACLE["stratified_split"] = _with(APPS, KNOWN, *_split("known", "app_id")) + (
 )
 
 
+ORACLE["split_preconditions"] = _with(
+    ("sizes", f"SELECT {V.SPLIT_TROUBLE} AS label, count(*) AS n FROM documents GROUP BY 1"),
+    ("sides", f"SELECT sum(n) AS total, CAST(ceil(CAST(sum(n) AS DOUBLE) * CAST({V.TROUBLE_TEST_SIZE} AS DOUBLE)) "
+              "AS BIGINT) AS test, count(*) AS classes FROM sizes"),
+) + (
+    "SELECT 'class_missing' AS rule, NULL AS class, n AS rows, CAST(0 AS BIGINT) AS needed FROM sizes WHERE label IS NULL "
+    "UNION ALL SELECT 'class_too_small', label, n, 2 FROM sizes WHERE label IS NOT NULL AND n < 2 "
+    "UNION ALL SELECT 'no_room_for_training', NULL, CAST(total - test AS BIGINT), classes FROM sides WHERE total - test < classes "
+    "UNION ALL SELECT 'no_room_for_test', NULL, test, classes FROM sides WHERE test < classes"
+)
+
+
 def _balance(axis: str, label: str, weighted: bool) -> str:
     rows = "CAST(sum(count_if(is_train)) OVER () AS DOUBLE) / count(*) OVER ()" if weighted else (
         "CAST(count_if(is_train) AS DOUBLE)")
@@ -396,6 +438,18 @@ def _labelled(category: str) -> tuple[str, str]:
     return "known", f"SELECT doc_id, {category} AS category_id, toxic FROM documents JOIN labels USING (doc_id)"
 
 
+ORACLE["model_settings"] = _with(_labelled("toxic"), *_split("known", "doc_id"), (
+    "sides",
+    "SELECT count_if(is_train) AS train, count_if(NOT is_train) AS test, "
+    "sum(CAST('0x' || substr(md5(concat_ws('|', CAST(doc_id AS VARCHAR), CAST(category_id AS VARCHAR), "
+    "CAST(is_train AS VARCHAR))), 1, 13) AS BIGINT)) AS h FROM placed",
+)) + " UNION ALL ".join(
+    f"SELECT '{name}' AS name, {value} AS value FROM sides" for name, value in {
+        "key": "'doc_id'", "test_size": "'0.2'", "seed": "'42'", "num_features": "'1024'", "max_iter": "'3'",
+        "tolerance": "'1e-08'", "reg": "'0.01'", "train_rows": "CAST(train AS VARCHAR)",
+        "test_rows": "CAST(test AS VARCHAR)", "split_hash": "CAST(h AS VARCHAR)",
+    }.items()
+)
 ORACLE["train_two_heads"] = _with(_labelled("quality"), *_split("known", "doc_id")) + (
     f"{_balance('category', 'category_id', False)} UNION ALL {_balance('function', 'toxic', False)}")
 ORACLE["train_weighted_text_head"] = _with(_labelled("toxic"), *_split("known", "doc_id")) + (
@@ -493,6 +547,44 @@ ORACLE["report_text"] = _with(
     "SELECT axis, CAST(row_number() OVER (PARTITION BY axis ORDER BY part, class) - 1 AS INTEGER) "
     "AS line_no, line FROM lines"
 )
+_LONG_NAME = (
+    "CASE axis WHEN 'toxic' THEN CASE class WHEN 0 THEN 'clean' ELSE 'toxic' END "
+    "ELSE CASE class WHEN 0 THEN 'of no particular use' ELSE 'good' END END"
+)
+_CELLS = "printf('%9.2f %9.2f %9.2f %9d', {}, {}, {}, support)"
+
+
+def _avg(kind: str) -> str:
+    return _CELLS.format(*[f"{kind}_{c}" for c in ("precision", "recall", "f1")])
+
+
+ORACLE["report_text_slices"] = _with(
+    LABELLED, JUDGED, JUDGED_PAIRS, *_report("pairs"),
+    ("cells",
+     "SELECT axis, 1 AS part, 0 AS place, '' AS name, printf('%9s %9s %9s %9s', 'precision', 'recall', 'f1-score', "
+     "'support') AS cells FROM summary UNION ALL SELECT axis, 2, 0, '', NULL FROM summary UNION ALL "
+     f"SELECT axis, 3, class, {_LONG_NAME}, {_CELLS.format('precision', 'recall', 'f1')} FROM report UNION ALL "
+     "SELECT axis, 4, 0, '', NULL FROM summary UNION ALL "
+     "SELECT axis, 5, 0, 'accuracy', printf('%9s %9s %9.2f %9d', '', '', accuracy, support) FROM summary UNION ALL "
+     f"SELECT axis, 6, 0, 'macro avg', {_avg('macro')} FROM summary UNION ALL "
+     f"SELECT axis, 7, 0, 'weighted avg', {_avg('weighted')} FROM summary UNION ALL "
+     "SELECT axis, 8, 0, '', NULL FROM summary"),
+    ("wide", "SELECT *, max(length(name)) OVER (PARTITION BY axis) AS width FROM cells"),
+    ("parts", "SELECT doc_id % 10 = 9 AS exc, toxic AS truth, toxic_pred AS predicted FROM judged WHERE toxic IS NOT NULL"),
+    ("classes_in", "SELECT DISTINCT exc, truth AS class FROM parts"),
+    ("f1s", "SELECT c.exc, c.class, count(*) FILTER (WHERE truth = class) AS support, "
+            "CAST(2 * count(*) FILTER (WHERE truth = class AND predicted = class) AS DOUBLE) / "
+            "(count(*) FILTER (WHERE truth = class) + count(*) FILTER (WHERE predicted = class)) AS f1 "
+            "FROM classes_in AS c JOIN parts AS p ON c.exc = p.exc GROUP BY ALL"),
+    ("sliced", "SELECT exc, sum(support) AS n, avg(f1) AS macro_f1 FROM f1s GROUP BY exc"),
+    ("lines",
+     "SELECT 0 AS section, 0 AS part, 0 AS place, '=== quality ===' AS line UNION ALL "
+     "SELECT 1, 0, 0, '=== toxic: all rows ===' UNION ALL SELECT 2, 0, 0, '=== slices ===' UNION ALL "
+     "SELECT CASE axis WHEN 'quality' THEN 0 ELSE 1 END, part, place, "
+     "coalesce(lpad(name, CAST(width AS INTEGER), ' ') || '  ' || cells, '') FROM wide UNION ALL "
+     "SELECT 2, 1, CAST(exc AS INTEGER), printf('[%s] n=%d, macro F1=%.4f', "
+     "CASE WHEN exc THEN 'sentinel' ELSE 'no sentinel' END, CAST(n AS BIGINT), macro_f1) FROM sliced"),
+) + "SELECT CAST(row_number() OVER (ORDER BY section, part, place) - 1 AS INTEGER) AS line_no, line FROM lines"
 _SLICED = (
     "SELECT CASE WHEN coalesce(category_id = 'EXC', false) THEN 'EXC' ELSE 'real' END AS slice, "
     f"{V.FUNCTION_TRUTH} AS truth, {V.FUNCTION_RULE} AS pred FROM apps"

@@ -28,11 +28,14 @@ from labelflow.operators import (
     split,
     truncation,
 )
-from labelflow.plans import collect
+from labelflow.plans import collect, prelabel
 from labelflow.scale import materialize, scratch_path
 from labelflow.schema import CATEGORY_NAMES, FUNCTION_INDEX, FUNCTION_NAMES
-from labelflow.sinks.records import write_collected_csv
+from labelflow.sinks import models as models_out
+from labelflow.sinks.records import write_collected_csv, write_records_csv
 from labelflow.sinks.runlogs import format_epochs, format_one_axis_epochs
+from labelflow.sources import models as models_in
+from labelflow.sources import records
 from labelflow.sources.keywords import keyword_table
 from labelflow.sources.records import read_records_csv
 from labelflow.sources.runlogs import parse_any, parse_epochs, parse_segments
@@ -118,6 +121,26 @@ def prelabel_records(spark, sf_dir):
     return _prelabelled(spark, sf_dir)
 
 
+def _text_model() -> dict[str, list[list[float]]]:
+    """A model of whole texts: logits out of their length in bytes."""
+    def predict(texts: list[str]):
+        lengths = [len(t.encode()) for t in texts]
+        return {
+            "category": [[n * (c + 3) % 17 / 10 for c in range(8)] for n in lengths],
+            "function": [[n * (c + 5) % 11 / 10 for c in range(4)] for n in lengths],
+        }
+
+    return predict
+
+
+@query
+def prelabel_plan(spark, sf_dir):
+    """The whole plan with a model of texts."""
+    queue, _ = prelabel.prelabel(
+        V.apps(spark, sf_dir), lambda df: scoring.with_text_logits(df, _text_model), carry=["app_id", "category_id"])
+    return rounded(queue)
+
+
 @query
 def score_two_axis(spark, sf_dir):
     return _scored(spark, sf_dir).select("vec_id", *AUDIT)
@@ -203,6 +226,19 @@ def records_csv_round_trip(spark, sf_dir):
     return read_records_csv(spark, path)
 
 
+@query
+def rejected_cells(spark, sf_dir):
+    """Two CSV folders of records with cells of other types; the file's folder stands for its name."""
+    path = scratch_path(spark, "records-csv")
+    documents = V.table(spark, sf_dir, "documents")
+    for part in (0, 1):
+        half = V.view(documents.filter(F.col("doc_id") % 2 == part), V.BAD_CELLS)
+        write_records_csv(half, f"{path}/half{part}", byte_order_mark=part == 1)
+    found = [records.rejected_cells(spark, f"{path}/half{part}") for part in (0, 1)]
+    folder = F.regexp_extract("file", "/(half[01])/[^/]*$", 1)
+    return found[0].unionAll(found[1]).groupBy(folder.alias("folder"), "column", "value").agg(F.sum("n").alias("n"))
+
+
 @query
 def normalize_records(spark, sf_dir):
     return details.normalize_records(V.details(spark, sf_dir))
@@ -381,6 +417,13 @@ def stratified_split(spark, sf_dir):
     return split.stratified_split(records, "app_id", "category_id")
 
 
+@query
+def split_preconditions(spark, sf_dir):
+    rows = V.table(spark, sf_dir, "documents").selectExpr(f"{V.SPLIT_TROUBLE} AS label")
+    counts = rows.groupBy("label").agg(F.count("*").alias("n"))
+    return split.split_preconditions(counts, "label", V.TROUBLE_TEST_SIZE)
+
+
 @query
 def class_weights(spark, sf_dir):
     records = _with_category(spark, sf_dir).select("app_id", "category_id", "function_type")
@@ -425,6 +468,24 @@ def report_text(spark, sf_dir):
     return metrics.report_lines(report, {"toxic": {0: "clean", 1: "toxic"}})
 
 
+REPORT_SECTIONS = [("quality", "=== quality ==="), ("toxic", "=== toxic: all rows ===")]
+REPORT_NAMES = {"quality": {0: "of no particular use", 1: "good"}, "toxic": {0: "clean", 1: "toxic"}}
+
+
+@query
+def report_text_slices(spark, sf_dir):
+    """A whole report: headings, columns as wide as their names, slices."""
+    sliced = V.labelled_documents(spark, sf_dir).selectExpr(
+        "CASE WHEN doc_id % 10 = 9 THEN 'EXC' ELSE 'real' END AS slice",
+        *[f"{e} AS {n}" for n, e in V.JUDGED.items()])
+    counts = materialize(metrics.confusion(sliced, JUDGED_AXES, ["slice"]), "confusion")
+    total = counts.groupBy("axis", "truth", "predicted").agg(F.sum("n").alias("n"))
+    slices = metrics.slice_macro_f1(counts.filter("axis = 'toxic'"), "slice")
+    return metrics.whole_report(
+        metrics.class_report(total), slices, REPORT_SECTIONS, "=== slices ===",
+        [("real", "no sentinel"), ("EXC", "sentinel"), ("none", "no rows")], REPORT_NAMES)
+
+
 @query
 def slice_macro_f1(spark, sf_dir):
     rows = V.apps(spark, sf_dir).select(
@@ -515,6 +576,20 @@ def train_weighted_text_head(spark, sf_dir):
     return _balance(heads.score_heads(model, parts, axes=["category"]), "category", weighted=True)
 
 
+@query
+def model_settings(spark, sf_dir):
+    """Settings of a saved model, read back."""
+    rows = V.labelled_documents(spark, sf_dir).selectExpr("doc_id", "text AS combined_text", "toxic AS category_label")
+    parts = materialize(split.stratified_split(rows, "doc_id", "category_label"), "prepared")
+    model = heads.train_weighted_text_head(parts.filter("is_train"), num_features=1 << 10, max_iter=3)
+    path = scratch_path(spark, "model")
+    settings = models_out.model_settings(
+        parts, "doc_id", 0.2, 42, "category_label", num_features=1 << 10, max_iter=3)
+    models_out.save_model(model, models_out.label_config(spark, [0, 1], {}), path, settings)
+    found = models_in.read_settings(spark, path)
+    return spark.createDataFrame(sorted(found.items()), "name string, value string")
+
+
 @query
 def train_weighted_head(spark, sf_dir):
     parts = materialize(_split_vectors(spark, sf_dir), "prepared")

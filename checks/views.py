@@ -35,6 +35,21 @@ APPS = {
         "WHEN doc_id % 11 = 3 THEN concat('between, \"', lang, '\" and more') ELSE NULL END",
 }
 
+# Cells that their columns cannot hold, as text for a CSV file.
+BAD_CELLS = {
+    "category_id": "CASE WHEN doc_id % 19 = 3 THEN 'six' WHEN doc_id % 10 = 9 THEN 'EXC' "
+                   "WHEN doc_id % 31 = 4 THEN '2.5' ELSE CAST(doc_id % 6 AS STRING) END",
+    "function_type": "CASE WHEN doc_id % 23 = 1 THEN 'E' WHEN doc_id % 23 = 2 THEN 'NA' ELSE 'A' END",
+    "is_boundary_case": "CASE WHEN doc_id % 13 = 0 THEN 'maybe' WHEN doc_id % 13 = 1 THEN 'n/a' ELSE 'true' END",
+    "min_confidence": "CASE WHEN doc_id % 17 = 0 THEN 'high, \"very\"' ELSE '0.5' END",
+    "text": "text",
+}
+# A label that a stratified split cannot take.
+SPLIT_TROUBLE = (
+    "CASE WHEN doc_id % 41 = 40 THEN NULL WHEN doc_id = 7 THEN 'solo' ELSE CAST(doc_id % 6 AS STRING) END"
+)
+TROUBLE_TEST_SIZE = 0.001
+
 # Detail records: absent and blank URLs, absent titles and descriptions.
 DETAILS = {
     "app_id": "CAST(page_id AS STRING)",

@@ -1,4 +1,4 @@
-"""Command line: `python -m labelflow <collect|prelabel|merge|train|train-weighted|evaluate|runs> ...`
+"""Command line: `python -m labelflow <collect|check|prelabel|merge|train|train-weighted|evaluate|runs> ...`
 
 Submit it to a cluster with `spark-submit --py-files labelflow.zip labelflow/__main__.py ...`.
 Record tables are Parquet; a path that ends in `.csv` is read or written as CSV.
@@ -11,28 +11,41 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelflow.operators.contract import boundary_report, function_violations, label_contract
 from labelflow.operators.encode import category_dictionary
 from labelflow.operators.heads import score_heads
-from labelflow.operators.metrics import report_lines, report_summary
+from labelflow.operators.metrics import report_summary, whole_report
 from labelflow.operators.review import first_rows
 from labelflow.operators.side import label_side
 from labelflow.operators.runlog import best_checkpoints, rank_runs, with_logged_best
+from labelflow.operators.split import split_preconditions
+from labelflow.operators.truncation import truncation_audit, with_token_count
 from labelflow.plans import collect, merge, prelabel, train
+from labelflow.plans.prelabel import with_combined_text
 from labelflow.schema import (
     DEFAULT_HITS_PER_KEYWORD,
     DEFAULT_PATIENCE,
     DEFAULT_SEED,
     DEFAULT_TEST_SIZE,
+    REPORT_SECTIONS,
+    REPORT_SLICE_NAMES,
+    REPORT_SLICES,
     SEARCH_KEYWORDS,
 )
 from labelflow.session import session
-from labelflow.sinks.models import label_config, save_model
+from labelflow.sinks.models import label_config, model_settings, save_model
 from labelflow.sinks.records import write_collected_csv, write_records, write_records_csv
 from labelflow.scale import materialize
 from labelflow.sinks.reports import write_report_text
 from labelflow.sources.keywords import read_keywords
-from labelflow.sources.models import check_dictionary, load_model, read_label_config
-from labelflow.sources.records import read_records, read_records_csv
+from labelflow.sources.models import (
+    check_dictionary,
+    check_split,
+    load_model,
+    read_label_config,
+    read_settings,
+)
+from labelflow.sources.records import read_records, read_records_csv, rejected_cells
 from labelflow.sources.runlogs import parse_any, parse_events, read_log_text
 
 
@@ -41,7 +54,11 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str) -> None:
-    (write_records_csv if path.endswith(".csv") else write_records)(df, path)
+    """CSV for reviewers has a byte-order mark."""
+    if path.endswith(".csv"):
+        write_records_csv(df, path, byte_order_mark=True)
+    else:
+        write_records(df, path)
 
 
 def run_collect(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -51,7 +68,10 @@ def run_collect(spark: SparkSession, args: argparse.Namespace) -> None:
     details = spark.read.parquet(args.details)
     records, missing = collect.collect_records(found, details, args.lang, args.country)
     ordered = collect.in_discovery_order(records, found)
-    (write_collected_csv if args.output.endswith(".csv") else write_records)(ordered, args.output)
+    if args.output.endswith(".csv"):
+        write_collected_csv(ordered, args.output, byte_order_mark=True)
+    else:
+        write_records(ordered, args.output)
     missing = materialize(missing, "missing")
     missing_path = args.output.removesuffix(".csv") + "-missing"
     missing.write.csv(missing_path, header=True)
@@ -91,12 +111,37 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
         print("\t".join(str(v) for v in row))
 
 
+def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Contract, unknown codes, boundary cases, split preconditions and, for CSV, rejected cells."""
+    records = _read(spark, args.data)
+    side = label_side(records, args.key)
+    counts = side.groupBy("category_id").agg(F.count("*").alias("n"))
+    reports = {
+        "contract": label_contract(side),
+        "functions": function_violations(side),
+        "boundary": boundary_report(side),
+        "split": split_preconditions(counts, "category_id", args.test_size),
+    }
+    if args.data.endswith(".csv"):
+        reports["rejected"] = rejected_cells(spark, args.data)
+    if args.lengths:
+        text = with_combined_text(records).select("category_id", "combined_text")
+        lengths = [int(n) for n in args.lengths.split(",")]
+        reports["truncation"] = truncation_audit(with_token_count(text, "combined_text"), "category_id", lengths)
+    for name, report in reports.items():  # whole, in files; the screen shows their heads
+        written = f"{args.output}/{name}"
+        report.write.mode("overwrite").csv(written, header=True)
+        print(name)
+        spark.read.csv(written, header=True, schema=report.schema).show(truncate=False)
+
+
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _read(spark, args.data)
     side = label_side(records, args.key)
     prepared = train.prepare(records, args.key, args.test_size, args.seed, side=side)
     model = train.fit(prepared)
-    save_model(model, label_config(spark, train.categories_of(side)), args.model)
+    settings = model_settings(prepared, args.key, args.test_size, args.seed)
+    save_model(model, label_config(spark, train.categories_of(side)), args.model, settings)
     result = train.evaluate_heads(model, prepared, read_label_config(spark, args.model))
     result.summary.show(truncate=False)
     result.score.show()
@@ -107,7 +152,8 @@ def run_train_weighted(spark: SparkSession, args: argparse.Namespace) -> None:
     side = label_side(records, args.key)
     prepared = train.prepare_single_axis(records, args.key, args.test_size, args.seed, side)
     model = train.fit_weighted(prepared)
-    save_model(model, label_config(spark, train.categories_of(side), {}), args.model)
+    settings = model_settings(prepared, args.key, args.test_size, args.seed)
+    save_model(model, label_config(spark, train.categories_of(side), {}), args.model, settings)
     report_summary(train.evaluate_weighted_head(model, prepared)).show(truncate=False)
 
 
@@ -120,12 +166,18 @@ def run_evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
         [(c, i) for i, c in enumerate(config.categories)], "category int, category_label int"
     )
     prepared = train.prepare(records, args.key, args.test_size, args.seed, stored, side)
+    settings = read_settings(spark, args.model)
+    if settings is not None and not args.other_split:
+        check_split(settings, model_settings(prepared, args.key, args.test_size, args.seed))
     result = train.evaluate_heads(load_model(args.model), prepared, config)
     names = {
         "category": {i: config.category_names[c] for i, c in enumerate(config.categories)},
         "function": {i: f"{c}({config.function_names[c]})" for i, c in enumerate(config.functions)},
     }
-    write_report_text(report_lines(result.report, names), args.output)
+    lines = whole_report(
+        result.report, result.slices.filter("axis = 'function'"), REPORT_SECTIONS, REPORT_SLICES,
+        REPORT_SLICE_NAMES, names)
+    write_report_text(lines, args.output)
     result.slices.show(truncate=False)
 
 
@@ -166,7 +218,10 @@ def parser() -> argparse.ArgumentParser:
             strict_exclude_exc={"action": "store_true"})
     command("train", run_train, data=need, model=need, **split)
     command("train-weighted", run_train_weighted, data=need, model=need, **split)
-    command("evaluate", run_evaluate, data=need, model=need, output=need, **split)
+    command("evaluate", run_evaluate, data=need, model=need, output=need, **split,
+            other_split={"action": "store_true", "help": "accept another split than the model's own"})
+    command("check", run_check, data=need, output=need, key=split["key"], test_size=split["test_size"],
+            lengths={"help": "model lengths for the truncation report, comma-separated"})
     command("runs", run_runs, logs=need, patience={"type": int, "default": DEFAULT_PATIENCE},
             show={"type": int, "default": 100}, output={"help": "CSV folder for the whole ranking"})
     return top

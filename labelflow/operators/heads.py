@@ -21,6 +21,10 @@ MAX_ITER, TOLERANCE = 500, 1e-8
 # Each step of a fit is a job: its tasks get at least this many rows.
 TASK_ROWS = 5_000
 
+REGULARIZATION = 1e-2
+# What a model of this module is fitted with unless a caller says otherwise.
+FIT_DEFAULTS = {"num_features": FEATURES, "max_iter": MAX_ITER, "tolerance": TOLERANCE, "reg": REGULARIZATION}
+
 
 def _text_features(text: str, num_features: int) -> Pipeline:
     return Pipeline(stages=[
@@ -49,7 +53,7 @@ def _for_fits(features: DataFrame) -> DataFrame:
 def train_two_heads(
     train: DataFrame, text: str = "combined_text",
     category_label: str = "category_label", function_label: str = "function_label",
-    num_features: int = FEATURES, max_iter: int = MAX_ITER, reg: float = 1e-2,
+    num_features: int = FEATURES, max_iter: int = MAX_ITER, reg: float = REGULARIZATION,
 ) -> PipelineModel:
     """Features fitted once on `train`, then one multinomial head per axis.
 
@@ -86,7 +90,7 @@ def _fit_weighted(ready: DataFrame, label: str, max_iter: int, reg: float) -> Lo
 
 def train_weighted_text_head(
     train: DataFrame, text: str = "combined_text", label: str = "category_label",
-    num_features: int = FEATURES, max_iter: int = MAX_ITER, reg: float = 1e-2,
+    num_features: int = FEATURES, max_iter: int = MAX_ITER, reg: float = REGULARIZATION,
 ) -> PipelineModel:
     """Single-axis variant: text features and one class-weighted head."""
     rows = train.filter(F.col(label).isNotNull()).select(
@@ -98,7 +102,7 @@ def train_weighted_text_head(
 
 
 def train_weighted_head(
-    train: DataFrame, vector: str, label: str, max_iter: int = MAX_ITER, reg: float = 1e-2
+    train: DataFrame, vector: str, label: str, max_iter: int = MAX_ITER, reg: float = REGULARIZATION
 ) -> LogisticRegressionModel:
     """Class-weighted head on an array column, such as the output of an encoder."""
     rows = train.filter(F.col(label).isNotNull()).select(

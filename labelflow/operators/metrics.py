@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import fixed, is_sentinel
@@ -144,3 +145,58 @@ def report_lines(report: DataFrame, names: dict[str, dict[int, str]] | None = No
         ),
     ).alias("lines"))
     return whole.select("axis", F.posexplode("lines").alias("line_no", "line"))
+
+
+def whole_report(
+    report: DataFrame, slices: DataFrame, sections: Sequence[tuple[str, str]],
+    slice_heading: str, slice_names: Sequence[tuple[str, str]],
+    names: dict[str, dict[int, str]] | None = None, slice_col: str = "slice",
+) -> DataFrame:
+    """Text lines `(line_no, line)` of a whole report: a section per axis, then its slices.
+
+    `sections` gives axes with their headings, `names` display names per axis and class,
+    `slice_names` slices with their display names, in order; slices without rows have no line. Every
+    line is a row of one table of a few rows per class, and the width of the name column is a window
+    over the names of its section.
+    """
+    axis_no = F.lit(None).cast("int")
+    for i, (axis, _) in reversed(list(enumerate(sections))):
+        axis_no = F.when(F.col("axis") == axis, F.lit(i)).otherwise(axis_no)
+    label = F.col("class").cast("string")
+    for axis, table in (names or {}).items():
+        for value, name in table.items():
+            label = F.when((F.col("axis") == axis) & (F.col("class") == value), F.lit(name)).otherwise(label)
+
+    def row(part: int, name: Column, *cells: Column, place: Column = F.lit(0)) -> Column:
+        return F.struct(
+            F.lit(part).alias("part"), place.cast("int").alias("place"), name.alias("name"),
+            F.array(*cells).cast("array<string>").alias("cells"))
+
+    two = lambda *columns: [fixed(F.col(c), 2) for c in columns]
+    count, blank = F.col("support").cast("string"), F.lit("")
+    heads = [F.lit(h) for h in ("precision", "recall", "f1-score", "support")]
+    classes = report.select("axis", row(3, label, *two("precision", "recall", "f1"), count, place=F.col("class")).alias("r"))
+    whole = report.groupBy("axis").agg(*_summary_columns())
+    frame = whole.select("axis", F.explode(F.array(
+        row(1, blank, *heads), row(2, blank), row(4, blank),
+        row(5, F.lit("accuracy"), blank, blank, *two("accuracy"), count),
+        row(6, F.lit("macro avg"), *two("macro_precision", "macro_recall", "macro_f1"), count),
+        row(7, F.lit("weighted avg"), *two("weighted_precision", "weighted_recall", "weighted_f1"), count),
+        row(8, blank),
+    )).alias("r"))
+    table = classes.unionAll(frame).select(axis_no.alias("section"), "r.*").filter("section IS NOT NULL")
+    width = F.max(F.char_length("name")).over(W.partitionBy("section"))
+    cells = F.array_join(F.transform("cells", lambda c: F.concat(F.lit(" "), F.lpad(c, 9, " "))), "")
+    body = table.withColumn("width", width).select("section", "part", "place", F.when(
+        F.size("cells") > 0, F.concat(F.lpad("name", F.col("width"), F.lit(" ")), F.lit(" "), cells)
+    ).otherwise("").alias("line"))
+
+    spark = report.sparkSession
+    headings = [(i, 0, 0, h) for i, (_, h) in enumerate(sections)] + [(len(sections), 0, 0, slice_heading)]
+    places = spark.createDataFrame([(s, i, n) for i, (s, n) in enumerate(slice_names)], f"{slice_col} string, place int, name string")
+    sliced = slices.join(F.broadcast(places), slice_col).select(
+        F.lit(len(sections)).alias("section"), F.lit(1).alias("part"), "place",
+        F.format_string("[%s] n=%s, macro F1=%s", "name", F.col("n").cast("string"), fixed(F.col("macro_f1"), 4)).alias("line"))
+    lines = spark.createDataFrame(headings, body.schema).unionAll(body).unionAll(sliced)
+    number = F.row_number().over(W.orderBy("section", "part", "place")) - 1
+    return lines.select(number.alias("line_no"), "line")

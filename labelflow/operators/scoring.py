@@ -1,9 +1,9 @@
 """Two-axis scoring: model logits per row, then predictions, confidences and keyword flags."""
 
-from __future__ import annotations
-
 from collections.abc import Callable, Sequence
+from typing import Iterator
 
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,9 @@ from labelflow.schema import (
     MINORITY_KEYWORDS,
 )
 
+# Bytes of text that a text model gets at once.
+TEXT_BATCH_BYTES = 4 << 20
+
 _LOGITS = T.StructType([
     T.StructField("category", T.ArrayType(T.DoubleType())),
     T.StructField("function", T.ArrayType(T.DoubleType())),
@@ -83,6 +86,54 @@ def with_logits(
     }).drop("_scores")
 
 
+def _by_bytes(texts, most: int):
+    """Slices of an Arrow array of strings, of at most so many bytes or of a single text."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
+def text_logits(load_model: Callable, text: Column, batch_bytes: int = TEXT_BATCH_BYTES) -> Column:
+    """Logits struct `(category, function)` of a model that reads whole texts.
+
+    `load_model()` runs once per task and returns a function from a list of strings to a dict of two
+    arrays with a row per string. Only the text column goes to Python, in Arrow batches; the model
+    gets them in lists of at most `batch_bytes` of UTF-8, or a single longer text. A null text gives
+    a null struct. The column is marked nondeterministic, so the model runs once per row.
+    """
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        predict = load_model()
+        kind = pa.list_(pa.float64())
+        for texts in batches:
+            columns = {"category": [], "function": []}
+            for part in _by_bytes(texts, batch_bytes):
+                found = predict(part.to_pylist())
+                for name, lists in columns.items():
+                    lists.extend([float(x) for x in row] for row in found[name])
+            yield pa.StructArray.from_arrays([pa.array(c, kind) for c in columns.values()], names=list(columns))
+
+    udf = F.arrow_udf(run, _LOGITS).asNondeterministic()
+    return F.when(text.isNotNull(), udf(F.coalesce(text, F.lit(""))))
+
+
+def with_text_logits(
+    df: DataFrame, load_model: Callable, text: str = "combined_text", batch_bytes: int = TEXT_BATCH_BYTES
+) -> DataFrame:
+    """Add `category_logits` and `function_logits` of a model that reads texts."""
+    scores = text_logits(load_model, F.col(text), batch_bytes)
+    return df.withColumn("_scores", scores).withColumns({
+        "category_logits": F.col("_scores.category"),
+        "function_logits": F.col("_scores.function"),
+    }).drop("_scores")
+
+
 def with_predictions(
     df: DataFrame,
     categories: Sequence[int] = tuple(CATEGORY_NAMES),

@@ -66,6 +66,34 @@ def _checked(sizes: DataFrame, label: str) -> DataFrame:
     return sizes.select(label, "n", F.col("n_train").alias("wanted"), bad.alias("bad"))
 
 
+def split_preconditions(
+    counts: DataFrame, label: str, test_size: float = DEFAULT_TEST_SIZE
+) -> DataFrame:
+    """`(rule, class, rows, needed)`: every rule that a stratified split of `(label, n)` would break.
+
+    `class_missing`: rows without a class; `class_too_small`: a class of fewer than two rows;
+    `no_room_for_training`, `no_room_for_test`: a side with fewer rows than there are classes
+    (`class` is null). No row means that the split is possible. The windows run over a row a class.
+    """
+    sized = allocate(counts, label, test_size)
+    total = sized.agg(
+        F.sum("n_train").alias("train"), F.sum("n_test").alias("test"), F.count("*").alias("classes"))
+
+    def rule(name: str, value: Column, rows: Column, needed: Column):
+        return F.struct(F.lit(name).alias("rule"), value.cast("string").alias("class"),
+                        rows.alias("rows"), needed.cast("long").alias("needed"))
+
+    own = sized.select(F.array(
+        F.when(F.col(label).isNull(), rule("class_missing", F.lit(None), F.col("n"), F.lit(0))),
+        F.when(F.col(label).isNotNull() & (F.col("n") < 2), rule("class_too_small", F.col(label), F.col("n"), F.lit(2))),
+    ).alias("broken"))
+    sides = total.select(F.array(*[
+        F.when(F.col(side) < F.col("classes"), rule(f"no_room_for_{name}", F.lit(None), F.col(side), F.col("classes")))
+        for side, name in (("train", "training"), ("test", "test"))
+    ]).alias("broken"))
+    return own.unionAll(sides).select(F.explode("broken").alias("b")).filter("b IS NOT NULL").select("b.*")
+
+
 def _buckets(rows: DataFrame, label: str) -> DataFrame:
     """Rows per class and leading hex digits of `h`; at most 16^4 per class at any row count."""
     counts = rows.groupBy(label, F.substring("h", 1, _BUCKET_DIGITS).alias("bucket")).agg(
@@ -148,6 +176,16 @@ def stratified_split(
     return clear.unionByName(_split_shared(shared, inside_copies, label, few_cuts is not None))
 
 
+def split_hash(rows: DataFrame, key: str, label: str) -> str:
+    """A number that depends on which rows, by key and class, are on which side, but not on their order.
+
+    The sum of 52 bits of md5 over key, class and side, so repeated rows count too.
+    """
+    text = F.concat_ws("|", F.col(key).cast("string"), F.col(label).cast("string"), F.col("is_train").cast("string"))
+    bits = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("decimal(20,0)")
+    return str(rows.agg(F.coalesce(F.sum(bits), F.lit(0))).first()[0])
+
+
 def _split_shared(shared: DataFrame, cuts: DataFrame, label: str, small: bool) -> DataFrame:
     """Divide rows of one key per class: the first `take` in content order go to the train side.
 

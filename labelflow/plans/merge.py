@@ -27,5 +27,8 @@ def merge(
     """
     side = merge_side(existing, new, strict)
     merged = merge_labeled(existing, new, strict)
-    (write_records_csv if as_csv else write_records)(merged, output)
+    if as_csv:
+        write_records_csv(merged, output, byte_order_mark=True)
+    else:
+        write_records(merged, output)
     return Merged(counts_of_merge(side).first(), class_distribution(side.filter("NOT dropped")))

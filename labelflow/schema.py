@@ -88,3 +88,11 @@ DEFAULT_SEED = 42
 DEFAULT_PATIENCE = 5
 DEFAULT_HITS_PER_KEYWORD = 30
 DEFAULT_MAX_LEN = 512
+
+# Headings of the evaluation report, and names of its slices.
+REPORT_SECTIONS = [
+    ("category", "=== 축1(category_id) 클래스별 성능 (EXC 제외) ==="),
+    ("function", "=== 축2(function_type) 클래스별 성능 (EXC 포함 전체 val) ==="),
+]
+REPORT_SLICES = "=== 축2 성능 비교: 실제 카테고리 행 vs EXC 행 ==="
+REPORT_SLICE_NAMES = [("real", "실제 카테고리(EXC 아님)"), ("EXC", "EXC 행")]

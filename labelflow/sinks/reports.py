@@ -11,6 +11,7 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_report_text(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Lines `(axis, line_no, line)` as one text file, in order."""
-    ordered = lines.orderBy("axis", "line_no").select("line")
+    """Lines `(axis, line_no, line)`, or without axes, as one text file, in order."""
+    axis = ["axis"] if "axis" in lines.columns else []
+    ordered = lines.orderBy(*axis, "line_no").select("line")
     ordered.coalesce(1).write.mode(mode).text(path)
