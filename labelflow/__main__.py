@@ -35,7 +35,7 @@ from labelflow.schema import (
 from labelflow.session import session
 from labelflow.sinks.models import label_config, model_settings, save_model
 from labelflow.sinks.records import write_collected_csv, write_records, write_records_csv
-from labelflow.scale import materialize
+from labelflow.scale import cleaned_scratch, materialize
 from labelflow.sinks.reports import write_report_text
 from labelflow.sources.keywords import read_keywords
 from labelflow.sources.models import (
@@ -229,7 +229,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(session(), args)
+    spark = session()
+    with cleaned_scratch(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 10_000
 
 _local_dir: str | None = None
+_written: list[str] = []  # scratch tables of this process
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -43,10 +46,24 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cleaned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that `materialize` writes inside the block; nothing may read them afterwards."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[before:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del _written[before:]
+
+
 def few_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[Row] | None:
     """All rows of `df` when there are at most `max_rows`, else None; no more ever reach the driver."""
     rows = df.take(max_rows + 1)

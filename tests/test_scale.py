@@ -1,9 +1,10 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 from conftest import rows
 
-from labelflow.scale import dimension, materialize, scratch_dir
+from labelflow.scale import cleaned_scratch, dimension, materialize, scratch_dir
 
 
 def test_small_tables_are_broadcast(spark):
@@ -40,3 +41,13 @@ def test_no_machine_folder_on_a_cluster():
     assert scratch_dir(fake_session("yarn", {}, "hdfs:///other")) == "hdfs:///other/labelflow/app"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(fake_session("yarn", {}))
+
+
+def test_written_tables_of_a_command_are_removed(spark):
+    kept = materialize(spark.range(3), "kept")
+    with pytest.raises(ZeroDivisionError), cleaned_scratch(spark):
+        gone = materialize(spark.range(3), "gone").inputFiles()
+        assert all(os.path.exists(f.removeprefix("file://")) for f in gone)
+        1 / 0
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in gone)
+    assert kept.count() == 3
