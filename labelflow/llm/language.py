@@ -9,16 +9,18 @@ Counts for the profiles cover every learning row. Texts that are null or have no
 and score 0; so do all texts when nothing could be learned.
 """
 
-from __future__ import annotations
-
 from functools import lru_cache
+from typing import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelflow.llm.common import CHUNK_CHARS, fold, map_batches, texts_of
+from labelflow.scale import materialize
 
 TOP = 400  # n-grams of a profile and of a document's list
 MAX_LANGUAGES = 1000  # profiles go to every task; more label values than this are an error
@@ -163,27 +165,62 @@ class Profiles:
         return self.languages[best], 1.0 - float(distance[best]) / (self.top * len(mine))
 
 
-def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], top: int = TOP,
-                      key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row with its columns and `lang_pred`, `score`; older columns of these names go."""
-    kept = docs.drop("lang_pred", "score")
-    rows = kept.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    schema += ", lang_pred string, score double"
+def language_column(profiles: dict[str, list[int]], text: Column, top: int = TOP) -> Column:
+    """Struct `(lang, score)` of a text; a null one counts as empty. Only the text goes to Python.
 
-    def run(batches):
-        import pyarrow as pa
+    The column is marked nondeterministic, so a filter on it doesn't compute it again.
+    """
+    kind = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = Profiles(profiles, top)
-        for b in batches:
-            got = [table.predict(t) for t in b.column("_text").to_pylist()]
-            keep = [n for n in b.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(n) for n in keep] + [pa.array([g[0] for g in got], pa.string()),
-                                               pa.array([g[1] for g in got], pa.float64())],
-                names=[*keep, "lang_pred", "score"])
+        for texts in batches:
+            got = [table.predict(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                names=["lang", "score"])
+
+    return F.arrow_udf(run, kind).asNondeterministic()(F.coalesce(text, F.lit("")))
+
 
-    return rows.mapInArrow(run, schema)
+def fresh(taken: list[str], name: str) -> str:
+    """`name`, with underscores until no column has it; names differ by more than case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], top: int = TOP, text: str = "text",
+                      names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Every row with its columns and the two of `names`; older columns of these names go."""
+    kept = docs.drop(*names)
+    found = fresh([*kept.columns, *names], "found")
+    return kept.withColumn(found, language_column(profiles, kept[text], top)).select(
+        *[F.col(f"`{c.replace('`', '``')}`") for c in kept.columns],
+        F.col(found)["lang"].alias(names[0]), F.col(found)["score"].alias(names[1]))
+
+
+def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", label: str = "lang") -> DataFrame:
+    """The rows of `docs` in a language that their labels tell, columns unchanged.
+
+    Profiles come from the labelled rows. A row goes if its text has no letter, or if it is further
+    from its nearest profile than every labelled row nearest to it: the least score of those rows is
+    the border, so all labelled rows with a letter stay. A language to which no labelled row is nearest has
+    no border. Without any labelled text all texts with a letter stay.
+    """
+    profiles = learn_profiles(docs, top, text=text, label=label)
+    if not profiles:
+        return docs.filter(F.coalesce(docs[text].rlike(r"\p{L}"), F.lit(False)))
+    names = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "score")
+    predicted = materialize(predict_languages(docs, profiles, top, text, names), "predicted")
+    lang, score = predicted[names[0]], predicted[names[1]]
+    own = predicted.filter(predicted[label].isNotNull() & (lang != UNKNOWN))
+    borders = {r[0]: r[1] for r in own.groupBy(lang).agg(F.min(score)).collect()}  # a row a language
+    least = F.lit(0.0)
+    for name, border in borders.items():
+        least = F.when(lang == name, F.lit(border)).otherwise(least)
+    return predicted.filter((lang != UNKNOWN) & (score >= least)).drop(*names)
 
 
 def identify(docs: DataFrame, top: int = TOP, held_out_fold: int = 0, key: str = "doc_id",
@@ -191,4 +228,6 @@ def identify(docs: DataFrame, top: int = TOP, held_out_fold: int = 0, key: str =
     """Learn from rows outside the held-out fold, predict all rows: `OUTPUT`."""
     learned = learn_profiles(docs.filter(fold(key) != held_out_fold), top, key, text, label)
     plain = texts_of(docs, key, text).withColumn("held_out", fold("doc_id") == held_out_fold)
-    return predict_languages(plain, learned, top).select("doc_id", "held_out", "lang_pred", "score")
+    found = language_column(learned, F.col("text"), top)
+    return plain.select("doc_id", "held_out", found.alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")

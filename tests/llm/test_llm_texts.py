@@ -4,12 +4,15 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 from conftest import SMALL
 
+from pyspark.sql import functions as F
+
 from labelflow.llm import idfile, language, lm, main_text, pii, queries, token_counts
 from labelflow.llm.common import fold
 
@@ -349,3 +352,75 @@ def test_scores_of_odd_rows(spark, odd, none):
     assert lm.score_texts(none).count() == 0
     only_held = odd.filter(fold("doc_id") == 1)
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in lm.score_texts(only_held).collect())
+
+
+def test_languages_of_rows_with_any_columns(spark):
+    docs = spark.createDataFrame(
+        [(1, "the house and the garden", "x", 7, "en"), (2, "das Haus und der Garten", "y", 8, "de"), (3, None, "z", 9, None)],
+        "doc_id long, text string, _text string, `a ``tick` int, lang string")
+    profiles = language.learn_profiles(docs)
+    got = {r.doc_id: r for r in language.predict_languages(docs, profiles).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 3)] == ["en", "de", "und"]
+    assert [got[i]["a `tick"] for i in (1, 2, 3)] == [7, 8, 9] and got[1]._text == "x"
+
+
+def brute_known(rows, top=language.TOP):
+    """Rows that stay, by plain counting."""
+    grams = {}
+    for _, t, lang in rows:
+        if lang is not None:
+            grams.setdefault(lang, Counter()).update(plain_grams(t or ""))
+    profiles = {lang: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], order(x[0])))[:top]] for lang, c in grams.items()}
+    scored = []
+    for i, t, lang in rows:
+        mine = [g for g, _ in sorted(Counter(plain_grams(t or "")).items(), key=lambda x: (-x[1], order(x[0])))[:top]]
+        if not mine or not any(profiles.values()):
+            scored.append((i, lang, "und" if not mine else None, 0.0))
+            continue
+        cost = {}
+        for name, p in profiles.items():
+            place = {g: k for k, g in enumerate(p)}
+            cost[name] = sum(abs(place[g] - k) if g in place else top for k, g in enumerate(mine))
+        best = min(sorted(cost), key=cost.get)
+        scored.append((i, lang, best, 1 - cost[best] / (top * len(mine))))
+    borders = {}
+    for _, lang, best, score in scored:
+        if lang is not None and best not in (None, "und"):
+            borders[best] = min(score, borders.get(best, 1.0))
+    return sorted(i for i, _, best, score in scored if best != "und" and score >= borders.get(best, 0.0))
+
+
+def plain_grams(text):
+    coded = [c if c.isalpha() else " " for c in text.lower()]
+    s = re.sub(" +", " ", " " + "".join(coded) + " ")
+    one = [c for c in s if c != " "]
+    two = [s[i:i + 2] for i in range(len(s) - 1)]
+    three = [s[i:i + 3] for i in range(len(s) - 2) if s[i + 1] != " "]
+    return (one + two + three) if one else []
+
+
+def order(gram):
+    """The operator's own order of equally frequent n-grams: its numbers for them."""
+    codes = [0 if c == " " else ord(c) for c in gram]
+    if len(codes) == 1:
+        return codes[0]
+    if len(codes) == 2:
+        return (codes[0] << 21) | codes[1] | (1 << 42) | (1 << 62)
+    return (codes[0] << 42) | (codes[1] << 21) | codes[2]
+
+
+def test_rows_of_known_languages_equal_brute_force(spark):
+    r = random.Random(8)
+    english, german = "the house and garden with an apple tree".split(), "das Haus und der Garten mit einem Baum".split()
+    rows = [(i, " ".join(r.choice(english) for _ in range(r.randrange(1, 30))), r.choice(["en", "en", None])) for i in range(60)]
+    rows += [(100 + i, " ".join(r.choice(german) for _ in range(r.randrange(1, 30))), r.choice(["de", None])) for i in range(60)]
+    rows += [(200 + i, "".join(r.choice("qxzwjkvy ") for _ in range(r.randrange(1, 60))), None) for i in range(60)]
+    rows += [(300, None, "en"), (301, "", None), (302, "12 34!", "de"), (303, "12", None), (1, rows[1][1], rows[1][2])]
+    docs = spark.createDataFrame([(*row, "mine", 0.5) for row in rows], "doc_id long, text string, lang string, lang_pred string, score double")
+    kept = language.with_known_language(docs)
+    assert kept.columns == docs.columns and {(x.lang_pred, x.score) for x in kept.collect()} == {("mine", 0.5)}
+    got = sorted(x.doc_id for x in kept.collect())
+    assert got == brute_known(rows) and 60 < len(got) < 180
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    letters = sorted(i for i, t, _ in rows if t and any(c.isalpha() for c in t))
+    assert sorted(x.doc_id for x in language.with_known_language(none).collect()) == letters
