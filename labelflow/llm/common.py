@@ -39,13 +39,22 @@ def arrow_type(schema: str):
 
 
 def map_batches(
-    df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, object]]], schema: str
+    df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, object]]], schema: str,
+    most_bytes: int | None = None,
 ) -> DataFrame:
-    """`mapInArrow` over dictionaries of columns: lists go in, lists or numpy arrays come out."""
+    """`mapInArrow` over dictionaries of columns: lists go in, lists or numpy arrays come out.
+
+    With `most_bytes`, larger batches come in slices of about so many bytes.
+    """
     wanted = arrow_type(schema)  # parsed by the driver's session
 
+    def slices(batches):
+        for b in batches:
+            rows = max(1, b.num_rows * most_bytes // max(1, b.nbytes)) if most_bytes else max(1, b.num_rows)
+            yield from (b.slice(at, rows) for at in range(0, b.num_rows, rows))
+
     def run(batches):
-        dicts = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in batches)
+        dicts = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in slices(batches))
         for out in fn(dicts):
             arrays = [pa.array(out[f.name], type=f.type) for f in wanted]
             yield pa.RecordBatch.from_arrays(arrays, schema=wanted)

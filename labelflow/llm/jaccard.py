@@ -31,7 +31,6 @@ import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelflow.llm.common import map_batches, texts_of
@@ -48,6 +47,11 @@ KEY_BITS = 40  # keys that meet by chance cost a comparison; fewer bits are less
 SKETCH_BITS = 1 << 12
 MARKS = 1 << 22  # bits of the filter on entries that were candidates
 BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
+BLOCK_ROWS = 1 << 20  # rows of keys that a task holds before it packs them
+SLOT_ROWS = 400_000  # rows of keys that one task sorts
+OUT_ROWS = 50_000  # rows handed on at once
+MOST_SEEN = 1 << 20  # entries that a task remembers
+BATCH_BYTES = 8 << 20  # of an Arrow batch that become Python objects at once
 BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is cut at white space
 OUTPUT = "doc_id long, n_shingles long, component_id long"
 
@@ -207,6 +211,18 @@ def border(sizes: list[tuple[int, int]], list_length: float) -> int:
     return chosen
 
 
+def _number_of_keys(rows: DataFrame, light_below: int) -> int:
+    """Keys of all rows, copies included."""
+    n = F.col("n_shingles")
+
+    def first(shared: int) -> Column:
+        return F.least(n, n - F.ceil(n * SHARE[0] / SHARE[1]) + shared)
+
+    light = F.when(n < light_below, first(2) * (first(2) - 1) / 2).otherwise(0)
+    heavy = F.when(SHARE[1] * n >= SHARE[0] * light_below, first(1)).otherwise(0)
+    return int(rows.filter(n > 0).agg(F.sum(light + heavy)).first()[0] or 0)
+
+
 class Keys:
     """Keys of a set under the global order."""
 
@@ -261,7 +277,8 @@ def _facts(texts: DataFrame) -> DataFrame:
         yield {"counts": [True] * len(used), "id": used, "n": bins[used], "entry": empty, "h": empty}
 
     hashed = texts.withColumn("h", F.xxhash64("text"))
-    return materialize(map_batches(hashed, run, "counts boolean, id long, n long, entry long, h long"), "shingle-facts")
+    schema = "counts boolean, id long, n long, entry long, h long"
+    return materialize(map_batches(hashed, run, schema, BATCH_BYTES), "shingle-facts")
 
 
 def _bin_counts(facts: DataFrame) -> np.ndarray:
@@ -271,61 +288,160 @@ def _bin_counts(facts: DataFrame) -> np.ndarray:
     return counts
 
 
-def _key_rows(texts: DataFrame, counts: np.ndarray, light_below: int) -> DataFrame:
-    """`(key, entry, n, rest, part, dealt)`; a task emits the keys of equal sets once.
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same numbers, none negative, in as few bytes each as hold them."""
+    most = int(x.max(initial=0))
+    return x.astype(np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
-    They are shuffled as three numbers: part and key, entry, size and rest; the sign tells lists
-    that are dealt to parts.
-    """
+
+_WIDTHS = {2: np.uint16, 4: np.uint32, 8: np.uint64}
+
+
+def _pack(place: np.ndarray, entry: np.ndarray, n: np.ndarray, rest: np.ndarray) -> bytes:
+    """Rows in the order of their place as one block: differences of the places, then the other columns."""
+    steps = np.diff(place.view(np.uint64), prepend=place.view(np.uint64)[:1])
+    columns = [_narrow(steps), entry, _narrow(n), _narrow(rest)]
+    head = np.array([place[0], len(place), *(c.itemsize for c in columns)], dtype=np.int64)
+    return b"".join([head.tobytes(), *(c.tobytes() for c in columns)])
+
+
+def _unpack(block: bytes) -> list[np.ndarray]:
+    first, rows, *widths = np.frombuffer(block, np.int64, 6).tolist()
+    columns, at = [], 48
+    for i, width in enumerate(widths):
+        kind = np.int64 if i == 1 else _WIDTHS[width]
+        columns.append(np.frombuffer(block, kind, rows, at))
+        at += rows * width
+    steps = columns[0].astype(np.uint64)
+    columns[0] = (np.cumsum(steps, dtype=np.uint64) + np.array([first]).view(np.uint64)).view(np.int64)
+    return [c if c.dtype == np.int64 else c.astype(np.int64) for c in columns]
+
+
+def _key_blocks(texts: DataFrame, counts: np.ndarray, light_below: int, slots: int) -> DataFrame:
+    """`(slot, block)`: the keys of all sets, those of equal sets once a task; all rows of a place (part
+    of a key's list) go to one slot. The sign of a place tells lists that are dealt to parts."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
+    def blocks(held: list[tuple[np.ndarray, ...]]):
+        place, entry, n, rest = (np.concatenate(c) for c in zip(*held))
+        with np.errstate(over="ignore"):
+            slot = (_mix(place.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+        order = np.lexsort((place.view(np.uint64), slot))
+        slot = slot[order]
+        starts = np.flatnonzero(np.diff(slot, prepend=-1))
+        out = {"slot": [], "block": []}
+        for start, end in zip(starts, [*starts[1:], len(slot)]):
+            rows = order[start:end]
+            out["slot"].append(int(slot[start]))
+            out["block"].append(_pack(place[rows], entry[rows], n[rows], rest[rows]))
+        return out
+
     def run(batches):
-        maker, seen = Keys(shared.value, light_below), set()
+        maker, seen, held, size = Keys(shared.value, light_below), _Seen(), [], 0
         for b in batches:
-            out = {"place": [], "entry": [], "sizes": []}
             for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
-                if not len(shingles) or (entry := entry_of(shingles)) in seen:
+                if not len(shingles) or seen.add(entry := entry_of(shingles)):
                     continue
-                seen.add(entry)
                 keys, parts, rest = maker.of(shingles)
                 part = (entry & 0x7FFFFFFFFFFF) % np.minimum(np.maximum(parts, 1), MAX_PARTS)
                 place = _signed(keys >> np.uint64(64 - KEY_BITS)) | (part << KEY_BITS)
-                out["place"].append(np.where(parts > 1, ~place, place))
-                out["entry"].append(np.full(len(keys), entry, dtype=np.int64))
-                out["sizes"].append((len(shingles) << 32) | rest.astype(np.int64))
-                if len(out["place"]) >= 1000:
-                    yield {c: np.concatenate(v) for c, v in out.items()}
-                    out = {c: [] for c in out}
-            if out["place"]:
-                yield {c: np.concatenate(v) for c, v in out.items()}
-
-    return map_batches(texts.select("text"), run, "place long, entry long, sizes long")
-
-
-CENTRES = ("low", "high", "early", "first")
-
-
-def _lists(rows: DataFrame) -> DataFrame:
-    """Rows of keys that several entries have, with the centres of their part: the smallest and the
-    largest entry, and two with the key early in their order."""
-    part = W.partitionBy("place")
-    rows = rows.select("place", "entry", F.shiftright("sizes", 32).cast("int").alias("n"),
-                       F.col("sizes").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("rest"))
-    by_entry, by_rest = F.struct("entry", "n", "rest"), F.struct("rest", "entry", "n")
-    by_less = F.struct((-F.col("rest")).alias("less"), "entry", "n", "rest")
-    # A row whose place leaves too little even for the smallest possible partner of its list is of
-    # no use; a list in parts is not known as a whole here.
-    partner = F.greatest(F.min("n").over(part), F.ceil(F.col("n") * SHARE[0] / SHARE[1]))
-    enough = F.lit(SHARE[0] + SHARE[1]) * F.col("rest").cast("long") >= F.lit(SHARE[0]) * (F.col("n") + partner)
-    marked = rows.select("place", "entry", "n", "rest", *(
-        f(by).over(part).alias(name) for name, f, by in zip(
-            CENTRES, (F.min, F.max, F.max, F.min), (by_entry, by_entry, by_rest, by_less))), enough.alias("of_use"))
-    live = marked.filter(((F.col("low.entry") != F.col("high.entry")) & F.col("of_use")) | (F.col("place") < 0))
-    whole = F.when(F.col("place") < 0, F.bitwise_not("place")).otherwise(F.col("place"))
-    live = live.select(whole.bitwiseAND(F.lit((1 << KEY_BITS) - 1)).alias("key"), (F.col("place") < 0).alias("dealt"),
-                       "entry", "n", "rest", *CENTRES)
-    # Copies in several tasks came as several rows.
-    return materialize(live.distinct(), "shingle-lists")
+                held.append((np.where(parts > 1, ~place, place), np.full(len(keys), entry, dtype=np.int64),
+                             np.full(len(keys), len(shingles), dtype=np.int64), rest.astype(np.int64)))
+                size += len(keys)
+                if size >= BLOCK_ROWS:
+                    yield blocks(held)
+                    held, size = [], 0
+        if size:
+            yield blocks(held)
+
+    return map_batches(texts.select("text"), run, "slot int, block binary", BATCH_BYTES)
+
+
+class _Seen:
+    """Which entries a task has had; forgets all of them from a number on, then rows may repeat."""
+
+    def __init__(self):
+        self.entries: set[int] = set()
+
+    def add(self, entry: int) -> bool:
+        if entry in self.entries:
+            return True
+        if len(self.entries) >= MOST_SEEN:
+            self.entries.clear()
+        self.entries.add(entry)
+        return False
+
+
+def _firsts(groups: np.ndarray, *by: np.ndarray) -> np.ndarray:
+    """For each group, numbered 0, 1, ..., the row that is first by the given columns."""
+    order = np.lexsort((*reversed(by), groups))
+    return order[np.flatnonzero(np.diff(groups[order], prepend=-1))]
+
+
+def _useful(place: np.ndarray, entry: np.ndarray, n: np.ndarray, rest: np.ndarray):
+    """Rows of a slot that may have a partner, and the centres of their lists.
+
+    Returns place, entry, n, rest of those rows and, as rows of another such table, the number of the
+    row's list; `centres` holds four rows for each list: its smallest and largest entry, and two with
+    the key early in their order.
+    """
+    order = np.lexsort((-rest, entry, place))  # of repeated rows the one with the larger rest
+    place, entry, n, rest = (c[order] for c in (place, entry, n, rest))
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = (place[1:] != place[:-1]) | (entry[1:] != entry[:-1])
+    place, entry, n, rest = (c[new] for c in (place, entry, n, rest))
+    begins = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    ends = np.append(begins[1:], len(place)) - 1
+    lists = np.repeat(np.arange(len(begins)), ends - begins + 1)
+    early, first = _firsts(lists, -rest, -entry), _firsts(lists, -rest, entry)
+    # A row whose place leaves too little even for the smallest possible partner of its list is of no
+    # use; a list in parts is not known as a whole here.
+    partner = np.maximum(np.minimum.reduceat(n, begins)[lists], -(-n * SHARE[0] // SHARE[1]))
+    enough = (SHARE[0] + SHARE[1]) * rest >= SHARE[0] * (n + partner)
+    several = (ends > begins)[lists]
+    live = np.flatnonzero((several & enough) | (place < 0))
+    centres = np.stack([begins, ends, early, first])
+    return (place, entry, n, rest), live, lists, centres
+
+
+def _lists(blocks: DataFrame, slots: int) -> DataFrame:
+    """One written table of two kinds of rows.
+
+    With `b` null, rows of keys that several entries have: `(key, dealt, entry, n, rest)`, and `low`, the
+    smallest entry of the part, where the list is dealt to parts. Else pairs `(entry, b)` of an entry with
+    a centre of its part, smaller one first, where sizes and places allow enough common elements.
+    """
+    dealt = blocks.repartitionById(slots, "slot").select("block")
+
+    def run(batches):
+        parts = [_unpack(block) for b in batches for block in b["block"]]
+        if not parts:
+            return
+        rows, live, lists, centres = _useful(*(np.concatenate(c) for c in zip(*parts)))
+        del parts
+        place, entry, n, rest = rows
+        found = []
+        for centre in centres:
+            c = centre[lists[live]]
+            fits = (SHARE[0] + SHARE[1]) * np.minimum(rest[live], rest[c]) >= SHARE[0] * (n[live] + n[c])
+            some = fits & (entry[live] != entry[c])
+            x, y = entry[live][some], entry[c][some]
+            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        for at in range(0, len(live), OUT_ROWS):
+            i = live[at:at + OUT_ROWS]
+            whole = np.where(place[i] < 0, ~place[i], place[i]) & ((1 << KEY_BITS) - 1)
+            low = centres[0][lists[i]]
+            yield {"key": whole, "dealt": place[i] < 0, "entry": entry[i], "n": n[i], "rest": rest[i],
+                   "low_entry": entry[low], "low_n": n[low], "low_rest": rest[low], "b": [None] * len(i)}
+        for at in range(0, len(pairs), OUT_ROWS):
+            a, b = pairs[at:at + OUT_ROWS].T
+            none = [None] * len(a)
+            yield {"entry": a, "b": b} | {c: none for c in (
+                "key", "dealt", "n", "rest", "low_entry", "low_n", "low_rest")}
+
+    schema = ("key long, dealt boolean, entry long, n int, rest int, low_entry long, low_n int, low_rest int, b long")
+    return materialize(map_batches(dealt, run, schema), "shingle-lists")
 
 
 def _fits(n: str, rest: str, m: str, other_rest: str) -> Column:
@@ -343,15 +459,14 @@ def _pair(a: str, b: str) -> list:
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
     """Each entry with the centres of its part, and the first centres of a key's parts with one of them."""
-    centres = F.array(*(F.struct(*(F.col(f"{c}.{f}").alias(f) for f in ("entry", "n", "rest"))) for c in CENTRES))
-    near = lists.select("entry", "n", "rest", F.explode(F.array_distinct(centres)).alias("c"))
-    first = lists.filter("dealt").select("key", "low").distinct()
+    near = lists.filter("b IS NOT NULL").select(F.col("entry").alias("a"), "b")
+    low = F.struct(F.col("low_entry").alias("entry"), F.col("low_n").alias("n"), F.col("low_rest").alias("rest"))
+    first = lists.filter("dealt").select("key", low.alias("low")).distinct()
     one = first.groupBy("key").agg(F.min("low").alias("c"))
-    far = first.join(one, "key").select("low.entry", "low.n", "low.rest", "c")
-    both = near.union(far).select("entry", "n", "rest", F.col("c.entry").alias("c"), F.col("c.n").alias("cn"),
-                                  F.col("c.rest").alias("cr"))
-    return both.filter((F.col("entry") != F.col("c")) & _fits("n", "rest", "cn", "cr")).select(
-        *_pair("entry", "c")).distinct()
+    far = first.join(one, "key").select("low.entry", "low.n", "low.rest", F.col("c.entry").alias("c"),
+                                        F.col("c.n").alias("cn"), F.col("c.rest").alias("cr"))
+    apart = far.filter((F.col("entry") != F.col("c")) & _fits("n", "rest", "cn", "cr"))
+    return near.union(apart.select(*_pair("entry", "c"))).distinct()
 
 
 def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
@@ -363,15 +478,14 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches):
-        wanted, seen = np.unpackbits(shared.value), set()
+        wanted, seen = np.unpackbits(shared.value), _Seen()
         for b in batches:
             out = {"entry": [], "n": [], "sketch": [], "set": []}
             for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles):
                     continue
                 entry = entry_of(shingles)
-                if wanted[entry % MARKS] and entry not in seen:
-                    seen.add(entry)
+                if wanted[entry % MARKS] and not seen.add(entry):
                     out["entry"].append(entry)
                     out["n"].append(len(shingles))
                     out["sketch"].append(sketch_of(shingles))
@@ -381,7 +495,7 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
                         out = {c: [] for c in out}
             yield out
 
-    rows = map_batches(texts.select("text"), run, "entry long, n long, sketch binary, set binary")
+    rows = map_batches(texts.select("text"), run, "entry long, n long, sketch binary, set binary", BATCH_BYTES)
     kept = rows.join(entries.select("entry").distinct(), "entry", "left_semi")
     return materialize(kept.dropDuplicates(["entry"]), "shingle-sets")
 
@@ -412,13 +526,14 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = similar(common, np.array([len(p) for p in x]), np.array([len(q) for q in y]))
             yield {c: [v for v, keep in zip(b[c], ok) if keep] for c in ("a", "b")}
 
-    left = materialize(map_batches(_pairs_with(pairs, sets, "sketch"), possible, "a long, b long"), "possible-pairs")
-    return materialize(map_batches(_pairs_with(left, sets, "set"), run, "a long, b long"), "links")
+    sketched = map_batches(_pairs_with(pairs, sets, "sketch"), possible, "a long, b long", BATCH_BYTES)
+    left = materialize(sketched, "possible-pairs")
+    return materialize(map_batches(_pairs_with(left, sets, "set"), run, "a long, b long", BATCH_BYTES), "links")
 
 
 def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of the lists that hold several components, with the largest one of the list, `main`."""
-    named = lists.select("key", "entry", "n", "rest").distinct().join(
+    named = lists.select("key", "entry", "n", "rest").join(
         components(links).select(F.col("node").alias("entry"), "root"), "entry", "left"
     ).select("key", "entry", "n", "rest", F.coalesce("root", "entry").alias("root"))
     named = materialize(named, "named-lists")
@@ -449,9 +564,11 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
     lists = max(0.0, (float((counts.astype(float) ** 2).sum()) - total * total / BINS) / total - 1.0) if total else 0.0
     small = rows.filter(F.col("n_shingles").between(1, 2 * MAX_BORDER)).groupBy("n_shingles").count().collect()
     light_below = border([(r.n_shingles, r["count"]) for r in small], lists)
-    listed = _lists(_key_rows(texts, counts, light_below))
+    slots = -(-_number_of_keys(rows, light_below) // SLOT_ROWS) or 1
+    found = _lists(_key_blocks(texts, counts, light_below, slots), slots)
+    listed = found.filter("b IS NULL")
     sets = _sets(texts, listed.select("entry"))
-    tried = materialize(_star_pairs(listed), "star-pairs")
+    tried = materialize(_star_pairs(found), "star-pairs")
     links = _verified(tried, sets)
     pairs = _open_pairs(_open_lists(listed, links)).join(tried, ["a", "b"], "left_anti")
     return rows, components(links.union(_verified(materialize(pairs, "open-pairs"), sets)))
