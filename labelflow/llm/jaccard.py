@@ -28,9 +28,10 @@ Shingles are 64-bit hashes.
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.llm.common import map_batches, texts_of
@@ -47,11 +48,11 @@ KEY_BITS = 40  # keys that meet by chance cost a comparison; fewer bits are less
 SKETCH_BITS = 1 << 12
 MARKS = 1 << 22  # bits of the filter on entries that were candidates
 BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
-BLOCK_ROWS = 1 << 20  # rows of keys that a task holds before it packs them
-SLOT_ROWS = 400_000  # rows of keys that one task sorts
-OUT_ROWS = 50_000  # rows handed on at once
+BLOCK_ROWS = 1 << 18  # rows of keys that a task holds before it packs them
+SLOT_ROWS = 150_000  # rows of keys that one task sorts
+OUT_ROWS = 20_000  # rows handed on at once
 MOST_SEEN = 1 << 20  # entries that a task remembers
-BATCH_BYTES = 8 << 20  # of an Arrow batch that become Python objects at once
+BATCH_BYTES = 4 << 20  # of an Arrow batch, and of what becomes Python objects at once
 BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is cut at white space
 OUTPUT = "doc_id long, n_shingles long, component_id long"
 
@@ -480,7 +481,7 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
     def run(batches):
         wanted, seen = np.unpackbits(shared.value), _Seen()
         for b in batches:
-            out = {"entry": [], "n": [], "sketch": [], "set": []}
+            out, size = {"entry": [], "n": [], "sketch": [], "set": []}, 0
             for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles):
                     continue
@@ -490,9 +491,10 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
                     out["n"].append(len(shingles))
                     out["sketch"].append(sketch_of(shingles))
                     out["set"].append(shingles.tobytes())
-                    if len(out["entry"]) >= 500:
+                    size += shingles.nbytes
+                    if size >= BATCH_BYTES:
                         yield out
-                        out = {c: [] for c in out}
+                        out, size = {c: [] for c in out}, 0
             yield out
 
     rows = map_batches(texts.select("text"), run, "entry long, n long, sketch binary, set binary", BATCH_BYTES)
@@ -552,10 +554,26 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
     return pairs.select(*_pair("e", "entry")).distinct()
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Arrow batches of `BATCH_BYTES`, which tasks hold outside the heap and in Python; rows are as wide as texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """`(doc_id, n_shingles, entry, h)` of every row, `h` being the hash of its text, and `(node, root)`
     of the entries with a link."""
-    texts = texts_of(docs, key, text)
+    with _small_batches(docs.sparkSession):
+        return _shingle_links(texts_of(docs, key, text))
+
+
+def _shingle_links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     facts = _facts(texts)
     counts = _bin_counts(facts)
     rows = facts.filter("NOT counts").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "entry", "h")
