@@ -28,10 +28,9 @@ Shingles are 64-bit hashes.
 from __future__ import annotations
 
 import re
-from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.llm.common import map_batches, texts_of
@@ -52,7 +51,7 @@ BLOCK_ROWS = 1 << 18  # rows of keys that a task holds before it packs them
 SLOT_ROWS = 150_000  # rows of keys that one task sorts
 OUT_ROWS = 20_000  # rows handed on at once
 MOST_SEEN = 1 << 20  # entries that a task remembers
-BATCH_BYTES = 4 << 20  # of an Arrow batch, and of what becomes Python objects at once
+BATCH_BYTES = 4 << 20  # of an Arrow batch that become Python objects at once
 BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is cut at white space
 OUTPUT = "doc_id long, n_shingles long, component_id long"
 
@@ -554,26 +553,10 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
     return pairs.select(*_pair("e", "entry")).distinct()
 
 
-@contextmanager
-def _small_batches(spark: SparkSession):
-    """Arrow batches of `BATCH_BYTES`, which tasks hold outside the heap and in Python; rows are as wide as texts."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """`(doc_id, n_shingles, entry, h)` of every row, `h` being the hash of its text, and `(node, root)`
     of the entries with a link."""
-    with _small_batches(docs.sparkSession):
-        return _shingle_links(texts_of(docs, key, text))
-
-
-def _shingle_links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    texts = texts_of(docs, key, text)
     facts = _facts(texts)
     counts = _bin_counts(facts)
     rows = facts.filter("NOT counts").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "entry", "h")
