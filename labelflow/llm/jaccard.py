@@ -470,8 +470,9 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """`(entry, n, sketch, set)` of the given entries, from the texts; a fixed-size filter keeps the
-    others off the shuffle."""
+    """`(entry, n, sketch, set)` of the given distinct entries, made from the texts again; a filter of a
+    fixed size keeps the others off the shuffle."""
+    entries = materialize(entries, "wanted-entries")
     marks = entries.select(F.pmod("entry", F.lit(MARKS)).cast("int").alias("m")).distinct().toArrow()
     bits = np.zeros(MARKS, dtype=bool)
     bits[marks.column("m").to_numpy()] = True
@@ -497,13 +498,13 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
             yield out
 
     rows = map_batches(texts.select("text"), run, "entry long, n long, sketch binary, set binary", BATCH_BYTES)
-    kept = rows.join(entries.select("entry").distinct(), "entry", "left_semi")
+    kept = rows.join(entries, "entry", "left_semi")
     return materialize(kept.dropDuplicates(["entry"]), "shingle-sets")
 
 
 def _pairs_with(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     """`(a, b, x, y, n, m)`: a column of the sets of both entries, and the sizes of both."""
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), "entries-of-pairs")
+    wanted = materialize(_entries(pairs), "entries-of-pairs")
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         sets = sets.join(F.broadcast(wanted), "entry", "left_semi")
     x, y = (sets.select(F.col("entry").alias(e), F.col(column).alias(v), F.col("n").alias(size))
@@ -568,11 +569,17 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
     slots = -(-_number_of_keys(rows, light_below) // SLOT_ROWS) or 1
     found = _lists(_key_blocks(texts, counts, light_below, slots), slots)
     listed = found.filter("b IS NULL")
-    sets = _sets(texts, listed.select("entry"))
     tried = materialize(_star_pairs(found), "star-pairs")
-    links = _verified(tried, sets)
+    links = _verified(tried, _sets(texts, _entries(tried)))
     pairs = _open_pairs(_open_lists(listed, links)).join(tried, ["a", "b"], "left_anti")
-    return rows, components(links.union(_verified(materialize(pairs, "open-pairs"), sets)))
+    pairs = materialize(pairs, "open-pairs")
+    if not pairs.isEmpty():
+        links = links.union(_verified(pairs, _sets(texts, _entries(pairs))))
+    return rows, components(links)
+
+
+def _entries(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
 
 
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
