@@ -28,6 +28,7 @@ Shingles are 64-bit hashes.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -469,10 +470,18 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     return near.union(apart.select(*_pair("entry", "c"))).distinct()
 
 
-def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """`(entry, n, sketch, set)` of the given distinct entries, made from the texts again; a filter of a
-    fixed size keeps the others off the shuffle."""
-    entries = materialize(entries, "wanted-entries")
+def _small(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, broadcast if its rows are counted to be few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def _entries(pairs: DataFrame) -> DataFrame:
+    return materialize(pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct(), "entries-of-pairs")
+
+
+def _made(texts: DataFrame, entries: DataFrame, make: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """`(entry, n, made)` of the given written entries, made from the texts again; a filter of a fixed size
+    keeps most of the others from being made."""
     marks = entries.select(F.pmod("entry", F.lit(MARKS)).cast("int").alias("m")).distinct().toArrow()
     bits = np.zeros(MARKS, dtype=bool)
     bits[marks.column("m").to_numpy()] = True
@@ -481,7 +490,7 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
     def run(batches):
         wanted, seen = np.unpackbits(shared.value), _Seen()
         for b in batches:
-            out, size = {"entry": [], "n": [], "sketch": [], "set": []}, 0
+            out, size = {"entry": [], "n": [], "made": []}, 0
             for shingles in (x for group in _pieces(b["text"]) for x in shingle_sets(group)):
                 if not len(shingles):
                     continue
@@ -489,31 +498,28 @@ def _sets(texts: DataFrame, entries: DataFrame) -> DataFrame:
                 if wanted[entry % MARKS] and not seen.add(entry):
                     out["entry"].append(entry)
                     out["n"].append(len(shingles))
-                    out["sketch"].append(sketch_of(shingles))
-                    out["set"].append(shingles.tobytes())
-                    size += shingles.nbytes
+                    out["made"].append(make(shingles))
+                    size += len(out["made"][-1])
                     if size >= BATCH_BYTES:
                         yield out
                         out, size = {c: [] for c in out}, 0
             yield out
 
-    rows = map_batches(texts.select("text"), run, "entry long, n long, sketch binary, set binary", BATCH_BYTES)
-    kept = rows.join(entries, "entry", "left_semi")
-    return materialize(kept.dropDuplicates(["entry"]), "shingle-sets")
+    rows = map_batches(texts.select("text"), run, "entry long, n long, made binary", BATCH_BYTES)
+    kept = rows.join(_small(entries), "entry", "left_semi")
+    return materialize(kept.dropDuplicates(["entry"]), "sets-of-entries")
 
 
-def _pairs_with(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """`(a, b, x, y, n, m)`: a column of the sets of both entries, and the sizes of both."""
-    wanted = materialize(_entries(pairs), "entries-of-pairs")
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        sets = sets.join(F.broadcast(wanted), "entry", "left_semi")
-    x, y = (sets.select(F.col("entry").alias(e), F.col(column).alias(v), F.col("n").alias(size))
+def _with_both(pairs: DataFrame, made: DataFrame) -> DataFrame:
+    """`(a, b, x, y, n, m)`: what was made of both entries of written pairs, and the sizes of both."""
+    x, y = (made.select(F.col("entry").alias(e), F.col("made").alias(v), F.col("n").alias(size))
             for e, v, size in (("a", "x", "n"), ("b", "y", "m")))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m")
+    return x.join(_small(pairs), "a").join(y, "b").select("a", "b", "x", "y", "n", "m")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs `(a, b)` whose whole sets are similar; sketches come first, as whole sets are long."""
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The written pairs `(a, b)` whose whole sets are similar. Sketches come first: whole sets are long,
+    and are made and sent for the pairs only that sketches leave."""
     def possible(batches):
         for b in batches:
             n, m = (np.array(b[c], dtype=np.int64) for c in ("n", "m"))
@@ -528,20 +534,24 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = similar(common, np.array([len(p) for p in x]), np.array([len(q) for q in y]))
             yield {c: [v for v, keep in zip(b[c], ok) if keep] for c in ("a", "b")}
 
-    sketched = map_batches(_pairs_with(pairs, sets, "sketch"), possible, "a long, b long", BATCH_BYTES)
-    left = materialize(sketched, "possible-pairs")
-    return materialize(map_batches(_pairs_with(left, sets, "set"), run, "a long, b long", BATCH_BYTES), "links")
+    for name, make, keep in (("possible-pairs", sketch_of, possible), ("links", np.ndarray.tobytes, run)):
+        if pairs.isEmpty():
+            return pairs
+        both = _with_both(pairs, _made(texts, _entries(pairs), make))
+        pairs = materialize(map_batches(both, keep, "a long, b long", BATCH_BYTES), name)
+    return pairs
 
 
 def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of the lists that hold several components, with the largest one of the list, `main`."""
-    named = lists.select("key", "entry", "n", "rest").join(
-        components(links).select(F.col("node").alias("entry"), "root"), "entry", "left"
-    ).select("key", "entry", "n", "rest", F.coalesce("root", "entry").alias("root"))
+    roots = materialize(components(links).select(F.col("node").alias("entry"), "root"), "roots-of-entries")
+    named = lists.select("key", "entry", "n", "rest").join(_small(roots), "entry", "left").select(
+        "key", "entry", "n", "rest", F.coalesce("root", "entry").alias("root"))
     named = materialize(named, "named-lists")
     per_key = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows")).groupBy("key").agg(
         F.max_by("root", F.struct("rows", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    return materialize(named.join(per_key.filter("roots > 1").select("key", "main"), "key"), "open-lists")
+    open_keys = materialize(per_key.filter("roots > 1").select("key", "main"), "open-keys")
+    return materialize(named.join(_small(open_keys), "key"), "open-lists")
 
 
 def _open_pairs(lists: DataFrame) -> DataFrame:
@@ -570,16 +580,9 @@ def shingle_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
     found = _lists(_key_blocks(texts, counts, light_below, slots), slots)
     listed = found.filter("b IS NULL")
     tried = materialize(_star_pairs(found), "star-pairs")
-    links = _verified(tried, _sets(texts, _entries(tried)))
+    links = _verified(texts, tried)
     pairs = _open_pairs(_open_lists(listed, links)).join(tried, ["a", "b"], "left_anti")
-    pairs = materialize(pairs, "open-pairs")
-    if not pairs.isEmpty():
-        links = links.union(_verified(pairs, _sets(texts, _entries(pairs))))
-    return rows, components(links)
-
-
-def _entries(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()
+    return rows, components(links.union(_verified(texts, materialize(pairs, "open-pairs"))))
 
 
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
