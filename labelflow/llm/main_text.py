@@ -3,7 +3,8 @@
 A page becomes a list of blocks (text between the borders of block-level elements) and the tree of
 containers around them. A linear classifier over tag names, class words, link share, length and
 position gives each block a cost of being content and a cost of being boilerplate; these are the
-capacities to the two terminals. Neighbouring blocks and blocks of one container are tied by
+capacities to the two terminals. A container that holds most of the page's text around a content container
+is a wrapper, whatever its class. Neighbouring blocks and blocks of one container are tied by
 smoothness edges; containers take part as nodes, so the number of edges is linear in the blocks.
 The minimum cut, found by max-flow, splits content from boilerplate at the least total cost.
 
@@ -27,8 +28,8 @@ OUTPUT = "page_id long, url string, text string, n_chars long"
 
 # Fixed values of HTML: elements whose content is no text of the page, elements without an end,
 # and elements that begin and end a block.
-SILENT = frozenset("script style noscript template iframe svg math object canvas audio video head title "
-                   "select option button textarea datalist input label dialog".split())
+SILENT = frozenset("script style noscript template iframe svg object canvas audio video head title "
+                   "select option button textarea datalist input dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section "
@@ -43,6 +44,7 @@ CLOSED_BY = {
 SCOPES = frozenset("table td th ul ol dl div section article aside nav form main body html".split())
 RAW = frozenset("script style textarea title".split())  # no tags inside
 DEEPEST = 512  # elements nested deeper count as part of the one at this depth
+HEAD = frozenset("title meta link script style noscript base template basefont bgsound".split())  # all that a head holds
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # The classifier: weights in favour of content, documented parameters and not fitted to any page.
@@ -64,6 +66,16 @@ WORD_WEIGHT = {
     "search": -8.0, "toolbar": -8.0, "skip": -8.0, "alert": -6.0, "outbrain": -8.0, "taboola": -8.0,
     "complementary": -8.0, "contentinfo": -8.0, "form": -6.0,
 }
+# A class that begins or ends with one of these tells of other parts of the page, or of its subject or state.
+NOT_ITSELF = frozenset("has no with without is not category tag type format status".split())
+STATE = frozenset("open opened closed enabled disabled active inactive on off visible hidden left right".split())
+# On an article or main element only these words speak against it, and a container named by one of
+# them, or of the tags below, is boilerplate however much of the page it holds.
+FIRM_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo promotion comment comments disqus reply "
+                       "replies related recommended".split())
+FIRM_TAGS = frozenset("nav footer aside menu".split())
+ARTICLE_WORDS = frozenset("article post entry story".split())
+MOST = 0.5  # share of a page's unlinked text from which a container is a wrapper of the page
 BIAS, LINK_SHARE, LONG_TEXT, HEADING = 0.5, -4.0, 1.5, 0.5
 ADJACENT, TOGETHER = 0.6, 0.8  # smoothness: next blocks, and block or container to its container
 # A strong word or tag ties its content to boilerplate; smoothness does not reach out of it.
@@ -78,10 +90,24 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "weight", "inside", "own")
+    """A container: `own` is its weight, `weight` that of all around it, `firm` that it can't be a wrapper."""
 
-    def __init__(self, tag, parent, weight, inside, own):
-        self.tag, self.parent, self.weight, self.inside, self.own = tag, parent, weight, inside, own
+    __slots__ = ("tag", "parent", "weight", "inside", "own", "firm", "chars", "holds")
+
+    def __init__(self, tag, parent, inside, own, firm):
+        self.tag, self.parent, self.inside, self.own, self.firm = tag, parent, inside, own, firm
+        self.weight, self.chars, self.holds = 0.0, 0.0, False
+
+
+def _class_words(value: str) -> set[str]:
+    """Words of class, id or role, but for classes that tell of something else."""
+    found: set[str] = set()
+    for name in value.split():
+        words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+        if len(words) > 1 and (words[0] in NOT_ITSELF or words[-1] in STATE):
+            continue
+        found.update(words)
+    return found
 
 
 class _Reader:
@@ -91,7 +117,8 @@ class _Reader:
     """
 
     def __init__(self):
-        self.stack = [_Node("html", None, 0.0, False, 0.0)]
+        self.stack = [_Node("html", None, False, 0.0, True)]
+        self.nodes = list(self.stack)  # outer ones first
         self.silent = 0  # depth in the stack below which nothing is text, 0 for none
         self.in_link = False
         self.parts: list[str] = []
@@ -147,7 +174,14 @@ class _Reader:
             self.parts = []
         self.linked = 0
 
+    def leave_head(self) -> None:
+        """A head ends where something begins that it can't hold; its end tag may be left out."""
+        if self.silent and len(self.stack) == self.silent and self.stack[-1].tag == "head":
+            self._pop_to(self.silent - 1)
+
     def data(self, text: str) -> None:
+        if self.silent and text.strip():
+            self.leave_head()
         if not self.silent:
             text = unescape(text) if "&" in text else text
             self.parts.append(text)
@@ -165,10 +199,13 @@ class _Reader:
             for m in _ATTRIBUTE.finditer(attributes):
                 name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
                 if name in ("class", "id", "role"):
-                    words.update(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+                    words |= _class_words(value)
                 elif name == "hidden" or name == "style" and _HIDDEN.search(value):
                     hidden = True
-        hidden = (hidden or tag in SILENT) and tag not in VOID
+        if self.silent and tag not in HEAD:
+            self.leave_head()
+        controls = tag == "label" and any(n.tag in ("form", "fieldset") for n in self.stack)
+        hidden = (hidden or controls or tag in SILENT) and tag not in VOID
         if tag == "a":
             self.in_link = True
         elif tag == "br" and not self.silent:
@@ -190,17 +227,22 @@ class _Reader:
         own = TAG_WEIGHT.get(tag, 0.0)
         if tag == "header" and not top.inside:
             own = PAGE_HEADER
-        weights = [WORD_WEIGHT[w] for w in words if w in WORD_WEIGHT] if tag != "body" else []
+        words = {w for w in words if w in WORD_WEIGHT} if tag != "body" else set()
+        if tag in ("article", "main"):
+            words = {w for w in words if WORD_WEIGHT[w] > 0 or w in FIRM_WORDS}
+        weights = [WORD_WEIGHT[w] for w in words]
         if weights:
             own += min(weights) if min(weights) < 0 else max(weights)
-        self.stack.append(_Node(tag, top, top.weight + own, top.inside or tag in ("article", "main"), own))
+        inside = top.inside or tag in ("article", "main") or (own > 0 and bool(words & ARTICLE_WORDS))
+        self.stack.append(_Node(tag, top, inside, own, tag in FIRM_TAGS or bool(words & FIRM_WORDS)))
+        self.nodes.append(self.stack[-1])
         if hidden and not self.silent:
             self.silent = len(self.stack)
 
     def end(self, tag: str) -> None:
         if tag == "a":
             self.in_link = False
-        if tag not in BLOCK and tag not in SILENT or tag in VOID:
+        if tag not in BLOCK and tag not in SILENT and tag != "label" or tag in VOID:
             return
         if tag in BLOCK and not self.silent:
             self.flush()
@@ -215,9 +257,29 @@ class _Reader:
 def read_blocks(html: str) -> list[tuple[str, _Node, float, bool]]:
     reader = _Reader()
     reader.read(html)
+    _settle(reader.nodes, reader.blocks)
     return reader.blocks
 
 
+def _settle(nodes: list[_Node], blocks: list[tuple[str, _Node, float, bool]]) -> None:
+    """Weigh the containers by what they hold.
+
+    One that speaks against itself by a word or a tag, but holds most of the page's unlinked text and in
+    it a container that speaks for content, is a wrapper of the page: its own weight doesn't count.
+    """
+    for text, box, links, _ in blocks:
+        box.chars += len(text) * (1.0 - links)
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.holds |= node.holds or node.own > 0
+    total = nodes[0].chars
+    for node in nodes:
+        if node.own < 0 and not node.firm and node.holds and node.chars > MOST * total:
+            node.own = 0.0
+        node.weight = (node.parent.weight if node.parent is not None else 0.0) + node.own
+
+
 def content_score(text: str, box: _Node, links: float, heading: bool) -> float:
     """Above 0 in favour of content."""
     return BIAS + box.weight + LINK_SHARE * links + LONG_TEXT * min(1.0, len(text) / 400) + HEADING * heading

@@ -424,3 +424,45 @@ def test_rows_of_known_languages_equal_brute_force(spark):
     none = docs.withColumn("lang", F.lit(None).cast("string"))
     letters = sorted(i for i, t, _ in rows if t and any(c.isalpha() for c in t))
     assert sorted(x.doc_id for x in language.with_known_language(none).collect()) == letters
+
+
+def words(r, n):
+    return " ".join(r.choice("river stone garden winter letter bridge market morning silver window".split()) for _ in range(n))
+
+
+SHELLS = [
+    "<html><head><title>x</title><body><article>{}</article></body></html>",
+    "<html><head><meta charset=utf-8><title>x</title><link rel=a><article>{}</article>",
+    "<div class='content has-sidebar'>{}</div>", "<div id='page' class='nav-open'><article>{}</article></div>",
+    "<article class='post category-social tag-legal comments-open'>{}</article>", "<main class='site-main no-sidebar'>{}</main>",
+    "<form id='aspnetForm'><div class='content'>{}</div></form>", "<div class='widget wrapper'><main>{}</main></div>",
+    "<body class='login menu'><div class='post'>{}</div></body>",
+]
+AROUND = [
+    "<nav><a href=/>Home</a> <a href=/b>News of the day</a></nav>", "<div class='cookie-notice'>We use cookies for a better site.</div>",
+    "<footer>Copyright of this site, all rights reserved</footer>", "<aside class=sidebar><a href=/c>More to read</a></aside>",
+    "<div class=comments><p>Great text, thanks for it!</p></div>",
+]
+
+
+@pytest.mark.parametrize("shell", range(len(SHELLS)))
+def test_articles_survive_their_shells(shell):
+    r = random.Random(shell)
+    harmless = ["no-widget", "has-ads", "tag-share", "category-search", "sidebar-left", "is-modal", "u12", "status-closed", "menu-closed"]
+    for _ in range(40):
+        parts = [words(r, r.randrange(15, 60)) for _ in range(r.randrange(2, 6))]
+        article = "".join(f"<p class='{r.choice(harmless)}'>{t}</p>" for t in parts)
+        head, sep, rest = SHELLS[shell].partition("{}")
+        inner = f"<div class='{' '.join(r.sample(harmless, 2))}'>{article}</div>"
+        before, after = ("".join(r.sample(AROUND, r.randrange(3))) for _ in range(2))
+        if "<body" in head or "<head" in head or "form" in head or "page" in head:
+            before = ""
+        page = before + head + inner + rest + after
+        assert main_text.extract(page) == "\n".join(parts), page
+
+
+def test_words_in_formulas_and_labels():
+    page = "<article><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> of <label>two words</label> is here.</p></article>"
+    assert main_text.extract(page) == "The sum a+b of two words is here."
+    form = "<article><p>A text that stays on the page as it is.</p></article><form><label>Name</label><input></form>"
+    assert main_text.extract(form) == "A text that stays on the page as it is."
