@@ -10,14 +10,17 @@ Rows of one bucket travel as blocks of bounded size, queries of one bucket as we
 the join is a block against a block, so no group is ever gathered whole. Identical vectors become
 one entry that keeps its smallest ids: more than `k + 1` of them can't be among the `k` nearest.
 
-Vectors that are null, zero, of another width than asked for, or that hold a null or non-finite
-component take no part. Repeated ids with different vectors are different
+A query with fewer than `k` found is compared with all vectors, block against block, so it gets all of
+them where there are fewer than `k`. Each width of vectors is hashed and searched on its own.
+
+Vectors that are null, zero, or that hold a null or non-finite component take no part. Repeated ids with different vectors are different
 candidates; a query's own id is never its neighbour.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -199,14 +202,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
            dim: int | None = None, **hashing) -> DataFrame:
     """The `k` nearest found of each query row, as `OUTPUT`; ties go to the smaller id.
 
-    `is_query` chooses among the rows of `vectors`. `dim` is the width of the valid vector with the
-    smallest id where it is not given.
+    `is_query` chooses among the rows of `vectors`. Vectors are compared with those of their own
+    width, each width is searched on its own; `dim` asks for one width only.
     """
     if dim is None:
-        width = F.min_by(F.octet_length("vec"), F.struct("vec_id", "h"))
-        dim = (valid_vectors(vectors, key, vector).agg(width).first()[0] or 0) // 8
-    if not dim:
-        return vectors.sparkSession.createDataFrame([], OUTPUT)
+        sizes = valid_vectors(vectors, key, vector).select((F.octet_length("vec") / 8).cast("int").alias("dim"))
+        widths = [r.dim for r in sizes.groupBy("dim").count().orderBy("dim").collect()]  # a row a width
+    else:
+        widths = [dim]
+    found = [_search_width(vectors, is_query, k, key, vector, w, **hashing) for w in widths]
+    return reduce(DataFrame.unionAll, found) if found else vectors.sparkSession.createDataFrame([], OUTPUT)
+
+
+def _search_width(vectors: DataFrame, is_query: Column, k: int, key: str, vector: str, dim: int, **hashing) -> DataFrame:
     tables = Hashing(dim, **hashing)
 
     def hashed(batches):
@@ -253,13 +261,40 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
     probe = _blocks(map_batches(wanted.select("id", "h", "vec"), probing, _HASHED), QUERY_BLOCK, "query")
     pairs = base.join(probe, ["tab", "bucket"]).select(*columns)
     near = map_batches(pairs, rank, "query long, id long, h long, score double")
-    # `query` is the smallest id of a query vector; ids that repeat with other vectors are told apart by it.
+    names = asked.join(wanted.select(F.col("id").alias("query"), "h", "vec"), ["h", "vec"]).select("query_id", "query")
+    ranks = materialize(_ranked(near, names, known, k), "ranks")
+    # Queries with fewer than k found are compared with all vectors, block against block.
+    full = ranks.groupBy("query_id").count().filter(F.col("count") >= k)
+    short = materialize(names.join(full, "query_id", "left_anti"), "short-queries")
+    if short.isEmpty():
+        return ranks
+    lacking = wanted.join(short.select(F.col("query").alias("id")).distinct(), "id", "left_semi")
+    blocks = _plain_blocks(known, BLOCK, "base").crossJoin(_plain_blocks(lacking, QUERY_BLOCK, "query"))
+    scanned = map_batches(blocks.select(*columns), rank, "query long, id long, h long, score double")
+    return ranks.join(full, "query_id", "left_semi").unionAll(_ranked(scanned, short, known, k))
+
+
+def _ranked(near: DataFrame, names: DataFrame, known: DataFrame, k: int) -> DataFrame:
+    """`OUTPUT` of the queries `(query_id, query)` from candidates `(query, id, h, score)`.
+
+    `query` is the smallest id of a query vector; ids that repeat with other vectors are told apart by it.
+    """
     merged = near.groupBy("query", "id", "h").agg(F.max("score").alias("score"))
     best = W.partitionBy("query").orderBy(F.desc("score"), "id", "h")
     few = merged.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r")
     expanded = few.join(known.select("id", "h", "ids"), ["id", "h"]).select("query", "score", F.explode("ids").alias("vec_id"))
-    names = asked.join(wanted.select(F.col("id").alias("query"), "h", "vec"), ["h", "vec"]).select("query_id", "query")
     own = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = names.join(expanded, "query").filter(F.col("vec_id") != F.col("query_id"))
     ranks = found.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k)
     return ranks.select("query_id", "rank", "vec_id", "score")
+
+
+def _plain_blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Rows `(id, h, vec)` as blocks of at most `size` vectors, as each task reads them."""
+    def run(batches):
+        for b in batches:
+            for at in range(0, len(b["id"]), size):
+                keys = np.array([b["id"][at:at + size], b["h"][at:at + size]], dtype="<i8").T
+                yield {f"{name}_ids": [np.ascontiguousarray(keys).tobytes()], f"{name}_vecs": [b"".join(b["vec"][at:at + size])]}
+
+    return map_batches(rows.select("id", "h", "vec"), run, f"{name}_ids binary, {name}_vecs binary")

@@ -319,3 +319,46 @@ def test_pipeline_and_registration(spark):
     classes = {r.component_id for r in queries.QUERIES["op9_jaccard_join"](spark, SMALL).collect()}
     leaks = {r.doc_id for r in queries.QUERIES["op8_decontamination"](spark, SMALL).collect() if r.contaminated}
     assert {r.doc_id for r in packed} <= classes and not {r.doc_id for r in packed} & leaks
+
+
+# Neighbours in small, opposite and mixed tables ---------------------------------------------------
+
+
+def exact_neighbours(rows, k):
+    out = []
+    for q, v in rows:
+        mine = [(i, w) for i, w in rows if i != q and len(w) == len(v)]
+        cos = sorted((-(float(np.dot(np.array(v), np.array(w))) / (np.linalg.norm(v) * np.linalg.norm(w))), i) for i, w in mine)
+        out += [(q, r, i) for r, (_, i) in enumerate(cos[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("case", ["few", "opposite", "two widths", "narrow first"])
+def test_every_query_gets_its_neighbours(spark, case):
+    r = np.random.default_rng(5)
+    rows = {
+        "few": [(i, r.normal(size=64)) for i in range(4)],
+        "opposite": [(1, np.array([1.0, 0.0, 0.0])), (2, np.array([-1.0, 0.0, 0.0]))],
+        "two widths": [(i, r.normal(size=8 if i % 2 else 5)) for i in range(14)],
+        "narrow first": [(0, np.array([1.0, 2.0]))] + [(i, r.normal(size=16)) for i in range(1, 8)],
+    }[case]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = sorted((x.query_id, x.rank, x.vec_id) for x in neighbours.search(df, F.lit(True), k=5).collect())
+    want = exact_neighbours(rows, 5)
+    assert [x[:2] for x in got] == [x[:2] for x in want]  # as many as there are, up to k
+    size = {i: len(v) for i, v in rows}
+    assert all(size[q] == size[i] and q != i for q, _, i in got)
+    if case in ("few", "opposite"):  # no more candidates than asked for: all of them, in exact order
+        assert got == want
+
+
+def test_recall_on_clustered_vectors(spark):
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(40, 32)) * 2
+    rows = [(i, centres[i % 40] + r.normal(size=32) * 0.3) for i in range(2000)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {(x.query_id, x.vec_id) for x in neighbours.search(df, F.col("vec_id") % 50 == 0, k=5).collect()}
+    unit = np.array([v / np.linalg.norm(v) for _, v in rows])
+    best = unit[::50] @ unit.T
+    want = {(50 * q, int(i)) for q, row in enumerate(best) for i in [j for j in np.argsort(-row) if j != 50 * q][:5]}
+    assert len(got) == 200 and len(got & want) >= 0.9 * len(want)
