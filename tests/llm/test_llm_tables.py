@@ -313,7 +313,7 @@ def test_stages_keep_what_brute_force_keeps(spark):
 
 
 def test_pipeline_and_registration(spark):
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {
         q.split("_")[0] for q in driver.queries() if q.startswith("op") or q == "pipeline"}
     packed = driver.queries()["pipeline"](spark, SMALL).collect()
     classes = {r.component_id for r in queries.QUERIES["op9_jaccard_join"](spark, SMALL).collect()}
