@@ -82,11 +82,16 @@ def _hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def _windows(hashed: Column, length: int = WINDOW) -> Column:
+def _window(hashed: Column, at: Column, length: int = WINDOW) -> Column:
+    """Hash of the window that begins at place `at`, from 0; null where the text ends before it."""
+    hashes = F.xxhash64(*(F.get(hashed, at + j) for j in range(length)))
+    return F.when(at + length <= F.size(hashed), hashes)
+
+
+def _windows(hashed: Column) -> Column:
     """Hash of each window, by its place from 0; empty for texts shorter than a window."""
-    places = F.when(F.size(hashed) >= length, F.sequence(F.lit(1), F.size(hashed) - (length - 1)))
-    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(hashed, i, length)))
-    return F.coalesce(hashes, F.array().cast("array<bigint>"))
+    places = F.sequence(F.lit(0), F.greatest(F.size(hashed) - WINDOW, F.lit(0)))
+    return F.array_compact(F.transform(places, lambda i: _window(hashed, i)))
 
 
 def _whole(hashed: Column) -> Column:
@@ -118,8 +123,9 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
         "item_id", "version", "tokens", F.posexplode(_windows(F.col("hashed"))).alias("ipos", "w")
     ).filter((plain >= PLAIN_WORDS) & (plain < WINDOW))
     n = F.size("hashed")
-    own = F.when(n >= WINDOW, _windows(F.col("hashed"))).when(n >= INSIDE, F.array(F.xxhash64("hashed"))).otherwise(
-        F.array_compact(F.array(_whole(F.col("hashed")))))
+    short = [F.when(n == k, _window(F.col("hashed"), F.lit(0), k)) for k in range(INSIDE, WINDOW)]
+    own = F.when(n >= WINDOW, _windows(F.col("hashed"))).otherwise(
+        F.array_compact(F.array(*short, _whole(F.col("hashed")))))
     words = items.withColumn("hashed", _hashed(F.transform("item_values", _plain))).select(
         "item_id", "version", "tokens", F.posexplode(own).alias("ipos", "w"))
     kept = [df.select("w", "item_id", "version", "ipos", F.lit(exact).alias("exact"))
@@ -165,21 +171,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     lengths = sorted(r.n for r in items.select(F.size("tokens").alias("n")).filter(
         F.col("n").between(1, WINDOW - 1)).distinct().collect())  # seven at most
     words = rows.select("doc_id", "h", _words(F.col("text")).alias("words"))
-    # Each in a column of its own: what stands inside a lambda is computed for each window.
     hashed = words.select("doc_id", "h", *(
         _hashed(_tokens(f(F.col("words")))).alias(name) for name, f in (("w", _template), ("v", _plain))))
-    windows = hashed.select("doc_id", "h", *(_windows(F.col(name)).alias(name) for name in ("w", "v")))
-    # A window without a placeholder is the same both ways, and is looked up once.
-    twice = F.concat("w", F.zip_with("w", "v", lambda w, v: F.when(w != v, v)))
-    exploded = windows.select("doc_id", "h", F.size("w").alias("n"), F.posexplode(twice).alias("dpos", "w")).filter(
-        F.col("w").isNotNull()).select("doc_id", "h", (F.col("dpos") % F.col("n")).alias("dpos"), "w")
+    # Rows for places first: hashes of plain columns are compiled code, those inside a lambda are not.
+    inside = [n for n in lengths if n >= INSIDE]
+    last = F.size("v") - min([*inside, WINDOW])
+    placed = hashed.select("*", F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("dpos"))
+    at, v = F.col("dpos"), F.col("v")
     # Short items, where there are any: their own lengths, and whole rows below `INSIDE`.
-    row = words.select("doc_id", "h", _hashed(_tokens(_plain(F.col("words")))).alias("v"))
-    short = [_windows(F.col("v"), n) for n in lengths if n >= INSIDE]
+    short = [_window(v, at, n) for n in inside]
     if lengths and lengths[0] < INSIDE:
-        short.append(F.array_compact(F.array(_whole(F.col("v")))))
-    for w in short:
-        exploded = exploded.unionByName(row.select("doc_id", "h", F.posexplode(w).alias("dpos", "w")))
+        short.append(F.when(at == 0, _whole(v)))
+    windows = placed.select("doc_id", "h", "dpos", _window(F.col("w"), at).alias("w"), _window(v, at).alias("v"),
+                            *(w.alias(f"s{i}") for i, w in enumerate(short)))
+    # A window without a placeholder is the same both ways, and is looked up once.
+    each = F.array("w", F.when(F.col("w") != F.col("v"), F.col("v")), *(f"s{i}" for i in range(len(short))))
+    exploded = windows.select("doc_id", "h", "dpos", F.explode(each).alias("w")).filter(F.col("w").isNotNull())
     hits = exploded.join(_small(known, BROADCAST_ROWS), "w").select(
         "doc_id", "h", "item_id", "version", "dpos", "ipos", "exact").distinct()
     hits = materialize(hits, "window-hits")
