@@ -15,18 +15,20 @@ in all shards before. Reading goes by the manifest, so lost executors leave unus
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelflow.llm.common import map_batches, texts_of
+from labelflow.llm.common import CHUNK_CHARS, map_batches, texts_of
 from labelflow.scale import materialize, scratch_path
 
 OUTPUT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -35,8 +37,10 @@ MAGIC = 0x31485049  # "IPH1"
 GAMMA = 1.5  # bits of a level for each key that reaches it
 END_ID = 2
 
-CACHED = 400_000  # encoded words that a worker remembers
+CACHED = 400_000  # encoded words that a worker remembers from one batch to the next
 LONG_WORD = 64  # longer ones are not remembered
+JOINED = 50  # words that go to the library as one text
+BATCH_CHARS = 4 * CHUNK_CHARS  # texts are encoded together up to so many characters
 
 # Encoding ---------------------------------------------------------------------------------------
 
@@ -57,70 +61,86 @@ def _encoder(path: str):
     return tokenizer, special, size, {}
 
 
-# A space beside other white space; the pre-tokenizer may keep such a run together.
-_GAP = re.compile(r" \s|\s |^ | $")
+# White space other than the space.
+_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 
-def _cut(text: str) -> list[str] | None:
-    """The text cut at its single spaces, None if it has other gaps.
+def _can_cut(text: str) -> bool:
+    """Whether all spaces of the text stand alone: between two characters that are no white space.
 
-    The pre-tokenizer never lets a token run into a space between two other characters, nor does a
-    cut before it change how the parts are split, so parts can be encoded alone, each but the first
-    with its space.
+    The pre-tokenizer may keep a run of white space together, but never lets a token run into a space
+    between two other characters, nor does a cut before it change how the parts are split, so parts
+    can be encoded alone, each but the first with its space.
     """
-    return None if _GAP.search(text) or not text else text.split(" ")
+    if not text or text[0] == " " or text[-1] == " " or "  " in text:
+        return False
+    return not any(c in text and (f" {c}" in text or f"{c} " in text) for c in _WHITE)
 
 
 def _encode_words(words: list[str], tokenizer, size: np.ndarray) -> dict[str, bytes]:
     """Ids of a space and each word, as bytes. Words are encoded joined, since no token runs over
     their borders, and the ids are told apart by the number of bytes that they stand for."""
-    out = {}
-    groups = [words[at:at + 1000] for at in range(0, len(words), 1000)]
-    joined = tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
-    for group, encoded in zip(groups, joined):
-        ids = np.array(encoded.ids, dtype="<u4")
-        ends = np.cumsum([len(w.encode()) + 1 for w in group])
-        cuts = np.searchsorted(np.cumsum(size[ids]), ends) + 1
-        raw, at = ids.tobytes(), 0
-        for w, cut in zip(group, (cuts * 4).tolist()):
-            out[w] = raw[at:cut]
-            at = cut
-    return out
+    joined = tokenizer.encode_batch_fast(
+        [" " + " ".join(words[at:at + JOINED]) for at in range(0, len(words), JOINED)], add_special_tokens=False)
+    raw = b"".join([np.array(e.ids, dtype="<u4").tobytes() for e in joined])
+    ends = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy() + 1)
+    cuts = (np.searchsorted(np.cumsum(size[np.frombuffer(raw, dtype="<u4")]), ends) * 4 + 4).tolist()
+    return {w: raw[a:b] for w, a, b in zip(words, [0, *cuts], cuts)}
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `BATCH_CHARS` characters, or of one longer text."""
+    at, chars = 0, 0
+    for i, t in enumerate(texts):
+        if i > at and chars + len(t) > BATCH_CHARS:
+            yield at, i
+            at, chars = i, 0
+        chars += len(t)
+    if texts:
+        yield at, len(texts)
 
 
 def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> list[np.ndarray]:
     """Ids of whole texts as the library gives them, and the end id behind each.
 
-    Texts are encoded word by word with a memory of words seen before; texts that hold an added
-    token or unusual gaps go to the library whole.
+    Texts are cut into words, equal words get one code, and the library sees each word once, or never
+    if it was met before; the ids are gathered by code. Texts that hold an added token or unusual gaps
+    go to the library whole.
     """
     tokenizer, special, size, cache = _encoder(path)
-    first: list[str] = []
-    rest: list[list[str] | None] = []
-    missing: dict[str, None] = {}
-    for t in texts:
-        words = _cut(t) if not any(s in t for s in special) else None
-        first.append(t if words is None else words[0])
-        rest.append(None if words is None else words[1:])
-        if words:
-            missing.update(dict.fromkeys([w for w in words[1:] if w not in cache]))
-    new = _encode_words(list(missing), tokenizer, size)
-    begin = tokenizer.encode_batch_fast(first, add_special_tokens=False)
-    end = np.array([end_id], dtype="<u4").tobytes()
-    out = []
-    for e, words in zip(begin, rest):
-        raw = np.array(e.ids, dtype="<u4").tobytes()
-        if words:
-            raw += b"".join([cache[w] if w in cache else new[w] for w in words])
-        out.append(np.frombuffer(raw + end, dtype="<u4"))
-    if len(cache) + len(new) > CACHED:
+    if not texts:
+        return []
+    cut = [_can_cut(t) and not any(s in t for s in special) for t in texts]
+    # A text that can't be cut is a first word, and has no others.
+    first = tokenizer.encode_batch_fast(
+        [t.partition(" ")[0] if c else t for t, c in zip(texts, cut)], add_special_tokens=False)
+    parts = pc.split_pattern(pa.array([t if c else "" for t, c in zip(texts, cut)], pa.large_string()), " ")
+    bounds = parts.offsets.to_numpy().astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    new = _encode_words([w for w in words if w and w not in cache], tokenizer, size)
+    cache.update(new)
+    cache[""] = b""
+    raw = list(map(cache.__getitem__, words))
+    if len(cache) > CACHED:
         cache.clear()
-    for w, raw in new.items():
-        if len(cache) >= CACHED:
-            break
-        if len(w) <= LONG_WORD:
-            cache[w] = raw
-    return out
+    else:
+        for w in [w for w in new if len(w) > LONG_WORD]:
+            del cache[w]
+
+    # Behind the words' codes, one for the end and one for each first word.
+    raw.append(np.array([end_id], dtype="<u4").tobytes())
+    raw += [np.array(e.ids, dtype="<u4").tobytes() for e in first]
+    pool = np.frombuffer(b"".join(raw), dtype="<u4")
+    lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
+    starts = np.cumsum(lengths) - lengths
+    rows = np.arange(len(texts))
+    codes = np.insert(coded.indices.to_numpy().astype(np.int64), bounds[1:], len(words))
+    codes[bounds[:-1] + rows] = len(words) + 1 + rows
+    n = lengths[codes]
+    ends = np.cumsum(n)
+    ids = pool[np.arange(ends[-1]) + np.repeat(starts[codes] - (ends - n), n)]
+    return np.split(ids, ends[bounds[1:] + rows][:-1])
 
 
 # Minimal perfect hash ---------------------------------------------------------------------------
@@ -293,11 +313,11 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str | None = None, s
         doc_ids, null, counts = [], [], []
         with fs.open_output_stream(local + ".ids") as f:
             for b in batches:
-                for at in range(0, len(b["text"]), 1000):
-                    ids = encode_texts(b["text"][at:at + 1000], tokenizer_path, end_id)
+                for at, end in _slices(b["text"]):
+                    ids = encode_texts(b["text"][at:end], tokenizer_path, end_id)
                     f.write(b"".join(x.astype(f"<u{width}").tobytes() for x in ids))
                     counts.append(np.array([len(x) for x in ids], dtype=np.int64))
-                    some = b["doc_id"][at:at + 1000]
+                    some = b["doc_id"][at:end]
                     doc_ids.append(np.array([d or 0 for d in some], dtype=np.int64))
                     null.append(np.array([d is None for d in some], dtype=bool))
         if not counts:
