@@ -14,9 +14,9 @@ Windows with the item's own values and windows of plain words always hold. A doc
 consistent windows cover `COVERED` of its tokens, or half of a shorter item (at least one window).
 
 Template windows with fewer than four plain words carry too little and are left out; windows of plain
-words have no such bound. An item of fewer tokens than a window is one window as a whole, and found
-where a document has the same words in a row; an item of one or two tokens, which says nothing inside
-a text, only where it is a whole document. Letters of scripts without spaces are a token each. Null and empty texts are clean. Rows that repeat get the same answer each.
+words have no such bound. An item of fewer tokens than a window is one window as a whole. The fewer
+its words, the more it must stand alone to be told from prose: five to seven tokens from the begin to
+the end of sentences, three or four of lines, one or two of the document. Letters of scripts without spaces are a token each. Null and empty texts are clean. Rows that repeat get the same answer each.
 An item counts by its id; repeated items are found once.
 """
 
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from labelflow.scale import materialize
 
 WINDOW, PLAIN_WORDS, COVERED = 8, 4, 16
-# Items from this length are found inside a document, shorter ones as a whole document.
+# Items from this length are found as whole lines of a document, shorter ones as a whole document.
 INSIDE = 3
+# Items from this length, and shorter than a window, are found as whole sentences.
+SENTENCE = 5
 # Windows or keys that go to every task, 16 to 32 bytes each; more of them are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -47,6 +49,10 @@ _NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;)] \p{Lu})[\p{L}'’-]*"
 # Marks, and white space that is not one space.
 _NO_SPACE = r"[\x02-\x04\h\v]{2,}|[\x02-\x04\h\v&&[^ ]]"
 _INSIDE_NUMBER = r"[.,](?<=\p{Nd}[.,])(?=\p{Nd})"
+_LINE_END = r"\v+"
+# A mark with white space behind it (and brackets or quotes between), a full-width one, or a line's end.
+_SENTENCE_END = r"[.!?:;…]++[\p{Pe}\p{Pf}\p{Pi}\"']*+(?=\s|$)|[。！？；：]|\v+"
+_END = "\x05"
 # Thai, Lao, Burmese, Khmer, kana and Han, with what follows a letter on top of it.
 _UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]\\p{M}*"
 _BETWEEN_WORDS = r"[^\p{L}\p{Nd}\p{M}\x02]+"
@@ -72,6 +78,17 @@ def _tokens(words: Column) -> Column:
     return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
 
+def _ends(text: Column, end: str) -> Column:
+    """Places of the words, from 0, at which a line or sentence begins, and the number of words."""
+    cleared = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x02-\x05]", " ")
+    marked = F.regexp_replace(cleared, end, f" {_END} ")
+    spaced = F.regexp_replace(F.regexp_replace(F.lower(marked), _INSIDE_NUMBER, ""), _UNSPACED, " $0 ")
+    tokens = _tokens(F.trim(F.regexp_replace(spaced, r"[^\p{L}\p{Nd}\p{M}\x05]+", " ")))
+    marks = F.array_compact(F.transform(tokens, lambda t, i: F.when(t == _END, i)))
+    # Each mark takes a place of its own.
+    return F.array_union(F.transform(marks, lambda p, k: p - k), F.array(F.lit(0), F.size(tokens) - F.size(marks)))
+
+
 def _plain(words: Column) -> Column:
     """The same words without marks, one for one."""
     return F.replace(words, F.lit(_NAME), F.lit(""))
@@ -195,8 +212,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     wanted = materialize(hits.select("doc_id", "h").distinct(), "hit-documents")
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("dh") == F.col("h"))
     found = rows.join(_small(wanted.withColumnsRenamed({"doc_id": "d", "h": "dh"}), BROADCAST_ROWS), same, "left_semi")
-    values = found.select("doc_id", "h", _words(F.col("text")).alias("words")).distinct().select(
-        "doc_id", "h", _tokens(F.col("words")).alias("doc_values"))
+    ends = {"lines": _LINE_END, "sentences": _SENTENCE_END} if inside else {}
+    values = found.distinct().select(
+        "doc_id", "h", _tokens(_words(F.col("text"))).alias("doc_values"),
+        *(_ends(F.col("text"), end).alias(name) for name, end in ends.items()))
 
     diagonals = hits.groupBy("doc_id", "h", "item_id", "version", (F.col("dpos") - F.col("ipos")).alias("shift")).agg(
         # At most the item's length each.
@@ -204,7 +223,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         F.collect_set(F.when(F.col("exact"), F.col("ipos"))).alias("exact_at"))
     joined = diagonals.withColumn("places", _places(F.col("at"))).alias("a").join(
         values.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.h = b.h")
-    ).select("a.*", "b.doc_values").join(items, ["item_id", "version"])
+    ).select("a.*", "b.doc_values", *(f"b.{name}" for name in ends)).join(items, ["item_id", "version"])
+    if inside:
+        n, begin = F.size("tokens"), F.col("shift")
+        alone = F.when(n >= SENTENCE, F.col("sentences")).otherwise(F.col("lines"))
+        joined = joined.filter(~n.between(INSIDE, WINDOW - 1) | (
+            F.array_contains(alone, begin) & F.array_contains(alone, begin + n)))
     slots = F.filter(
         F.transform("places", lambda p: F.struct(
             p.alias("place"), F.get("tokens", p).alias("kind"), F.get("item_values", p).alias("mine"),

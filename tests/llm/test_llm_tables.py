@@ -287,6 +287,40 @@ def test_short_items_rows_of_numbers_and_texts_without_spaces_are_found(spark):
     assert found_by(spark, items, texts) == [{0}, {1}, {2}, {3}, set(), set(), {4}, set(), set()]
 
 
+def test_short_items_are_not_found_in_prose(spark):
+    items = ["What is this?", "Who wrote the play Hamlet?", "Wie alt ist der Hund?"]
+    texts = ["He came in. What is this? Nobody knew, and so they went home again.", "One.\nWhat is this?\nTwo",
+             "Tell me who wrote the play Hamlet and when it was done.", "It is late. Who wrote the play Hamlet? Nobody knows.",
+             "He asked: \u201cWho wrote the play Hamlet?\u201d and left.", "1.5 apples, 2.7 pears. Wie alt ist der Hund? 3.5 Jahre.",
+             "\u5b57\u5b57\u3002 WIE ALT IST DER HUND!\x05", "So what is this?", "what is this"]
+    assert found_by(spark, items, texts) == [set(), {0}, set(), {1}, {1}, {2}, {2}, set(), {0}]
+
+
+def test_items_without_placeholders_equal_brute_force(spark):
+    r = random.Random(11)
+    vocabulary = [a + b for a in "bcdfg" for b in ("a", "e", "o", "u")]
+    row = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    items = [row(r.choice((8, 9, 12, 16, 30, 60))) for _ in range(25)] + [["ba"] * 20]
+    docs = [["ba"] * 15, ["ba"] * 40]
+    for _ in range(250):
+        text = row(r.randrange(60))
+        for item in r.sample(items, r.randrange(3)):
+            at, a = r.randrange(len(text) + 1), r.randrange(len(item))
+            text[at:at] = item[a:a + r.randrange(5, 40)]
+        docs.append(text)
+    want = []
+    for d in docs:
+        want.append(set())
+        windows = {tuple(d[p:p + 8]) for p in range(len(d) - 7)}
+        for i, item in enumerate(items):
+            hit = [p for p in range(len(item) - 7) if tuple(item[p:p + 8]) in windows]
+            covered = len({p + j for p in hit for j in range(8)})
+            if covered >= min(16, max(8, -(-len(item) // 2))):
+                want[-1].add(i)
+    assert sum(map(bool, want)) > 50
+    assert found_by(spark, [" ".join(i) for i in items], [" ".join(d) for d in docs]) == want
+
+
 # Pipeline ---------------------------------------------------------------------------------------
 
 
