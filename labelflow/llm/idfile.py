@@ -37,7 +37,7 @@ MAGIC = 0x31485049  # "IPH1"
 GAMMA = 1.5  # bits of a level for each key that reaches it
 END_ID = 2
 
-CACHED = 400_000  # encoded words that a worker remembers from one batch to the next
+CACHED = 800_000  # encoded words that a worker remembers from one batch to the next
 LONG_WORD = 64  # longer ones are not remembered
 JOINED = 50  # words that go to the library as one text
 BATCH_CHARS = 4 * CHUNK_CHARS  # texts are encoded together up to so many characters
