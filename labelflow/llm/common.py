@@ -38,6 +38,18 @@ def arrow_type(schema: str):
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of about `most_bytes`, of one row at least."""
+    for b in batches:
+        rows = max(1, b.num_rows * most_bytes // max(1, b.nbytes))
+        yield from (b.slice(at, rows) for at in range(0, b.num_rows, rows))
+
+
+def release() -> None:
+    """Give unused memory back to the system: a worker outlives its task and stands beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, object]]], schema: str,
     most_bytes: int | None = None,
@@ -48,15 +60,12 @@ def map_batches(
     """
     wanted = arrow_type(schema)  # parsed by the driver's session
 
-    def slices(batches):
-        for b in batches:
-            rows = max(1, b.num_rows * most_bytes // max(1, b.nbytes)) if most_bytes else max(1, b.num_rows)
-            yield from (b.slice(at, rows) for at in range(0, b.num_rows, rows))
-
     def run(batches):
-        dicts = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in slices(batches))
+        parts = sliced(batches, most_bytes) if most_bytes else (b for b in batches if b.num_rows)
+        dicts = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in parts)
         for out in fn(dicts):
             arrays = [pa.array(out[f.name], type=f.type) for f in wanted]
             yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
+        release()
 
     return df.mapInArrow(run, schema)

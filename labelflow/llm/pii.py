@@ -24,7 +24,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.llm.common import map_batches, texts_of
+from labelflow.llm.common import CHUNK_CHARS, map_batches, release, sliced, texts_of
 from labelflow.llm.endings import ENDINGS
 
 KINDS = ("email", "ip", "card", "phone")
@@ -316,16 +316,20 @@ def masked(text: str) -> str:
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The table with personal data in `text` replaced; null stays null, other columns stay."""
+    """The table with personal data in `text` replaced; null stays null, other columns stay.
+
+    A task holds the Python strings of about `CHUNK_CHARS` bytes, or of one longer text.
+    """
     schema = docs.schema
     names = docs.columns
 
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in sliced(batches, CHUNK_CHARS):
             new = [t if t is None else masked(t) for t in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new, pa.string()) if n == text else b.column(n) for n in names], names=names)
+        release()
 
     return docs.withColumn(text, F.col(text).cast("string")).mapInArrow(run, schema)
