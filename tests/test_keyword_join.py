@@ -78,3 +78,20 @@ def test_keyword_files_are_numbered_through(spark, tmp_path):
     for name, lines in (("a.txt", ["x1", "", "x2"]), ("b.txt", []), ("c.txt", ["y1", " ", "y2", "y3"])):
         (tmp_path / name).write_text("\n".join(lines))
     assert rows(read_keywords(spark, str(tmp_path))) == [(0, "x1"), (1, "x2"), (2, "y1"), (3, "y2"), (4, "y3")]
+
+
+def test_no_row_is_made_for_a_gram(spark, capsys):
+    df = spark.createDataFrame(corpus(7), "doc long, text string")
+    keyword_join.search_many(df, "doc", F.col("text"), table(spark, ["abcabca", "aab"])).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan
+    assert not any(word in plan for word in ("Generate", "Exchange hashpartitioning"))
+
+
+def test_long_keywords_overlaps_and_repeated_rows(spark):
+    long = "the quick brown fox jumps over the lazy dog"
+    texts = [(1, f"{long} {long.upper()} {long[:-1]}"), (1, "ab" * 30), (2, "x" + "ab" * 9), (2, None)]
+    keywords = [long, long[3:27], long[:16], long[5:16], long[5:14], "ab" * 12, "abab", "ba" * 8, long[:-1] + "x"]
+    df = spark.createDataFrame(texts, "doc long, text string")
+    twice = table(spark, keywords).union(table(spark, keywords[:2]))
+    assert rows(keyword_join.search_many(df, "doc", F.col("text"), twice)) == brute(texts, keywords)
