@@ -40,11 +40,29 @@ END_ID = 2
 CACHED = 400_000  # encoded words that a worker remembers from one batch to the next
 LONG_WORD = 64  # longer ones are not remembered
 JOINED = 50  # words that go to the library as one text
-BATCH_CHARS = 4 * CHUNK_CHARS  # texts are encoded together up to so many characters
+BATCH_CHARS = 16 * CHUNK_CHARS  # texts are encoded together up to so many characters
 
 # Encoding ---------------------------------------------------------------------------------------
 
 
+class _Words:
+    """Encoded words that a worker remembers, as two Arrow arrays: the words, and the ids of each as bytes."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def keep(self, words: pa.Array, ids: pa.Array) -> None:
+        if len(self.words) + len(words) > CACHED:
+            self.clear()
+            return
+        short = pc.less_equal(pc.binary_length(words), LONG_WORD)
+        self.words = pa.concat_arrays([self.words, words.filter(short)])
+        self.ids = pa.concat_arrays([self.ids, ids.filter(short)])
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     import os
@@ -58,7 +76,7 @@ def _encoder(path: str):
     size = np.zeros(tokenizer.get_vocab_size(), dtype=np.int64)
     for token, i in tokenizer.get_vocab().items():
         size[i] = len(token)
-    return tokenizer, special, size, {}
+    return tokenizer, special, size, _Words()
 
 
 # White space other than the space.
@@ -77,15 +95,25 @@ def _can_cut(text: str) -> bool:
     return not any(c in text and (f" {c}" in text or f"{c} " in text) for c in _WHITE)
 
 
-def _encode_words(words: list[str], tokenizer, size: np.ndarray) -> dict[str, bytes]:
+def _binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Ids as one binary value for each range that ends at `ends`."""
+    offsets = np.concatenate(([0], ends)).astype(np.int64) * 4
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))])
+
+
+def _ids_of(encoded: list) -> np.ndarray:
+    return np.concatenate([np.empty(0, "<u4"), *(np.array(e.ids, dtype="<u4") for e in encoded)])
+
+
+def _encode_words(words: pa.Array, tokenizer, size: np.ndarray) -> pa.Array:
     """Ids of a space and each word, as bytes. Words are encoded joined, since no token runs over
     their borders, and the ids are told apart by the number of bytes that they stand for."""
-    joined = tokenizer.encode_batch_fast(
-        [" " + " ".join(words[at:at + JOINED]) for at in range(0, len(words), JOINED)], add_special_tokens=False)
-    raw = b"".join([np.array(e.ids, dtype="<u4").tobytes() for e in joined])
-    ends = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy() + 1)
-    cuts = (np.searchsorted(np.cumsum(size[np.frombuffer(raw, dtype="<u4")]), ends) * 4 + 4).tolist()
-    return {w: raw[a:b] for w, a, b in zip(words, [0, *cuts], cuts)}
+    texts = words.to_pylist()
+    ids = _ids_of(tokenizer.encode_batch_fast(
+        [" " + " ".join(texts[at:at + JOINED]) for at in range(0, len(texts), JOINED)], add_special_tokens=False))
+    ends = np.cumsum(pc.binary_length(words).to_numpy() + 1)
+    return _binary(ids, np.searchsorted(np.cumsum(size[ids]), ends) + 1)
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -116,31 +144,33 @@ def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> list[np.n
         [t.partition(" ")[0] if c else t for t, c in zip(texts, cut)], add_special_tokens=False)
     parts = pc.split_pattern(pa.array([t if c else "" for t, c in zip(texts, cut)], pa.large_string()), " ")
     bounds = parts.offsets.to_numpy().astype(np.int64)
-    coded = parts.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    new = _encode_words([w for w in words if w and w not in cache], tokenizer, size)
-    cache.update(new)
-    cache[""] = b""
-    raw = list(map(cache.__getitem__, words))
-    if len(cache) > CACHED:
-        cache.clear()
-    else:
-        for w in [w for w in new if len(w) > LONG_WORD]:
-            del cache[w]
-
-    # Behind the words' codes, one for the end and one for each first word.
-    raw.append(np.array([end_id], dtype="<u4").tobytes())
-    raw += [np.array(e.ids, dtype="<u4").tobytes() for e in first]
-    pool = np.frombuffer(b"".join(raw), dtype="<u4")
-    lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
-    starts = np.cumsum(lengths) - lengths
     rows = np.arange(len(texts))
-    codes = np.insert(coded.indices.to_numpy().astype(np.int64), bounds[1:], len(words))
-    codes[bounds[:-1] + rows] = len(words) + 1 + rows
-    n = lengths[codes]
-    ends = np.cumsum(n)
-    ids = pool[np.arange(ends[-1]) + np.repeat(starts[codes] - (ends - n), n)]
-    return np.split(ids, ends[bounds[1:] + rows][:-1])
+    later = np.ones(bounds[-1], dtype=bool)
+    later[bounds[:-1]] = False  # first words stay out: they may begin with white space, which joins with others'
+    coded = parts.flatten().filter(pa.array(later)).dictionary_encode()
+    words = coded.dictionary
+    known = pc.index_in(words, value_set=cache.words)
+    new = words.filter(known.is_null())
+    ids = _encode_words(new, tokenizer, size)
+
+    # The ids of remembered words, of new ones, of the end, and of each first word.
+    n_known = len(cache.words)
+    end = n_known + len(new)
+    firsts = _binary(_ids_of(first), np.cumsum([len(e.ids) for e in first]))
+    pool = pa.concat_arrays([cache.ids, ids, _binary(np.array([end_id], dtype="<u4"), np.array([1])), firsts])
+    place = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    place[place < 0] = n_known + np.arange(len(new))
+    cache.keep(new, ids)
+
+    # Where a text begins stands its first word, and behind its words the end.
+    codes = np.empty(bounds[-1], dtype=np.int64)
+    codes[bounds[:-1]] = end + 1 + rows
+    codes[later] = place[coded.indices.to_numpy()]
+    codes = np.insert(codes, bounds[1:], end)
+    taken = pool.take(pa.array(codes))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64, len(codes) + 1, taken.offset * 8) // 4
+    all_ids = np.frombuffer(taken.buffers()[2], "<u4", int(offsets[-1]))
+    return np.split(all_ids[offsets[0]:], (offsets[bounds[1:] + rows + 1] - offsets[0])[:-1])
 
 
 # Minimal perfect hash ---------------------------------------------------------------------------

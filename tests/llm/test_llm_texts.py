@@ -87,6 +87,25 @@ def test_ids_equal_the_library():
     assert got == [model.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+@pytest.mark.parametrize("most", [30, 400_000])
+def test_ids_from_remembered_words_equal_the_library(monkeypatch, most):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(BYTES)
+    monkeypatch.setattr(idfile, "CACHED", most)
+    cache = idfile._encoder(BYTES)[3]
+    cache.clear()
+    long = "x" * (idfile.LONG_WORD + 1)
+    for n in range(12):
+        texts = random_texts(["a", "b", "cd", " ", " ", " e ", "\n", "é", "日", f" {n}", f" {long} ", "f\n\n"], 20 + n, 25)
+        texts += ["foo end\n\n", "\n\nfoo bar", "", "foo"]
+        got = [x.tolist() for x in idfile.encode_texts(texts, BYTES)]
+        assert got == [model.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert len(cache.words) == len(cache.ids) <= most
+        assert long not in cache.words.to_pylist() and len(set(cache.words.to_pylist())) == len(cache.words)
+    cache.clear()
+
+
 def test_id_files_round_trip(spark, odd, none, tmp_path):
     from tokenizers import Tokenizer
 
