@@ -19,11 +19,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import CHUNK_CHARS, fold, map_batches, texts_of
+from labelflow.llm.common import CHUNK_CHARS, fold, map_batches, release, texts_of
 from labelflow.scale import materialize
 
 TOP = 400  # n-grams of a profile and of a document's list
 MAX_LANGUAGES = 1000  # profiles go to every task; more label values than this are an error
+HELD_CHARS = 1 << 18  # of a language, whose n-grams are held before they are counted
+BATCH_BYTES = 4 << 20  # of an Arrow batch that become Python objects at once
+FAR_OUT = 3.0  # spreads below the lower quartile at which a labelled row no longer tells its language
+LEAST_SPREAD = 0.1  # of scores between the quartiles, so that many copies do not narrow the border
+STEPS = 1000  # of the scores, for the quartiles
 UNKNOWN = "und"
 OUTPUT = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -104,30 +109,36 @@ def learn_profiles(docs: DataFrame, top: int = TOP, key: str = "doc_id", text: s
     )
 
     def run(batches):
-        for b in batches:
-            held: dict[str, list] = {}
-            size: dict[str, int] = {}
-            out: dict[str, tuple] = {}
+        held: dict[str, list] = {}
+        size: dict[str, int] = {}
+        out: dict[str, tuple] = {}
 
-            def close(lang):
-                k, c = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-                size[lang] = 0
-                old = out.get(lang)
-                out[lang] = (k, c) if old is None else merge_counts([old[0], k], [old[1], c])
+        def close(lang):
+            k, c = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+            size[lang] = 0
+            old = out.get(lang)
+            out[lang] = (k, c) if old is None else merge_counts([old[0], k], [old[1], c])
 
+        def counted():
+            for lang in list(held):
+                close(lang)
+            for lang, (k, c) in out.items():
+                yield {"lang": [lang] * len(k), "gram": k, "n": c}
+            out.clear()
+
+        for b in batches:
             for lang, t in zip(b["lang"], b["text"]):
                 codes = letter_codes(t)
                 for at in range(0, len(codes), CHUNK_CHARS):
                     held.setdefault(lang, []).append(_pieces(codes, at))
                     size[lang] = size.get(lang, 0) + min(CHUNK_CHARS, len(codes) - at)
-                    if size[lang] >= CHUNK_CHARS:
+                    if size[lang] >= HELD_CHARS:
                         close(lang)
-            for lang in list(held):
-                close(lang)
-            for lang, (k, c) in out.items():
-                yield {"lang": [lang] * len(k), "gram": k, "n": c}
+            if sum(size.values()) + sum(len(k) for k, _ in out.values()) > CHUNK_CHARS:
+                yield from counted()
+        yield from counted()
 
-    counted = map_batches(rows, run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = map_batches(rows, run, "lang string, gram long, n long", BATCH_BYTES).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counted.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= top)
     got = best.take(MAX_LANGUAGES * top + 1)
@@ -174,11 +185,15 @@ def language_column(profiles: dict[str, list[int]], text: Column, top: int = TOP
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = Profiles(profiles, top)
-        for texts in batches:
-            got = [table.predict(t.as_py()) for t in texts]
-            yield pa.StructArray.from_arrays(
-                [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                names=["lang", "score"])
+        try:
+            for texts in batches:
+                got = [table.predict(t.as_py()) for t in texts]
+                yield pa.StructArray.from_arrays(
+                    [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                    names=["lang", "score"])
+        finally:
+            texts = got = None
+            release()
 
     return F.arrow_udf(run, kind).asNondeterministic()(F.coalesce(text, F.lit("")))
 
@@ -201,13 +216,22 @@ def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], top: int
         F.col(found)["lang"].alias(names[0]), F.col(found)["score"].alias(names[1]))
 
 
+def far_out(steps: dict[int, int]) -> float:
+    """The score below which a labelled row is far from the others, by the number of rows at each step."""
+    at = np.array(sorted(steps))
+    ends = np.cumsum([steps[i] for i in at.tolist()])
+    low, high = (at[np.searchsorted(ends, share * ends[-1])] / STEPS for share in (0.25, 0.75))
+    return float(low - FAR_OUT * max(high - low, LEAST_SPREAD))
+
+
 def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", label: str = "lang") -> DataFrame:
     """The rows of `docs` in a language that their labels tell, columns unchanged.
 
-    Profiles come from the labelled rows. A row goes if its text has no letter, or if it is further
-    from its nearest profile than every labelled row nearest to it: the least score of those rows is
-    the border, so all labelled rows with a letter stay. A language to which no labelled row is nearest has
-    no border. Without any labelled text all texts with a letter stay.
+    Profiles come from the labelled rows. A row goes, labelled or not, if its text has no letter, or if
+    it is further from its nearest profile than the rows that are labelled so: their least score is the
+    border. Labelled rows that are nearest to another language, or whose score is far out (`FAR_OUT`
+    spreads below the lower quartile), are noise or mislabelled and set no border. A language to which
+    no row of its label is nearest has none. Without any labelled text all texts with a letter stay.
     """
     profiles = learn_profiles(docs, top, text=text, label=label)
     if not profiles:
@@ -215,12 +239,21 @@ def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", lab
     names = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "score")
     predicted = materialize(predict_languages(docs, profiles, top, text, names), "predicted")
     lang, score = predicted[names[0]], predicted[names[1]]
-    own = predicted.filter(predicted[label].isNotNull() & (lang != UNKNOWN))
-    borders = {r[0]: r[1] for r in own.groupBy(lang).agg(F.min(score)).collect()}  # a row a language
-    least = F.lit(0.0)
-    for name, border in borders.items():
-        least = F.when(lang == name, F.lit(border)).otherwise(least)
-    return predicted.filter((lang != UNKNOWN) & (score >= least)).drop(*names)
+    own = predicted.filter((predicted[label].cast("string") == lang) & (lang != UNKNOWN))
+    at = F.floor(score * STEPS).cast("int")
+    steps: dict[str, dict[int, int]] = {}
+    for name, step, n in own.groupBy(lang, at).agg(F.count(F.lit(1))).collect():  # at most STEPS + 1 a language
+        steps.setdefault(name, {})[step] = n
+
+    def per_language(values: dict[str, float]) -> Column:
+        value = F.lit(0.0)
+        for name, one in values.items():
+            value = F.when(lang == name, F.lit(one)).otherwise(value)
+        return value
+
+    near = own.filter(score >= per_language({name: far_out(of) for name, of in steps.items()}))
+    borders = {r[0]: r[1] for r in near.groupBy(lang).agg(F.min(score)).collect()}  # a row a language
+    return predicted.filter((lang != UNKNOWN) & (score >= per_language(borders))).drop(*names)
 
 
 def identify(docs: DataFrame, top: int = TOP, held_out_fold: int = 0, key: str = "doc_id",

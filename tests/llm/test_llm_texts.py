@@ -445,6 +445,18 @@ def test_rows_of_known_languages_equal_brute_force(spark):
     assert sorted(x.doc_id for x in language.with_known_language(none).collect()) == letters
 
 
+def test_labelled_noise_sets_no_border_and_goes(spark):
+    r = random.Random(9)
+    english, german = "the house and garden with an apple tree".split(), "das Haus und der Garten mit einem Baum".split()
+    rows = [(i, " ".join(r.choice(english) for _ in range(40)), "en") for i in range(60)]
+    rows += [(100 + i, " ".join(r.choice(german) for _ in range(40)), "de") for i in range(60)]
+    noise = [(200 + i, "".join(r.choice("qxzwjkvyþøłж ") for _ in range(200)), r.choice(["en", "de", None])) for i in range(9)]
+    copies = [(300 + i, rows[0][1], "en") for i in range(300)]
+    docs = spark.createDataFrame(rows + noise + copies, "doc_id long, text string, lang string")
+    got = sorted(x.doc_id for x in language.with_known_language(docs).collect())
+    assert got == sorted(i for i, *_ in rows + copies)
+
+
 def words(r, n):
     return " ".join(r.choice("river stone garden winter letter bridge market morning silver window".split()) for _ in range(n))
 
