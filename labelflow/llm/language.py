@@ -28,6 +28,7 @@ HELD_CHARS = 1 << 18  # of a language, whose n-grams are held before they are co
 BATCH_BYTES = 4 << 20  # of an Arrow batch that become Python objects at once
 FAR_OUT = 3.0  # spreads below the lower quartile at which a labelled row no longer tells its language
 LEAST_SPREAD = 0.1  # of scores between the quartiles, so that many copies do not narrow the border
+SHORT = 100  # characters; the few n-grams of a shorter text tell no far-off one, so its label stands
 STEPS = 1000  # of the scores, for the quartiles
 UNKNOWN = "und"
 OUTPUT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -231,7 +232,7 @@ def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", lab
     it is further from its nearest profile than the rows that are labelled so: their least score is the
     border. Labelled rows that are nearest to another language, or whose score is far out (`FAR_OUT`
     spreads below the lower quartile), are noise or mislabelled and set no border. A language to which
-    no row of its label is nearest has none. Without any labelled text all texts with a letter stay.
+    no row of its label is nearest has none. Texts below `SHORT` that are nearest to their label stay. Without any labelled text all texts with a letter stay.
     """
     profiles = learn_profiles(docs, top, text=text, label=label)
     if not profiles:
@@ -253,7 +254,8 @@ def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", lab
 
     near = own.filter(score >= per_language({name: far_out(of) for name, of in steps.items()}))
     borders = {r[0]: r[1] for r in near.groupBy(lang).agg(F.min(score)).collect()}  # a row a language
-    return predicted.filter((lang != UNKNOWN) & (score >= per_language(borders))).drop(*names)
+    short = (F.length(predicted[text]) < SHORT) & predicted[label].cast("string").eqNullSafe(lang)
+    return predicted.filter((lang != UNKNOWN) & ((score >= per_language(borders)) | short)).drop(*names)
 
 
 def identify(docs: DataFrame, top: int = TOP, held_out_fold: int = 0, key: str = "doc_id",
