@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,9 +47,21 @@ def sliced(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Re
         yield from (b.slice(at, rows) for at in range(0, b.num_rows, rows))
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    """The C library's `malloc_trim`, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
 def release() -> None:
-    """Give unused memory back to the system: a worker outlives its task and stands beside the next stage's."""
+    """Give unused memory back to the system, Arrow's and that of freed arrays and texts: a worker outlives
+    its task and stands beside the next stage's."""
     pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
 
 
 def map_batches(
@@ -63,9 +77,12 @@ def map_batches(
     def run(batches):
         parts = sliced(batches, most_bytes) if most_bytes else (b for b in batches if b.num_rows)
         dicts = (dict(zip(b.schema.names, (c.to_pylist() for c in b.columns))) for b in parts)
-        for out in fn(dicts):
-            arrays = [pa.array(out[f.name], type=f.type) for f in wanted]
-            yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
-        release()
+        try:
+            for out in fn(dicts):
+                arrays = [pa.array(out[f.name], type=f.type) for f in wanted]
+                yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
+        finally:
+            arrays = out = None
+            release()
 
     return df.mapInArrow(run, schema)

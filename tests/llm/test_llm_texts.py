@@ -457,6 +457,21 @@ def test_labelled_noise_sets_no_border_and_goes(spark):
     assert got == sorted(i for i, *_ in rows + copies)
 
 
+def test_release_gives_freed_memory_back():
+    from labelflow.llm.common import release
+
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"Pss_Anon:\s+(\d+)", f.read())[1]) // 1024
+
+    held = [bytes(1000) for _ in range(200_000)]
+    last = held.pop()  # the pieces before it stay with the process
+    del held
+    before = anonymous()
+    release()
+    assert len(last) == 1000 and anonymous() < before - 100
+
+
 def words(r, n):
     return " ".join(r.choice("river stone garden winter letter bridge market morning silver window".split()) for _ in range(n))
 
