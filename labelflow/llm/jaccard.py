@@ -15,10 +15,11 @@ inverted lists are scanned. The border is the size at which the estimated cost o
   those that are similar. Long lists are dealt to parts with centres of their own, and one centre of
   each part is compared with one of the key's. Entries that are in one component by now need no comparison; of every list that
   still holds several components, the entries outside its largest one are compared with all of
-  other components. So every pair that shares a key is compared, or already connected, and no list
+  other components. A whole list is written without its centres, which are compared with all its
+  entries, and only where two entries are left. So every pair that shares a key is compared, or already connected, and no list
   of copies or near copies is expanded to pairs.
-* Every comparison is exact, on whole sets; bits of their elements' places first tell pairs that
-  cannot be similar, whatever the rest.
+* Every comparison is exact, on whole sets; bits of their elements' places, two or more an element,
+  first tell pairs that cannot be similar, whatever the rest.
 
 A document without words has no shingle, links with nothing, and is its own component. Repeated
 rows give repeated results. A null id takes part; the component is the smallest id that is there.
@@ -28,6 +29,7 @@ Shingles are 64-bit hashes.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -45,7 +47,7 @@ MAX_BORDER = 32  # the border is looked for among sizes up to this one
 PART = 4096  # a key's list is dealt to one part for each so many rows above the usual
 MAX_PARTS = 1 << 22  # parts of a list; their number stands above the key's bits
 KEY_BITS = 40  # keys that meet by chance cost a comparison; fewer bits are less to shuffle
-SKETCH_BITS = 1 << 12
+SKETCH_BITS = 1 << 12  # of a sketch at least; a power of two
 MARKS = 1 << 22  # bits of the filter on entries that were candidates
 BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
 BLOCK_ROWS = 1 << 18  # rows of keys that a task holds before it packs them
@@ -168,16 +170,26 @@ def entry_of(shingles: np.ndarray) -> int:
 
 
 def sketch_of(shingles: np.ndarray) -> bytes:
-    """Bits of the places that the elements of a set fall on."""
-    places = np.zeros(SKETCH_BITS, dtype=bool)
-    places[shingles % np.uint64(SKETCH_BITS)] = True
+    """Bits of the places that the elements of a set fall on, at least two places an element."""
+    bits = max(SKETCH_BITS, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else SKETCH_BITS
+    places = np.zeros(bits, dtype=bool)
+    places[shingles % np.uint64(bits)] = True
     return np.packbits(places).tobytes()
 
 
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The same set's sketch in `size` numbers."""
+    while len(sketch) > size:
+        sketch = sketch[:len(sketch) // 2] | sketch[len(sketch) // 2:]
+    return sketch
+
+
 def most_common(x: bytes, y: bytes, n: int, m: int) -> int:
     """Elements that sets of n and m with these sketches share at most: each place that only one of
     them has stands for an element that the other lacks."""
     p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    size = min(len(p), len(q))
+    p, q = _folded(p, size), _folded(q, size)
     return min(n - int(np.bitwise_count(p & ~q).sum()), m - int(np.bitwise_count(q & ~p).sum()))
 
 
@@ -296,19 +308,19 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 _WIDTHS = {2: np.uint16, 4: np.uint32, 8: np.uint64}
+_HEAD = struct.Struct("<qi4B")  # first place, rows, bytes of each column's numbers
 
 
 def _pack(place: np.ndarray, entry: np.ndarray, n: np.ndarray, rest: np.ndarray) -> bytes:
     """Rows in the order of their place as one block: differences of the places, then the other columns."""
     steps = np.diff(place.view(np.uint64), prepend=place.view(np.uint64)[:1])
     columns = [_narrow(steps), entry, _narrow(n), _narrow(rest)]
-    head = np.array([place[0], len(place), *(c.itemsize for c in columns)], dtype=np.int64)
-    return b"".join([head.tobytes(), *(c.tobytes() for c in columns)])
+    return b"".join([_HEAD.pack(place[0], len(place), *(c.itemsize for c in columns)), *(c.tobytes() for c in columns)])
 
 
 def _unpack(block: bytes) -> list[np.ndarray]:
-    first, rows, *widths = np.frombuffer(block, np.int64, 6).tolist()
-    columns, at = [], 48
+    first, rows, *widths = _HEAD.unpack_from(block)
+    columns, at = [], _HEAD.size
     for i, width in enumerate(widths):
         kind = np.int64 if i == 1 else _WIDTHS[width]
         columns.append(np.frombuffer(block, kind, rows, at))
@@ -320,20 +332,25 @@ def _unpack(block: bytes) -> list[np.ndarray]:
 
 def _key_blocks(texts: DataFrame, counts: np.ndarray, light_below: int, slots: int) -> DataFrame:
     """`(slot, block)`: the keys of all sets, those of equal sets once a task; all rows of a place (part
-    of a key's list) go to one slot. The sign of a place tells lists that are dealt to parts."""
+    of a key's list) go to one slot. The sign of a place tells lists that are dealt to parts; their parts
+    go to slots by hash. Other keys go by range, so places of a block are as near each other whatever the
+    number of slots, and their differences take as few bytes."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def blocks(held: list[tuple[np.ndarray, ...]]):
         place, entry, n, rest = (np.concatenate(c) for c in zip(*held))
         with np.errstate(over="ignore"):
-            slot = (_mix(place.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
-        order = np.lexsort((place.view(np.uint64), slot))
-        slot = slot[order]
-        starts = np.flatnonzero(np.diff(slot, prepend=-1))
+            by_hash = (_mix(place.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+        by_range = ((place.view(np.uint64) * np.uint64(slots)) >> np.uint64(KEY_BITS)).astype(np.int64)
+        dealt = place < 0
+        group = 2 * np.where(dealt, by_hash, by_range) + dealt  # blocks hold one kind
+        order = np.lexsort((place.view(np.uint64), group))
+        group = group[order]
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
         out = {"slot": [], "block": []}
-        for start, end in zip(starts, [*starts[1:], len(slot)]):
+        for start, end in zip(starts, [*starts[1:], len(group)]):
             rows = order[start:end]
-            out["slot"].append(int(slot[start]))
+            out["slot"].append(int(group[start]) // 2)
             out["block"].append(_pack(place[rows], entry[rows], n[rows], rest[rows]))
         return out
 
@@ -384,7 +401,7 @@ def _useful(place: np.ndarray, entry: np.ndarray, n: np.ndarray, rest: np.ndarra
 
     Returns place, entry, n, rest of those rows and, as rows of another such table, the number of the
     row's list; `centres` holds four rows for each list: its smallest and largest entry, and two with
-    the key early in their order.
+    the key early in their order. `left` are the useful rows of which a pair may not hold a centre.
     """
     order = np.lexsort((-rest, entry, place))  # of repeated rows the one with the larger rest
     place, entry, n, rest = (c[order] for c in (place, entry, n, rest))
@@ -402,14 +419,20 @@ def _useful(place: np.ndarray, entry: np.ndarray, n: np.ndarray, rest: np.ndarra
     several = (ends > begins)[lists]
     live = np.flatnonzero((several & enough) | (place < 0))
     centres = np.stack([begins, ends, early, first])
-    return (place, entry, n, rest), live, lists, centres
+    # A whole list's centres are compared with all its rows; the others need a second one among them.
+    apart = np.ones(len(place), dtype=bool)
+    apart[centres.ravel()] = False
+    others = live[apart[live]]
+    two = np.bincount(lists[others], minlength=len(begins)) > 1
+    left = live[(place[live] < 0) | (apart[live] & two[lists[live]])]
+    return (place, entry, n, rest), live, lists, centres, left
 
 
 def _lists(blocks: DataFrame, slots: int) -> DataFrame:
     """One written table of two kinds of rows.
 
-    With `b` null, rows of keys that several entries have: `(key, dealt, entry, n, rest)`, and `low`, the
-    smallest entry of the part, where the list is dealt to parts. Else pairs `(entry, b)` of an entry with
+    With `b` null, rows of keys that several entries have, but for pairs with a centre of a whole list:
+    `(key, dealt, entry, n, rest)`, and `low`, the smallest entry of the part, where the list is dealt to parts. Else pairs `(entry, b)` of an entry with
     a centre of its part, smaller one first, where sizes and places allow enough common elements.
     """
     dealt = blocks.repartitionById(slots, "slot").select("block")
@@ -418,7 +441,7 @@ def _lists(blocks: DataFrame, slots: int) -> DataFrame:
         parts = [_unpack(block) for b in batches for block in b["block"]]
         if not parts:
             return
-        rows, live, lists, centres = _useful(*(np.concatenate(c) for c in zip(*parts)))
+        rows, live, lists, centres, left = _useful(*(np.concatenate(c) for c in zip(*parts)))
         del parts
         place, entry, n, rest = rows
         found = []
@@ -429,8 +452,8 @@ def _lists(blocks: DataFrame, slots: int) -> DataFrame:
             x, y = entry[live][some], entry[c][some]
             found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
-        for at in range(0, len(live), OUT_ROWS):
-            i = live[at:at + OUT_ROWS]
+        for at in range(0, len(left), OUT_ROWS):
+            i = left[at:at + OUT_ROWS]
             whole = np.where(place[i] < 0, ~place[i], place[i]) & ((1 << KEY_BITS) - 1)
             low = centres[0][lists[i]]
             yield {"key": whole, "dealt": place[i] < 0, "entry": entry[i], "n": n[i], "rest": rest[i],

@@ -30,6 +30,7 @@ FAR_OUT = 3.0  # spreads below the lower quartile at which a labelled row no lon
 LEAST_SPREAD = 0.1  # of scores between the quartiles, so that many copies do not narrow the border
 SHORT = 100  # characters; the few n-grams of a shorter text tell no far-off one, so its label stands
 STEPS = 1000  # of the scores, for the quartiles
+BROADCAST_ROWS = 200_000  # rows of 16 bytes that may go to every task; more are joined by shuffle
 UNKNOWN = "und"
 OUTPUT = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -237,10 +238,15 @@ def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", lab
     profiles = learn_profiles(docs, top, text=text, label=label)
     if not profiles:
         return docs.filter(F.coalesce(docs[text].rlike(r"\p{L}"), F.lit(False)))
-    names = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "score")
-    predicted = materialize(predict_languages(docs, profiles, top, text, names), "predicted")
-    lang, score = predicted[names[0]], predicted[names[1]]
-    own = predicted.filter((predicted[label].cast("string") == lang) & (lang != UNKNOWN))
+    # Written without the texts, which two hashes stand for: text and label tell whether a row stays.
+    own_label = docs[label].cast("string")
+    h, g = _hashes(docs[text], own_label)
+    written = docs.select(
+        h.alias("h"), g.alias("g"), own_label.alias("label"), (F.length(docs[text]) < SHORT).alias("short"),
+        language_column(profiles, docs[text], top).alias("found"))
+    predicted = materialize(written.select("h", "g", "label", "short", "found.lang", "found.score"), "predicted")
+    lang, score = F.col("lang"), F.col("score")
+    own = predicted.filter((F.col("label") == lang) & (lang != UNKNOWN))
     at = F.floor(score * STEPS).cast("int")
     steps: dict[str, dict[int, int]] = {}
     for name, step, n in own.groupBy(lang, at).agg(F.count(F.lit(1))).collect():  # at most STEPS + 1 a language
@@ -254,8 +260,18 @@ def with_known_language(docs: DataFrame, top: int = TOP, text: str = "text", lab
 
     near = own.filter(score >= per_language({name: far_out(of) for name, of in steps.items()}))
     borders = {r[0]: r[1] for r in near.groupBy(lang).agg(F.min(score)).collect()}  # a row a language
-    short = (F.length(predicted[text]) < SHORT) & predicted[label].cast("string").eqNullSafe(lang)
-    return predicted.filter((lang != UNKNOWN) & ((score >= per_language(borders)) | short)).drop(*names)
+    short = F.coalesce("short", F.lit(False)) & F.col("label").eqNullSafe(lang)
+    stays = (lang != UNKNOWN) & ((score >= per_language(borders)) | short)
+    gone = materialize(predicted.filter(~stays).select(F.col("h").alias("_h"), F.col("g").alias("_g")).distinct(), "gone")
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, (gone["_h"] == h) & (gone["_g"] == g), "left_anti")
+
+
+def _hashes(text: Column, label: Column) -> tuple[Column, Column]:
+    """Hash of a text, and of its label and it; a null text counts as an empty one."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.xxhash64(whole), F.xxhash64(label.isNull(), label, whole)
 
 
 def identify(docs: DataFrame, top: int = TOP, held_out_fold: int = 0, key: str = "doc_id",

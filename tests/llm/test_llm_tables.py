@@ -112,6 +112,45 @@ def test_jaccard_query_equals_sql(spark):
     assert sorted(map(tuple, queries.QUERIES["op9_jaccard_join"](spark, SMALL).collect())) == sorted(want)
 
 
+def test_rows_of_lists_are_written_for_pairs_without_a_centre_only(spark, monkeypatch):
+    r = random.Random(6)
+    bases = [[f"w{b}x{i}" for i in range(60)] for b in range(40)]
+    rows = [(2 * b + k, " ".join(words[:-k or None])) for b, words in enumerate(bases) for k in range(2)]
+    written, lists = [], jaccard._lists
+    monkeypatch.setattr(jaccard, "_lists", lambda *a: written.append(lists(*a)) or written[-1])
+    assert sorted(map(tuple, jaccard.classes(small_docs(spark, rows)).collect())) == brute_classes(rows)
+    assert written[0].filter("b IS NOT NULL").count() and not written[0].filter("b IS NULL").count()
+    # Many in a list, half of them similar to few others.
+    rows += [(100 + i, " ".join(r.choice(bases[0]) if r.random() < i / 200 else w for w in bases[0])) for i in range(60)]
+    assert sorted(map(tuple, jaccard.classes(small_docs(spark, rows)).collect())) == brute_classes(rows)
+    assert written[1].filter("b IS NULL").count()
+
+
+def test_sketches_tell_long_sets_apart():
+    r = np.random.default_rng(4)
+    for n, m in [(0, 5), (9, 2000), (3000, 4000), (9000, 9000), (40_000, 33_000)]:
+        x, y = (r.integers(0, 1 << 63, k).astype(np.uint64) for k in (n, m))
+        y[:min(n, m) // 2] = x[:min(n, m) // 2]
+        most = jaccard.most_common(jaccard.sketch_of(x), jaccard.sketch_of(y), n, m)
+        assert min(n, m) // 2 <= most <= 0.85 * min(n, m) + 5
+        assert jaccard.most_common(jaccard.sketch_of(x), jaccard.sketch_of(x), n, n) == n
+
+
+def test_blocks_of_keys_take_no_more_bytes_for_more_slots(spark):
+    r = random.Random(7)
+    texts = spark.createDataFrame([(" ".join(f"{r.random()}" for _ in range(100)),) for _ in range(1500)], "text string").coalesce(1)
+    size, found = {}, {}
+    for slots in (16, 512):
+        blocks = jaccard._key_blocks(texts, np.zeros(jaccard.BINS, np.int64), 1, slots).collect()
+        size[slots] = sum(len(b.block) for b in blocks) - 64 * len(blocks)
+        columns = [(b.slot, jaccard._unpack(b.block)) for b in blocks]
+        assert all(0 <= slot < slots for slot, _ in columns)
+        found[slots] = sorted(row for _, c in columns for row in zip(*(x.tolist() for x in c)))
+        places = [set(c[0].tolist()) for _, c in columns]
+        assert sum(map(len, places)) == len(set().union(*places))  # one slot for each place
+    assert found[16] == found[512] and size[512] <= size[16]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (102, 101), (5, 5)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -1,6 +1,7 @@
 """Operators that work on each text alone, against brute force and the named libraries."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -445,6 +446,24 @@ def test_rows_of_known_languages_equal_brute_force(spark):
     assert sorted(x.doc_id for x in language.with_known_language(none).collect()) == letters
 
 
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_predictions_are_written_without_texts(spark, monkeypatch, broadcast):
+    r = random.Random(10)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 9))) for _ in range(3000)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(500)), "en") for i in range(80)]
+    rows += [(100 + i, "".join(r.choice("qxzwjkvyþøłж ") for _ in range(2500)), None) for i in range(40)]
+    # A label decides about a short text only, and each row has its own.
+    rows += [(200, "þø łж", "en"), (201, "þø łж", None), (202, "", "en"), (203, None, "en"), (204, rows[0][1], None)]
+    written, materialize = [], language.materialize
+    monkeypatch.setattr(language, "materialize", lambda *a: written.append(materialize(*a)) or written[-1])
+    monkeypatch.setattr(language, "BROADCAST_ROWS", broadcast)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    got = sorted(x.doc_id for x in language.with_known_language(docs).collect())
+    assert got == [*range(80), 200, 204]
+    size = sum(os.path.getsize(f.removeprefix("file://")) for table in written for f in table.inputFiles())
+    assert size < 0.1 * sum(len(t or "") for _, t, _ in rows)
+
+
 def test_labelled_noise_sets_no_border_and_goes(spark):
     r = random.Random(9)
     english, german = "the house and garden with an apple tree".split(), "das Haus und der Garten mit einem Baum".split()
