@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import corpus_pipeline
 import numpy as np
@@ -435,3 +436,50 @@ def test_recall_on_clustered_vectors(spark):
     best = unit[::50] @ unit.T
     want = {(50 * q, int(i)) for q, row in enumerate(best) for i in [j for j in np.argsort(-row) if j != 50 * q][:5]}
     assert len(got) == 200 and len(got & want) >= 0.9 * len(want)
+
+
+def test_blocks_of_probes_never_pass_the_driver(spark, monkeypatch):
+    # A query becomes a row for each probe, so by the planner's figures its blocks look small enough for a broadcast.
+    plans = {}
+
+    def written(df, name="table", write=neighbours.materialize):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(neighbours, "materialize", written)
+    r = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, r.normal(size=16).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        assert len({x.query_id for x in neighbours.search(df, F.col("vec_id") % 4 == 0).collect()}) == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = re.findall(r"(\w+Join) \[tab#\d+, bucket#\d+L?\]", plans["ranks"])
+    assert joins and set(joins) == {"SortMergeJoin"}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_rounding_decides_nothing(spark, monkeypatch, small):
+    if small:  # blocks of few vectors, and candidates that are thinned out and handed on again and again
+        for name, value in {"BLOCK": 7, "QUERY_BLOCK": 3, "CHUNK": 20, "HELD": 64}.items():
+            monkeypatch.setattr(neighbours, name, value)
+    # Cosines differ by less than single precision can tell apart; one vector has copies, one has none that is near.
+    r = np.random.default_rng(9)
+    first = r.normal(size=24)
+    rows = [(i, first + r.normal(size=24) * 1e-6) for i in range(300)] + [(300 + i, first.copy()) for i in range(9)]
+    rows += [(400, -first), (401, first * 1e200), (402, first * 1e-200)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for x in neighbours.search(df, (F.col("vec_id") % 10 == 0) | (F.col("vec_id") > 305)).collect():
+        got.setdefault(x.query_id, {})[x["rank"]] = (x.vec_id, x.score)
+
+    def score(v, w):
+        v, w = (np.ldexp(x, -np.frexp(np.abs(x).max())[1]) for x in (v, w))
+        return (v * w).sum() / (np.sqrt((v * v).sum()) * np.sqrt((w * w).sum()))
+
+    asked = [(i, v) for i, v in rows if i % 10 == 0 or i > 305]
+    assert set(got) == {i for i, _ in asked}
+    for q, v in asked:
+        want = sorted(((-score(v, w), i) for i, w in rows if i != q))[:5]
+        assert [got[q][n] for n in range(1, 6)] == [(i, -s) for s, i in want]
