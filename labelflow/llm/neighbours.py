@@ -42,7 +42,7 @@ TABLES, FUNCTIONS, WIDTH, PROBES = 6, 4, 1.4, 24
 NEIGHBOUR_DISTANCE = 1.05  # expected distance of a neighbour between vectors of length one
 SEED = 7
 BLOCK, QUERY_BLOCK = 512, 512  # vectors in a block
-CHUNK, CHUNK_BYTES = 1 << 16, 1 << 25  # vectors, and bytes of them, that a task deals to blocks at once
+CHUNK, CHUNK_BYTES = 1 << 17, 1 << 25  # vectors, and bytes of them, that a task deals to blocks at once
 PAIR_BYTES = 1 << 23  # of blocks that a task reads at once
 HELD = 1 << 20  # candidates that a task holds
 OUTPUT = "query_id long, rank int, vec_id long, score double"
@@ -202,11 +202,19 @@ def _keys(batch: dict) -> np.ndarray:
 class _Block:
     """Vectors of a block: scaled, their lengths, and rounded ones of length one."""
 
-    def __init__(self, keys: list[bytes], vecs: list[bytes], kind: str, dim: int):
-        self.keys = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
-        self.m = _scaled(_matrix(vecs, kind, dim))
-        self.length = _lengths(self.m)
-        self.rounded = (self.m / self.length[:, None]).astype(np.float32)
+    def __init__(self, keys: np.ndarray, m: np.ndarray, length: np.ndarray, rounded: np.ndarray):
+        self.keys, self.m, self.length, self.rounded = keys, m, length, rounded
+
+    @classmethod
+    def read(cls, ids: bytes, vecs: bytes, kind: str, dim: int) -> _Block:
+        m = _scaled(_matrix([vecs], kind, dim))
+        length = _lengths(m)
+        return cls(np.frombuffer(ids, "<i8").reshape(-1, 2), m, length, (m / length[:, None]).astype(np.float32))
+
+    @classmethod
+    def joined(cls, blocks: list[_Block]) -> _Block:
+        parts = zip(*((b.keys, b.m, b.length, b.rounded) for b in blocks))
+        return blocks[0] if len(blocks) == 1 else cls(*(np.concatenate(x) for x in parts))
 
 
 class _Best:
@@ -276,15 +284,28 @@ _NEAR = "query long, id long, h long, score double"
 def _compared(pairs: DataFrame, k: int, kind: str, dim: int) -> DataFrame:
     """Pairs of blocks to `_NEAR`: of each query, the `k + 1` nearest that a task has seen."""
     def rank(batches):
-        best = _Best(k, dim, HELD)
+        best, base_ids, base = _Best(k, dim, HELD), None, None
+        read, size = {}, 0  # blocks of queries that were read, by their ids: each block of a bucket meets them all
+
+        def queries_of(ids, vecs):
+            nonlocal size
+            if ids not in read:
+                if size > PAIR_BYTES:
+                    read.clear()
+                    size = 0
+                read[ids], size = _Block.read(ids, vecs, kind, dim), size + len(vecs)
+            return read[ids]
+
         for b in batches:
             at, total = 0, len(b["base_ids"])
             while at < total:  # blocks of queries that meet the same block are taken together
-                end, size = at + 1, len(b["query_ids"][at])
-                while end < total and size < 16 * QUERY_BLOCK and b["base_ids"][end] == b["base_ids"][at]:
-                    end, size = end + 1, size + len(b["query_ids"][end])
-                base = _Block(b["base_ids"][at:at + 1], b["base_vecs"][at:at + 1], kind, dim)
-                best.block(_Block(b["query_ids"][at:end], b["query_vecs"][at:end], kind, dim), base)
+                end, n = at + 1, len(b["query_ids"][at])
+                while end < total and n < 16 * QUERY_BLOCK and b["base_ids"][end] == b["base_ids"][at]:
+                    end, n = end + 1, n + len(b["query_ids"][end])
+                if b["base_ids"][at] != base_ids:
+                    base_ids = b["base_ids"][at]
+                    base = _Block.read(base_ids, b["base_vecs"][at], kind, dim)
+                best.block(_Block.joined([queries_of(b["query_ids"][i], b["query_vecs"][i]) for i in range(at, end)]), base)
                 yield from best.out()
                 at = end
         yield from best.out(end=True)
